@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tickmart.functions import measures as m
@@ -17,19 +17,34 @@ FACT_MEASURES = (
 )
 
 
+def _day_window() -> WindowSpec:
+    """A symbol's bars of one day: at most as many as the day holds, however busy the symbol."""
+    return Window.partitionBy("symbol", "trade_day").orderBy("interval_start")
+
+
+def _running_vwap() -> Column:
+    so_far = _day_window().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    weighted = (F.col("high") + F.col("low") + F.col("close")) * F.col("volume")
+    return m.vwap(F.col("volume"), F.sum(weighted).over(so_far), F.sum("volume").over(so_far))
+
+
+def running_vwap(bars: DataFrame) -> DataFrame:
+    """Adds vwap alone, which needs no other day."""
+    days = bars.withColumn("trade_day", F.to_date("interval_start"))
+    return days.withColumn("vwap", _running_vwap()).drop("trade_day")
+
+
 def enrich(bars: DataFrame, links: DataFrame | None = None) -> DataFrame:
     """Adds vwap and previous_close.
 
-    Windows are cut by (symbol, day): at most a day of bars each, so a symbol with a long history
-    is spread over its days. What a day needs from earlier days - the close before it - comes in
-    through ``links`` (day_links); days absent from it are left out. One shuffle on (symbol, day)
-    serves the join and both windows.
+    Windows are cut by (symbol, day), so a symbol with a long history is spread over its days.
+    What a day needs from earlier days - the close before it - comes in through ``links``
+    (day_links); days absent from it are left out. One shuffle on (symbol, day) serves the join
+    and both windows. Without ``links`` the bars are read twice: pass written ones.
     """
     if links is None:
         links = day_links(bar_days(bars))
-    w = Window.partitionBy("symbol", "trade_day").orderBy("interval_start")
-    so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    weighted = (F.col("high") + F.col("low") + F.col("close")) * F.col("volume")
+    w = _day_window()
     days = bars.withColumn("trade_day", F.to_date("interval_start")).join(
         links.select("symbol", "trade_day", "close_before"), ["symbol", "trade_day"]
     )
@@ -37,7 +52,7 @@ def enrich(bars: DataFrame, links: DataFrame | None = None) -> DataFrame:
         *bars.columns,
         "trade_day",
         F.row_number().over(w).alias("bar_of_day"),
-        m.vwap(F.col("volume"), F.sum(weighted).over(so_far), F.sum("volume").over(so_far)).alias("vwap"),
+        _running_vwap().alias("vwap"),
         F.lag("close").over(w).alias("_lag"),
         "close_before",
     ).select(

@@ -81,7 +81,7 @@ def moving_average(bars: DataFrame, rows: int = 50, days: DataFrame | None = Non
         .join(links, ["symbol", "trade_day"])
         .withColumn("_n", F.col("bars_before") + F.row_number().over(in_day) - 1)
     )
-    own = F.floor(F.col("_n") / block)
+    own = F.expr(f"_n div {block}")
     tail = F.col("_n") % block >= block - carried
     placed = numbered.withColumn("_own", own).withColumn(
         "_block", F.explode(F.when(tail, F.array("_own", F.col("_own") + 1)).otherwise(F.array("_own")))
@@ -125,9 +125,12 @@ def _volume_and_average(rows: DataFrame, symbol: str, close: str) -> DataFrame:
 
 
 def vol_avg_staging(ticks: DataFrame, months: Months) -> DataFrame:
-    """Both ends of a range count, so a tick at midnight of the end day does."""
-    at, day = F.col("trade_date"), F.col("trade_day")
-    ranges = [at.between(_midnight(a), _midnight(b)) & day.between(F.lit(a), F.lit(b)) for a, b in months]
+    """Both ends of a range count, so a tick at midnight of the end day does. The partition of a
+    tick starts in its month (staging partitions are days or months)."""
+    at, part = F.col("trade_date"), F.col("trade_part")
+    ranges = [
+        at.between(_midnight(a), _midnight(b)) & part.between(F.lit(a.replace(day=1)), F.lit(b)) for a, b in months
+    ]
     return _volume_and_average(ticks.where(any_range(ranges)), "ticker_symbol", "close_price")
 
 

@@ -6,6 +6,7 @@ Both write the same tables with the same contents, whatever the order in which t
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,25 +16,36 @@ from tickmart.operators.bars import bar_days, bar_range, day_links, to_bars, wit
 from tickmart.operators.enrich import enrich, fact_rows, symbol_keys
 from tickmart.operators.joins import lookup_join
 from tickmart.plans.control import Run, finish_run, last_batch, set_control, start_run
-from tickmart.plans.staging import incremental_filter, read_staging
+from tickmart.plans.staging import compact_staging, incremental_filter, new_batches, read_staging
 from tickmart.session import materialize
 from tickmart.sources.tables import Warehouse
 
 
 def load_dims(wh: Warehouse, bars: DataFrame, now: Column) -> None:
-    """Bring every dimension up to date with ``bars`` (written) and the staged companies."""
+    """Bring every dimension up to date with ``bars`` (written) and the staged companies. The
+    dimensions do not depend on each other, so their small jobs run side by side."""
     companies = wh.read("stg_companies")
-    sources = {
-        "dim_date": (dims.date_rows(bars), ["yyyymm", "sk_date_id"], None),
-        "dim_instrument": (dims.instrument_source(bars, companies), ["symbol"], "sk_instrument_id"),
-        "dim_exchange": (dims.exchange_rows(companies), ["exchange_code"], "sk_exchange_id"),
-        "dim_trade_status": (dims.trade_status_rows(bars), ["agg_status"], "sk_status_id"),
-    }
-    for name, (rows, keys, id_column) in sources.items():
-        new = dims.insert_absent(wh.read(name), rows, keys, id_column).persist()
-        if not new.isEmpty():
-            wh.append(new, name)
-        new.unpersist()
+    with ThreadPoolExecutor() as pool:
+        loads = [
+            pool.submit(_grow, wh, "dim_date", dims.date_rows(bars), ["yyyymm", "sk_date_id"], None),
+            pool.submit(_grow, wh, "dim_instrument", dims.instrument_source(bars, companies), ["symbol"], "sk_instrument_id"),
+            pool.submit(_grow, wh, "dim_exchange", dims.exchange_rows(companies), ["exchange_code"], "sk_exchange_id"),
+            pool.submit(_grow, wh, "dim_trade_status", dims.trade_status_rows(bars), ["agg_status"], "sk_status_id"),
+            pool.submit(_update_companies, wh, companies, now),
+        ]
+    for load in loads:
+        load.result()
+
+
+def _grow(wh: Warehouse, name: str, rows: DataFrame, keys: list[str], id_column: str | None) -> None:
+    """Append the rows whose key is new."""
+    new = dims.insert_absent(wh.read(name), rows, keys, id_column).persist()
+    if not new.isEmpty():
+        wh.append(new, name)
+    new.unpersist()
+
+
+def _update_companies(wh: Warehouse, companies: DataFrame, now: Column) -> None:
     changed = dims.upsert_company(wh.read("dim_company"), dims.company_rows(companies, now))
     wh.upsert(materialize(changed, "dim_company"), "dim_company", ["sk_company_id"])
 
@@ -59,7 +71,9 @@ def full_load(wh: Warehouse, minutes: int = 15, only_clean: bool = False) -> Non
     """Rebuild bars, dimensions and facts from all staged ticks."""
     run = start_run(wh)
     try:
-        newest = wh.read("stg_stock_price").agg(F.max("_batch_id")).first()[0]
+        newest = wh.read("staging_log").agg(F.max("batch_id")).first()[0]
+        if newest is not None:
+            compact_staging(wh, newest)
         wh.replace(with_month(to_bars(read_staging(wh), minutes, only_clean)), "agg_15min_raw")
         bars = wh.read("agg_15min_raw")
         _one_type_per_symbol(bars)
@@ -84,13 +98,17 @@ def incremental_load(wh: Warehouse, minutes: int = 15, only_clean: bool = False)
     is simply run again.
     """
     mark = last_batch(wh)
-    batch = incremental_filter(wh.read("stg_stock_price"), mark)
-    newest = batch.agg(F.max("_batch_id")).first()[0]
+    batch, newest = new_batches(wh, mark)
     if newest is None:
         return False
     run = start_run(wh)
     try:
-        touched = materialize(batch.select(F.col("ticker_symbol").alias("symbol"), "trade_day").distinct(), "touched")
+        touched = batch.select(F.col("ticker_symbol").alias("symbol"), F.to_date("trade_date").alias("trade_day")).distinct()
+        touched = materialize(touched, "touched")
+        if touched.isEmpty():
+            finish_run(wh, run, "completed", 0, _rejects_after(wh, mark))
+            set_control(wh, "completed", None, newest)
+            return True
         bars = materialize(_rebuild(wh, touched, minutes, only_clean), "bars")
         _one_type_per_symbol(bars)
         wh.upsert(bars, "agg_15min_raw", ["symbol", "interval_start"])
@@ -107,9 +125,8 @@ def incremental_load(wh: Warehouse, minutes: int = 15, only_clean: bool = False)
         changed = changed.where("touched or bar_of_day = 1").drop("touched")
         facts = materialize(_fact(wh, changed, run), "facts")
         wh.upsert(facts, "fact_15min_stock_price", ["fk_date_id", "fk_instrument_id"])
-        new_rejects = incremental_filter(wh.read("rejected_prices"), mark).count()
         high_water = bar_range(bars, F.localtimestamp()).first()["high_water"]
-        finish_run(wh, run, "completed", bars.count(), new_rejects)
+        finish_run(wh, run, "completed", bars.count(), _rejects_after(wh, mark))
     except Exception:
         finish_run(wh, run, "failed")
         raise
@@ -117,6 +134,10 @@ def incremental_load(wh: Warehouse, minutes: int = 15, only_clean: bool = False)
     return True
 
 
+def _rejects_after(wh: Warehouse, mark: int | None) -> int:
+    return incremental_filter(wh.read("rejected_prices"), mark).count()
+
+
 def _later(high_water: dt.datetime | None, wh: Warehouse) -> dt.datetime | None:
     known = wh.read("elt_control").agg(F.max("last_processed")).first()[0]
     return max((t for t in (high_water, known) if t is not None), default=None)
@@ -126,7 +147,8 @@ def _rebuild(wh: Warehouse, symbol_days: DataFrame, minutes: int, only_clean: bo
     """Whole bars of the given (symbol, day) pairs, from all staged ticks of those days."""
     days = [r[0] for r in symbol_days.select("trade_day").distinct().collect()]
     wanted = symbol_days.withColumnRenamed("symbol", "ticker_symbol")
-    ticks = lookup_join(read_staging(wh, days), wanted, ["ticker_symbol", "trade_day"], ["trade_date"], "left_semi")
+    ticks = read_staging(wh, days).withColumn("trade_day", F.to_date("trade_date"))
+    ticks = lookup_join(ticks, wanted, ["ticker_symbol", "trade_day"], ["trade_date"], "left_semi")
     return with_month(to_bars(ticks, minutes, only_clean))
 
 

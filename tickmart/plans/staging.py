@@ -1,46 +1,117 @@
-"""Landed batches to staging. Staging only grows; a key's latest row is resolved when read."""
+"""Landed batches to staging.
+
+Batches are appended; which partitions a batch wrote is kept in a small log, so loads read only
+the partitions they need. A key that several batches sent is resolved when read, until the
+partition is compacted.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickmart.functions.text import to_trade_date
 from tickmart.operators.validate import dedup_prices, latest_profile, rejected_prices, stage_prices
 from tickmart.sources.tables import Warehouse
 
 
-def append_staging(wh: Warehouse, staged: DataFrame, batch_id: int) -> None:
-    """Add a batch. Its id is part of the partition, so writing a batch again replaces it."""
-    wh.replace(staged.withColumn("_batch_id", F.lit(batch_id).cast("bigint")), "stg_stock_price")
+def _part(wh: Warehouse, at: Column) -> Column:
+    return F.trunc(at.cast("date"), "month") if wh.staging_unit == "month" else at.cast("date")
+
+
+def _parts_of_days(wh: Warehouse, days: list[dt.date]) -> list[dt.date]:
+    return sorted({d.replace(day=1) if wh.staging_unit == "month" else d for d in days})
+
+
+def _log(wh: Warehouse, parts: list[dt.date], batch_id: int, compacted: bool = False) -> None:
+    rows = [(part, batch_id, compacted) for part in parts]
+    wh.append(wh.spark.createDataFrame(rows, "trade_part date, batch_id bigint, compacted boolean"), "staging_log")
+
+
+def append_staging(wh: Warehouse, staged: DataFrame, batch_id: int, parts: list[dt.date] | None = None) -> None:
+    """Add a batch; a batch that was begun before replaces what it wrote.
+
+    ``parts`` lists the partitions it may write (computed from ``staged`` if absent). They are
+    logged first: a crash then leaves a log row too many, never unlogged ticks.
+    """
+    rows = staged.withColumns(
+        {"trade_part": _part(wh, F.col("trade_date")), "_batch_id": F.lit(batch_id).cast("bigint")}
+    )
+    if parts is None:
+        parts = _list_parts(rows.select("trade_part"))
+    if not parts:
+        return
+    begun = [r[0] for r in wh.read("staging_log").where(F.col("batch_id") == batch_id).select("trade_part").distinct().collect()]
+    if begun:
+        stored = wh.read("stg_stock_price").where(F.col("trade_part").isin(begun + parts))
+        others = stored.where(F.col("_batch_id") != batch_id)
+        wh.replace(others.unionByName(rows.select(*others.columns)), "stg_stock_price")
+        return
+    _log(wh, parts, batch_id)
+    wh.append(rows, "stg_stock_price")
+
+
+def _list_parts(parts: DataFrame) -> list[dt.date]:
+    """Days or months of the calendar - never rows."""
+    return [r[0] for r in parts.distinct().collect()]
 
 
 def stage_batch(wh: Warehouse, landing: DataFrame, batch_id: int) -> None:
-    """Validate a landed batch into staging and set its rejects aside."""
-    append_staging(wh, stage_prices(landing), batch_id)
+    """Validate a landed batch (written) into staging and set its rejects aside."""
+    dates = landing.select(_part(wh, to_trade_date(F.col("date"))).alias("trade_part"))
+    append_staging(wh, stage_prices(landing), batch_id, _list_parts(dates.where("trade_part is not null")))
     rejects = rejected_prices(landing).withColumn("_batch_id", F.lit(batch_id).cast("bigint"))
     wh.replace(rejects, "rejected_prices")
 
 
+def mixed_parts(wh: Warehouse) -> DataFrame:
+    """Partitions more than one batch wrote since they were last compacted, with their last batch."""
+    log = wh.read("staging_log")
+    base = F.max(F.when(F.col("compacted"), F.col("batch_id")))
+    parts = log.groupBy("trade_part").agg(F.collect_set("batch_id").alias("ids"), base.alias("base"))
+    live = F.filter("ids", lambda b: F.col("base").isNull() | (b >= F.col("base")))
+    return parts.where(F.size(live) > 1).select("trade_part", F.array_max("ids").alias("last_batch"))
+
+
 def read_staging(wh: Warehouse, days: list[dt.date] | None = None) -> DataFrame:
     """Staged ticks, one row per symbol and time; the latest load wins.
 
-    A batch holds no repeats, so only days that several batches wrote are deduplicated here; the
-    rest is a plain scan without a shuffle.
+    A batch holds no repeats, so only partitions that several batches wrote are deduplicated here;
+    the rest is a plain scan without a shuffle.
     """
-    rows = wh.read("stg_stock_price")
+    rows, mixed_in = wh.read("stg_stock_price"), mixed_parts(wh)
     if days is not None:
-        rows = rows.where(F.col("trade_day").isin(days))
-    batches = rows.select("trade_day", "_batch_id").distinct().groupBy("trade_day").count()
-    # days of the calendar, not rows
-    mixed = [r["trade_day"] for r in batches.where("count > 1").collect()]
+        parts = _parts_of_days(wh, days)
+        rows = rows.where(F.col("trade_part").isin(parts) & F.col("trade_date").cast("date").isin(days))
+        first, end = min(days), max(days) + dt.timedelta(days=1)
+        span = F.col("trade_date") >= F.lit(first).cast("timestamp_ntz")
+        # a range on the stored column, which file statistics can check
+        rows = rows.where(span & (F.col("trade_date") < F.lit(end).cast("timestamp_ntz")))
+        mixed_in = mixed_in.where(F.col("trade_part").isin(parts))
+    mixed = [r["trade_part"] for r in mixed_in.collect()]
     if not mixed:
         return rows
-    once = rows.where(~F.col("trade_day").isin(mixed))
-    again = rows.where(F.col("trade_day").isin(mixed))
-    resolved = dedup_prices(again, was_duplicate="_is_duplicate")
-    return once.unionByName(resolved.select(*rows.columns))
+    return rows.where(~F.col("trade_part").isin(mixed)).unionByName(_resolve(rows.where(F.col("trade_part").isin(mixed))))
+
+
+def _resolve(rows: DataFrame) -> DataFrame:
+    return dedup_prices(rows, was_duplicate="_is_duplicate").select(*rows.columns)
+
+
+def compact_staging(wh: Warehouse, through: int) -> int:
+    """Resolve repeats for good in partitions whose last batch is ``through`` (already loaded) or
+    older; returns how many were rewritten."""
+    todo = mixed_parts(wh).where(F.col("last_batch") <= through).collect()
+    if not todo:
+        return 0
+    parts = [r["trade_part"] for r in todo]
+    rows = wh.read("stg_stock_price").where(F.col("trade_part").isin(parts))
+    wh.replace(_resolve(rows), "stg_stock_price")
+    for part, last_batch in todo:
+        _log(wh, [part], last_batch, compacted=True)
+    return len(parts)
 
 
 def incremental_filter(staging: DataFrame, last_batch_id: int | None) -> DataFrame:
@@ -50,5 +121,15 @@ def incremental_filter(staging: DataFrame, last_batch_id: int | None) -> DataFra
     return staging.where(F.col("_batch_id") > last_batch_id)
 
 
+def new_batches(wh: Warehouse, last_batch_id: int | None) -> tuple[DataFrame, int | None]:
+    """Staged rows after the mark, read from the partitions the log names, and the newest batch."""
+    log = wh.read("staging_log").where("not compacted")
+    if last_batch_id is not None:
+        log = log.where(F.col("batch_id") > last_batch_id)
+    rows = log.groupBy("trade_part").agg(F.max("batch_id").alias("newest")).collect()
+    staging = wh.read("stg_stock_price").where(F.col("trade_part").isin([r["trade_part"] for r in rows]))
+    return incremental_filter(staging, last_batch_id), max((r["newest"] for r in rows), default=None)
+
+
 def refresh_companies(wh: Warehouse) -> None:
     wh.replace(latest_profile(wh.read("landing_profiles")), "stg_companies")

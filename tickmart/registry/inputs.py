@@ -121,7 +121,6 @@ def staged(ticks: DataFrame) -> DataFrame:
                 F.col("ticker_symbol"), F.col("trade_date").cast("string"), F.col("close_price").cast("string")
             ),
             "_loaded_at": F.expr("timestamp_ntz'2024-02-01 00:00:00'"),
-            "trade_day": F.to_date("trade_date"),
         }
     ).drop("event_id", "l_orderkey", "l_linenumber")
 

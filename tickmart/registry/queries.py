@@ -14,7 +14,7 @@ from tickmart.functions.calendar import time_bucket
 from tickmart.operators import checks, dims, marts
 from tickmart.operators import validate as v
 from tickmart.operators.bars import bar_days, bar_range, to_bars, with_month
-from tickmart.operators.enrich import enrich, exchange_lookup, price_metrics
+from tickmart.operators.enrich import enrich, exchange_lookup, price_metrics, running_vwap
 from tickmart.plans import control, load, staging
 from tickmart.registry import inputs as i
 from tickmart.session import materialize, scratch_path
@@ -351,7 +351,7 @@ BAR = ["symbol", "interval_start"]
 
 @named("price_metrics")
 def price_metrics_e(spark, sf):
-    rows = price_metrics(enrich(bars_e(spark, sf)))
+    rows = price_metrics(enrich(materialize(bars_e(spark, sf), "bars")))
     return rows.select(*BAR, "adj_close", "price_change", "price_change_pct", "price_range")
 
 
@@ -363,27 +363,27 @@ def trade_status(spark, sf):
 
 @query
 def vwap(spark, sf):
-    return enrich(bars_e(spark, sf)).select(*BAR, "vwap")
+    return running_vwap(bars_e(spark, sf)).select(*BAR, "vwap")
 
 
 @query
 def vwap_l(spark, sf):
-    return enrich(bars_l(spark, sf)).select(*BAR, "vwap")
+    return running_vwap(bars_l(spark, sf)).select(*BAR, "vwap")
 
 
 @query
 def previous_close(spark, sf):
-    return enrich(bars_e(spark, sf)).select(*BAR, "previous_close")
+    return enrich(materialize(bars_e(spark, sf), "bars")).select(*BAR, "previous_close")
 
 
 @query
 def previous_close_l(spark, sf):
-    return enrich(bars_l(spark, sf)).select(*BAR, "previous_close")
+    return enrich(materialize(bars_l(spark, sf), "bars")).select(*BAR, "previous_close")
 
 
 @query
 def sma_50(spark, sf):
-    return marts.moving_average(bars_e(spark, sf), block=256)
+    return marts.moving_average(materialize(bars_e(spark, sf), "bars"), block=256)
 
 
 # --- business queries ----------------------------------------------------------------------------
@@ -652,8 +652,10 @@ def monthly_partitions(spark, sf):
 def incremental_filter_e(spark, sf):
     """Ticks of the batches after the first."""
     wh = fresh(spark, "incremental_filter")
-    wh.replace(i.staged(_deal(i.ticks_e(spark, sf))).withColumnRenamed("batch", "_batch_id"), "stg_stock_price")
-    return staging.incremental_filter(wh.read("stg_stock_price"), 1).select("ticker_symbol", "trade_date", "_batch_id")
+    dealt = _deal(i.ticks_e(spark, sf))
+    for batch_id in (1, 2, 3):
+        staging.append_staging(wh, i.staged(dealt.where(F.col("batch") == batch_id)), batch_id)
+    return staging.new_batches(wh, 1)[0].select("ticker_symbol", "trade_date", "_batch_id")
 
 
 

@@ -25,6 +25,13 @@ COMPANY = (
     "is_active boolean, is_etf boolean, is_fund boolean, " + LINEAGE
 )
 
+# Sort order inside files, so that Parquet statistics skip what a time filter rules out.
+FILE_ORDER = {
+    "stg_stock_price": "trade_date",
+    "agg_15min_raw": "interval_start",
+    "fact_15min_stock_price": "fk_date_id",
+}
+
 # name -> (columns, partition columns)
 TABLES: dict[str, tuple[str, tuple[str, ...]]] = {
     "landing_prices": (
@@ -43,9 +50,10 @@ TABLES: dict[str, tuple[str, tuple[str, ...]]] = {
         "open_price decimal(18,6), high_price decimal(18,6), low_price decimal(18,6), "
         "close_price decimal(18,6), volume bigint, symbol_type string, _source_name string, "
         "_source_filename string, _is_cleaned boolean, _is_duplicate boolean, _audit_hash string, "
-        "_loaded_at timestamp_ntz, trade_day date, _batch_id bigint",
-        ("trade_day", "_batch_id"),
+        "_loaded_at timestamp_ntz, _batch_id bigint, trade_part date",
+        ("trade_part",),
     ),
+    "staging_log": ("trade_part date, batch_id bigint, compacted boolean", ()),
     "rejected_prices": (
         "symbol string, " + ", ".join(f"{c} string" for c in PRICE_TEXT)
         + f", {LINEAGE}, reject_reason string, _batch_id bigint",

@@ -35,9 +35,9 @@ def read_profiles(spark: SparkSession, path: str, whole_files: bool = True) -> D
     A response is an array of profiles: one file each, or one line each (``whole_files=False``,
     for many responses in a file). Empty responses give no row.
     """
-    ddl = ", ".join(f"{json_field(c)} string" for c in PROFILE_TEXT)
-    text = spark.read.option("wholetext", whole_files).text(path)
-    first = F.get(F.from_json("value", f"array<struct<{ddl.replace(' ', ':')}>>".replace(",:", ",")), F.lit(0))
+    fields = ",".join(f"{json_field(c)}:string" for c in PROFILE_TEXT)
+    text = spark.read.text(path, wholetext=whole_files)
+    first = F.get(F.from_json("value", f"array<struct<{fields}>>"), F.lit(0))
     rows = text.select(first.alias("p"), F.col("_metadata.file_name").alias("_source_filename"))
     return rows.where("p is not null").select(
         *[F.col("p")[json_field(c)].alias(c) for c in PROFILE_TEXT], "_source_filename"

@@ -1,8 +1,8 @@
 """Reading and writing the tables of one warehouse folder.
 
-Tables are Parquet folders. Landing, staging and logs only ever grow; bars, day summaries and
-facts are rewritten by whole partition and can be rebuilt from staging, so staging is the record.
-One writer at a time: Parquet has no transactions.
+Tables are Parquet folders. Landing and the logs only ever grow and are the record; staging, bars
+and facts are rewritten by whole partition and can be rebuilt from what they came from. One writer
+at a time: Parquet has no transactions.
 """
 
 from __future__ import annotations
@@ -14,13 +14,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickmart.schemas import TABLES
+from tickmart.schemas import FILE_ORDER, TABLES
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, root: str):
+    """``staging_unit`` is the span of a staging partition: 'day' once a month of ticks is more
+    than a rewrite should touch (hundreds of GB), 'month' below that."""
+
+    def __init__(self, spark: SparkSession, root: str, staging_unit: str = "month"):
+        if staging_unit not in ("day", "month"):
+            raise ValueError(staging_unit)
         self.spark = spark
         self.root = root.rstrip("/")
+        self.staging_unit = staging_unit
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -45,6 +51,8 @@ class Warehouse:
             # rebalance brings a partition's rows together (few files) and lets adaptive
             # execution cut a partition that is too big for one task
             df = df.hint("rebalance", *parts)
+        if name in FILE_ORDER:
+            df = df.sortWithinPartitions(*parts, FILE_ORDER[name])
         writer = df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
         writer.partitionBy(*parts).parquet(self.path(name))
 
