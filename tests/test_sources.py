@@ -16,6 +16,7 @@ def folder(tmp_path):
     (path / "BF_B.csv").write_text('﻿volume,close,extra,"date",open,high,low\n5,1.5,"x,y",2024-01-02,1,2,0\n')
     (path / "BAD.csv").write_text("date,open\n2024-01-02,1\n")
     (path / "TWICE.csv").write_text("date,open,high,low,close,volume,date\n2024-01-02,1,2,0,1,2,z\n")
+    (path / "EMPTY.csv").write_text("date,open,high,low,close,volume\n")
     (path / "NONE.csv").write_text("")
     (path / "notes.txt").write_text("not prices")
     big = path / "symbol=HOT"
@@ -41,6 +42,7 @@ def test_columns_are_bound_by_name_and_bad_files_do_not_stop_good_ones(spark, tm
     assert log["AAPL.csv"] == ("AAPL", 2, "success", None)
     assert log["BAD.csv"] == ("BAD", 0, "error", "header lacks or repeats: high, low, close, volume")
     assert log["TWICE.csv"][2:] == ("error", "header lacks or repeats: date")
+    assert log["EMPTY.csv"] == ("EMPTY", 0, "success", None)
     assert "NONE.csv" not in log  # Spark lists no file of zero bytes
     assert "notes.txt" not in log and log["part-1.csv"] == ("HOT", 1, "success", None)
 
@@ -60,7 +62,9 @@ def test_the_first_profile_of_each_response_counts(spark, tmp_path):
     (path / "a.json").write_text(json.dumps([first, {"symbol": "NO"}], indent=1))
     (path / "b.json").write_text("[]")
     (path / "c.json").write_text(json.dumps([{"symbol": "C", "ipoDate": "2001-02-03"}]))
-    got = {r.symbol: r for r in profiles.tag_profiles(profiles.read_profiles(spark, str(path))).collect()}
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    profiles.land_profiles(wh, str(path))
+    got = {r.symbol: r for r in wh.read("landing_profiles").collect()}
     assert set(got) == {"BF-B", "C"}
     row = got["BF-B"]
     assert (row.company_name, row.full_time_employees, row.is_etf, row.is_active, row.is_fund) == ("B, F", "12", "false", "true", None)
@@ -68,8 +72,14 @@ def test_the_first_profile_of_each_response_counts(spark, tmp_path):
 
 
 def test_sectors(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path / "wh"))
     (tmp_path / "s.csv").write_text("rank,symbol,sector\n1,A,Tech\n2,B,Energy\n")
-    assert sorted((r.symbol, r.sector) for r in profiles.read_sectors(spark, str(tmp_path / "s.csv")).collect()) == [("A", "Tech"), ("B", "Energy")]
+    profiles.land_sectors(wh, str(tmp_path / "s.csv"))
+    (tmp_path / "twice.csv").write_text("symbol,sector\nA,Tech\nA,Energy\n")
+    with pytest.raises(ValueError, match="1 symbols"):
+        profiles.land_sectors(wh, str(tmp_path / "twice.csv"))
+    rows = wh.read("landing_sectors").collect()
+    assert sorted((r.symbol, r.sector, r._source_filename) for r in rows) == [("A", "Tech", "s.csv"), ("B", "Energy", "s.csv")]
 
 
 def test_reset(spark, tmp_path, folder):

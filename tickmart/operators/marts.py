@@ -37,9 +37,10 @@ def any_range(ranges: list[Column]) -> Column:
 
 def star_join(fact: DataFrame, dim_date: DataFrame, dim_instrument: DataFrame) -> DataFrame:
     """Fact with calendar and instrument. The month is part of the join, so a filter on the
-    calendar prunes fact partitions at run time; the calendar is bounded by bar starts."""
+    calendar prunes fact partitions at run time. No bar start is hot: it has one row a symbol."""
     dates = dim_date.withColumnRenamed("sk_date_id", "fk_date_id")
-    return fact_instrument_join(lookup_join(fact, dates, ["yyyymm", "fk_date_id"], ["fk_instrument_id"], "inner"), dim_instrument)
+    dated = lookup_join(fact, dates, ["yyyymm", "fk_date_id"], how="inner")
+    return fact_instrument_join(dated, dim_instrument)
 
 
 def fact_instrument_join(fact: DataFrame, dim_instrument: DataFrame) -> DataFrame:

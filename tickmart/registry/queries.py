@@ -173,20 +173,21 @@ def canonical_symbol(spark, sf):
 
 @query
 def land_sectors(spark, sf):
-    path = scratch_path(spark, "sector_files")
-    i.profiles(spark, sf).select("symbol", "sector").write.option("header", True).csv(path)
-    return profiles.read_sectors(spark, path).select("symbol", "sector")
+    wh, path = fresh(spark, "landing"), scratch_path(spark, "sector_files")
+    companies(spark, sf).select("symbol", "sector").write.option("header", True).csv(path)
+    profiles.land_sectors(wh, path)
+    return wh.read("landing_sectors").select("symbol", "sector", "_source_name")
 
 
 @query
 def land_profiles(spark, sf):
-    path = scratch_path(spark, "profile_files")
+    wh, path = fresh(spark, "landing"), scratch_path(spark, "profile_files")
     rows = i.profiles(spark, sf)
     flags = ("is_active", "is_etf", "is_fund")
     fields = [(F.col(c).cast("boolean") if c in flags else F.col(c)).alias(profiles.json_field(c)) for c in i.PROFILE_TEXT]
     rows.select(F.to_json(F.array(F.struct(*fields)))).write.text(path)
-    landed = profiles.tag_profiles(profiles.read_profiles(spark, path, whole_files=False))
-    return landed.select(*i.PROFILE_TEXT, "_source_name")
+    profiles.land_profiles(wh, path, whole_files=False)
+    return wh.read("landing_profiles").select(*i.PROFILE_TEXT, "_source_name")
 
 
 # --- validation ----------------------------------------------------------------------------------

@@ -32,6 +32,9 @@ FILE_ORDER = {
     "fact_15min_stock_price": "fk_date_id",
 }
 
+# A write to these goes to a single partition, so its rows need no shuffle to meet there.
+ONE_PARTITION_A_WRITE = ("landing_prices", "rejected_prices", "elt_control")
+
 # name -> (columns, partition columns)
 TABLES: dict[str, tuple[str, tuple[str, ...]]] = {
     "landing_prices": (

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import csv
+import datetime as dt
+import re
 from collections.abc import Iterator
 from functools import reduce
 
@@ -28,7 +31,9 @@ def _first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         lines = []
         for path in batch["path"]:
-            store, inner = fs.FileSystem.from_uri(path.replace("file:///", "file:/").replace("file:/", "file:///"))
+            # the same places under the names Arrow knows
+            uri = re.sub("^s3a:", "s3:", re.sub("^file:/+", "file:///", path))
+            store, inner = fs.FileSystem.from_uri(uri)
             with store.open_input_stream(inner) as stream:
                 head = b""
                 while b"\n" not in head and (block := stream.read(1 << 16)):
@@ -49,12 +54,9 @@ def file_headers(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFra
     return files.mapInPandas(_first_lines, "path string, header string")
 
 
-def _names(header: str) -> list[str]:
-    return [name.strip().strip('"') for name in header.split(",")]
-
-
 def read_price_files(spark: SparkSession, path: str, glob: str = "*.csv") -> tuple[DataFrame, DataFrame]:
-    """All-text price rows with symbol and file, and the files that cannot be read.
+    """All-text price rows with symbol and path; and every file's path, with an error if its header
+    cannot be used.
 
     Spark binds a given schema by position, so files are read in groups of equal header. The
     driver holds one header per group and one path per file, as a file listing does.
@@ -63,12 +65,13 @@ def read_price_files(spark: SparkSession, path: str, glob: str = "*.csv") -> tup
     for row in file_headers(spark, path, glob).collect():
         by_header.setdefault(row["header"], []).append(row["path"])
 
-    frames, bad = [], []
+    frames, files = [], []
     for header, paths in sorted(by_header.items()):
-        names = _names(header)
+        names = [name.strip() for name in next(csv.reader([header]), [])]
         lacking = [c for c in PRICE_TEXT if names.count(c) != 1]
+        error = "header lacks or repeats: " + ", ".join(lacking) if lacking else None
+        files += [(p, error) for p in paths]
         if lacking:
-            bad += [(p, "header lacks or repeats: " + ", ".join(lacking)) for p in paths]
             continue
         # other columns get positional names: they are not read, and may repeat
         ddl = ", ".join(f"`{n if n in PRICE_TEXT else f'_x{i}'}` string" for i, n in enumerate(names))
@@ -77,7 +80,7 @@ def read_price_files(spark: SparkSession, path: str, glob: str = "*.csv") -> tup
     empty = spark.createDataFrame([], ", ".join(f"{c} string" for c in (*PRICE_TEXT, "_path")))
     rows = reduce(DataFrame.unionByName, frames, empty)
     rows = rows.select(file_symbol(F.col("_path")).alias("symbol"), *PRICE_TEXT, "_path")
-    return rows, spark.createDataFrame(bad, "_path string, error string")
+    return rows, spark.createDataFrame(files, "_path string, error string")
 
 
 def tag_lineage(rows: DataFrame, source_name: str, filename: Column, loaded_at: Column | None = None) -> DataFrame:
@@ -91,13 +94,15 @@ def _file_name(path: Column) -> Column:
     return F.url_decode(F.regexp_extract(path, "([^/]+)$", 1))
 
 
-def land_prices(wh: Warehouse, path: str, loaded_at: Column | None = None, glob: str = "*.csv") -> None:
+def land_prices(wh: Warehouse, path: str, loaded_at: dt.datetime | None = None, glob: str = "*.csv") -> None:
     """Append a folder of price files to landing and log every file, read or not."""
-    rows, bad = read_price_files(wh.spark, path, glob)
-    stamp = loaded_at if loaded_at is not None else F.localtimestamp()
-    landed = tag_lineage(rows, SOURCE_NAME, _file_name(F.col("_path")), stamp)
-    append_landing(wh, landed)
-    wh.append(ingest_log(landed, bad, stamp), "ingest_log")
+    loaded_at = loaded_at or dt.datetime.now()
+    stamp = F.lit(loaded_at.isoformat(" ")).cast("timestamp_ntz")
+    rows, files = read_price_files(wh.spark, path, glob)
+    append_landing(wh, tag_lineage(rows, SOURCE_NAME, _file_name(F.col("_path")), stamp))
+    # counted from the landed table, so the files are read once
+    landed = wh.read("landing_prices").where((F.col("load_date") == F.to_date(stamp)) & (F.col("_loaded_at") == stamp))
+    wh.append(ingest_log(landed, files).withColumn("_loaded_at", stamp), "ingest_log")
 
 
 def append_landing(wh: Warehouse, landed: DataFrame) -> None:
@@ -109,14 +114,15 @@ def reset_landing(wh: Warehouse) -> None:
         wh.reset(name)
 
 
-def ingest_log(landed: DataFrame, bad: DataFrame, loaded_at: Column) -> DataFrame:
-    good = landed.groupBy("_source_filename", "symbol").agg(F.count("*").alias("rows"))
-    good = good.withColumns({"status": F.lit("success"), "error": F.lit(None).cast("string")})
-    failed = bad.select(
-        _file_name(F.col("_path")).alias("_source_filename"),
-        file_symbol(F.col("_path")).alias("symbol"),
-        F.lit(0).cast("bigint").alias("rows"),
-        F.lit("error").alias("status"),
+def ingest_log(landed: DataFrame, files: DataFrame) -> DataFrame:
+    """A row per file: how many rows landed, or why it was left out."""
+    path = F.col("_path")
+    listed = files.select(_file_name(path).alias("_source_filename"), file_symbol(path).alias("symbol"), "error")
+    counts = landed.groupBy("_source_filename", "symbol").agg(F.count("*").alias("rows"))
+    return listed.join(counts, ["_source_filename", "symbol"], "left").select(
+        "_source_filename",
+        "symbol",
+        F.coalesce("rows", F.lit(0)).alias("rows"),
+        F.when(F.col("error").isNull(), "success").otherwise("error").alias("status"),
         "error",
     )
-    return good.unionByName(failed).withColumn("_loaded_at", loaded_at)

@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickmart.operators.checks import check_unique
 from tickmart.schemas import PROFILE_TEXT
+from tickmart.sources.prices import SOURCE_NAME, tag_lineage
+from tickmart.sources.tables import Warehouse
 
 # Field of the JSON response for each profile column, where the names differ.
 JSON_FIELDS = {
@@ -44,6 +47,16 @@ def read_profiles(spark: SparkSession, path: str, whole_files: bool = True) -> D
     )
 
 
-def tag_profiles(rows: DataFrame, loaded_at: Column | None = None) -> DataFrame:
-    stamp = loaded_at if loaded_at is not None else F.localtimestamp()
-    return rows.withColumns({"_source_name": F.lit("API Import"), "_loaded_at": stamp})
+def land_sectors(wh: Warehouse, path: str) -> None:
+    """Replace the sector list. It is not landed if a symbol occurs twice."""
+    rows = read_sectors(wh.spark, path)
+    repeated = check_unique(rows, ["symbol"], "sector symbol").first()["violations"]
+    if repeated:
+        raise ValueError(f"{repeated} symbols are listed more than once")
+    wh.replace(tag_lineage(rows, SOURCE_NAME, F.col("_source_filename")), "landing_sectors")
+
+
+def land_profiles(wh: Warehouse, path: str, whole_files: bool = True, loaded_at: Column | None = None) -> None:
+    """Append collected profiles; the newest of a symbol counts later on."""
+    rows = read_profiles(wh.spark, path, whole_files)
+    wh.append(tag_lineage(rows, "API Import", F.col("_source_filename"), loaded_at), "landing_profiles")

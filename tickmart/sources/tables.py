@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickmart.schemas import FILE_ORDER, TABLES
+from tickmart.schemas import FILE_ORDER, ONE_PARTITION_A_WRITE, TABLES
 
 
 class Warehouse:
@@ -47,7 +47,7 @@ class Warehouse:
     def _write(self, df: DataFrame, name: str, mode: str) -> None:
         _, parts = TABLES[name]
         df = df.select(*layout(name).names)
-        if parts:
+        if parts and name not in ONE_PARTITION_A_WRITE:
             # rebalance brings a partition's rows together (few files) and lets adaptive
             # execution cut a partition that is too big for one task
             df = df.hint("rebalance", *parts)
