@@ -90,7 +90,8 @@ def dedup_prices(ticks: DataFrame, order: tuple[str, ...] = PRECEDENCE, was_dupl
     flag = F.count("*") > 1
     if was_duplicate:
         flag = flag | F.bool_or(was_duplicate)
-    best = ticks.groupBy(*TICK_KEY).agg(
+    # time first: rows are sorted by the key, and times tell them apart sooner than symbols
+    best = ticks.groupBy(*reversed(TICK_KEY)).agg(
         F.max(F.struct(*order, *rest)).alias("_best"), flag.alias("_is_duplicate")
     )
     return best.select(*TICK_KEY, "_best.*", "_is_duplicate")

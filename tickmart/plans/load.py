@@ -15,7 +15,7 @@ from tickmart.operators import dims
 from tickmart.operators.bars import bar_days, bar_range, day_links, to_bars, with_month
 from tickmart.operators.enrich import enrich, fact_rows, symbol_keys
 from tickmart.operators.joins import lookup_join
-from tickmart.plans.control import Run, finish_run, last_batch, set_control, start_run
+from tickmart.plans.control import JOB, Run, finish_run, last_batch, set_control, start_run
 from tickmart.plans.staging import compact_staging, incremental_filter, new_batches, read_staging
 from tickmart.session import materialize
 from tickmart.sources.tables import Warehouse
@@ -139,7 +139,7 @@ def _rejects_after(wh: Warehouse, mark: int | None) -> int:
 
 
 def _later(high_water: dt.datetime | None, wh: Warehouse) -> dt.datetime | None:
-    known = wh.read("elt_control").agg(F.max("last_processed")).first()[0]
+    known = wh.read("elt_control").where(F.col("job_name") == JOB).agg(F.max("last_processed")).first()[0]
     return max((t for t in (high_water, known) if t is not None), default=None)
 
 

@@ -14,8 +14,11 @@ from pyspark.sql import functions as F
 
 from tickmart.functions.text import to_trade_date
 from tickmart.operators.validate import dedup_prices, latest_profile, rejected_prices, stage_prices
+from tickmart.plans.control import set_control
 from tickmart.sources.tables import Warehouse
 
+STAGE_JOB = "stage_prices_job"
+
 
 def _part(wh: Warehouse, at: Column) -> Column:
     return F.trunc(at.cast("date"), "month") if wh.staging_unit == "month" else at.cast("date")
@@ -25,8 +28,7 @@ def _parts_of_days(wh: Warehouse, days: list[dt.date]) -> list[dt.date]:
     return sorted({d.replace(day=1) if wh.staging_unit == "month" else d for d in days})
 
 
-def _log(wh: Warehouse, parts: list[dt.date], batch_id: int, compacted: bool = False) -> None:
-    rows = [(part, batch_id, compacted) for part in parts]
+def _log(wh: Warehouse, rows: list[tuple[dt.date, int, bool]]) -> None:
     wh.append(wh.spark.createDataFrame(rows, "trade_part date, batch_id bigint, compacted boolean"), "staging_log")
 
 
@@ -49,7 +51,7 @@ def append_staging(wh: Warehouse, staged: DataFrame, batch_id: int, parts: list[
         others = stored.where(F.col("_batch_id") != batch_id)
         wh.replace(others.unionByName(rows.select(*others.columns)), "stg_stock_price")
         return
-    _log(wh, parts, batch_id)
+    _log(wh, [(part, batch_id, False) for part in parts])
     wh.append(rows, "stg_stock_price")
 
 
@@ -66,6 +68,26 @@ def stage_batch(wh: Warehouse, landing: DataFrame, batch_id: int) -> None:
     wh.replace(rejects, "rejected_prices")
 
 
+def stage_new(wh: Warehouse) -> int | None:
+    """Stage what landed since the last time, as the next batch; its id, or None if nothing did.
+
+    If it breaks off, the next call stages the same batch again.
+    """
+    known = wh.read("elt_control").where(F.col("job_name") == STAGE_JOB).first()
+    landing = wh.read("landing_prices")
+    if known is not None:
+        mark = F.lit(known["last_processed"].isoformat(" ")).cast("timestamp_ntz")
+        landing = landing.where((F.col("load_date") >= F.to_date(mark)) & (F.col("_loaded_at") > mark))
+    newest = landing.agg(F.max("_loaded_at")).first()[0]
+    if newest is None:
+        return None
+    batch_id = known["last_batch_id"] + 1 if known is not None else 1
+    until = F.col("_loaded_at") <= F.lit(newest.isoformat(" ")).cast("timestamp_ntz")
+    stage_batch(wh, landing.where(until), batch_id)
+    set_control(wh, "completed", newest, batch_id, STAGE_JOB)
+    return batch_id
+
+
 def mixed_parts(wh: Warehouse) -> DataFrame:
     """Partitions more than one batch wrote since they were last compacted, with their last batch."""
     log = wh.read("staging_log")
@@ -109,8 +131,7 @@ def compact_staging(wh: Warehouse, through: int) -> int:
     parts = [r["trade_part"] for r in todo]
     rows = wh.read("stg_stock_price").where(F.col("trade_part").isin(parts))
     wh.replace(_resolve(rows), "stg_stock_price")
-    for part, last_batch in todo:
-        _log(wh, [part], last_batch, compacted=True)
+    _log(wh, [(r["trade_part"], r["last_batch"], True) for r in todo])
     return len(parts)
 
 
