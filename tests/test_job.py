@@ -2,6 +2,8 @@
 
 import json
 
+import pytest
+
 from tickmart import job
 from tickmart.sources.tables import Warehouse
 from tickmart.registry.queries import natural_fact
@@ -45,6 +47,16 @@ def test_files_to_facts(spark, tmp_path):
     run("load", "--full")
     assert sorted(natural_fact(wh).collect()) == after
 
+    # a stream goes on where batches ended, and then has landing to itself
+    write_prices(tmp_path / "three", "IRX.csv", [("02 10:00", 3, 1)])
+    run("land-prices", tmp_path / "three")
+    run("stream")
+    (new,) = set(natural_fact(wh).collect()) - set(after)
+    assert (new.symbol, new.fk_date_id, new.previous_close) == ("IRX", 20240102100000, 1)
+    with pytest.raises(RuntimeError, match="stream"):
+        run("load")
+    after = sorted([*after, new])
+
     other = Warehouse(spark, str(tmp_path / "streamed"))
     wh.read("landing_prices").write.partitionBy("load_date").parquet(other.path("landing_prices"))
     job.run(spark, ["--warehouse", other.root, "stream"])

@@ -66,12 +66,12 @@ def random_ticks(rng, n):
     return list(found.values())
 
 
-@pytest.mark.parametrize("seed, unit", [(1, "month"), (2, "day")])
-def test_incremental_equals_full_for_any_arrival_order(warehouse, seed, unit):
+@pytest.mark.parametrize("seed, unit, batches", [(1, "month", 3), (2, "day", 2)])
+def test_incremental_equals_full_for_any_arrival_order(warehouse, seed, unit, batches):
     rng = random.Random(seed)
     rows = random_ticks(rng, 160)
     rng.shuffle(rows)
-    cuts = sorted(rng.sample(range(1, len(rows)), 2))
+    cuts = sorted(rng.sample(range(1, len(rows)), batches - 1))
     parts = [rows[a:b] for a, b in zip([0, *cuts], [*cuts, len(rows)])]
     wh = warehouse(staging_unit=unit)
     for batch_id, part in enumerate(parts, 1):

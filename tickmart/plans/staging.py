@@ -18,6 +18,7 @@ from tickmart.plans.control import set_control
 from tickmart.sources.tables import Warehouse
 
 STAGE_JOB = "stage_prices_job"
+STREAM_JOB = "stream_load_job"
 
 
 def _part(wh: Warehouse, at: Column) -> Column:
@@ -73,6 +74,8 @@ def stage_new(wh: Warehouse) -> int | None:
 
     If it breaks off, the next call stages the same batch again.
     """
+    if wh.read("elt_control").where(F.col("job_name").startswith(STREAM_JOB)).first() is not None:
+        raise RuntimeError("landing of this warehouse is staged by a stream")
     known = wh.read("elt_control").where(F.col("job_name") == STAGE_JOB).first()
     landing = wh.read("landing_prices")
     if known is not None:
@@ -88,13 +91,25 @@ def stage_new(wh: Warehouse) -> int | None:
     return batch_id
 
 
+def stream_base(wh: Warehouse, checkpoint: str) -> int:
+    """The batch id a stream counts from: the last one at its first start, remembered with its
+    checkpoint so that restarts give a micro-batch the same id."""
+    job = f"{STREAM_JOB} {checkpoint}"
+    known = wh.read("elt_control").where(F.col("job_name") == job).first()
+    if known is not None:
+        return known["last_batch_id"]
+    base = wh.read("staging_log").agg(F.max("batch_id")).first()[0] or 0
+    set_control(wh, "started", None, base, job)
+    return base
+
+
 def mixed_parts(wh: Warehouse) -> DataFrame:
     """Partitions more than one batch wrote since they were last compacted, with their last batch."""
     log = wh.read("staging_log")
-    base = F.max(F.when(F.col("compacted"), F.col("batch_id")))
-    parts = log.groupBy("trade_part").agg(F.collect_set("batch_id").alias("ids"), base.alias("base"))
-    live = F.filter("ids", lambda b: F.col("base").isNull() | (b >= F.col("base")))
-    return parts.where(F.size(live) > 1).select("trade_part", F.array_max("ids").alias("last_batch"))
+    base = log.where("compacted").groupBy("trade_part").agg(F.max("batch_id").alias("base"))
+    live = log.join(base, "trade_part", "left").where("base is null or batch_id >= base")
+    ends = live.groupBy("trade_part").agg(F.min("batch_id").alias("first_batch"), F.max("batch_id").alias("last_batch"))
+    return ends.where("first_batch < last_batch").select("trade_part", "last_batch")
 
 
 def read_staging(wh: Warehouse, days: list[dt.date] | None = None) -> DataFrame:

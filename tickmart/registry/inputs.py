@@ -126,11 +126,12 @@ def staged(ticks: DataFrame) -> DataFrame:
 
 
 def profiles(spark: SparkSession, sf: str) -> DataFrame:
-    """Landed profiles: one per supplier, several versions of most companies."""
-    suppliers = table(spark, sf, "supplier").where("s_suppkey % 10 <> 9")
-    rows = suppliers.join(table(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    """Landed profiles: one per supplier, several versions of most companies. T9 is not traded, and
+    S9, which is, has no profile."""
+    digit = (F.col("s_suppkey") % 10).cast("string")
+    rows = table(spark, sf, "supplier").join(table(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
     known = {
-        "symbol": F.concat(F.lit("S"), (F.col("s_suppkey") % 10).cast("string")),
+        "symbol": F.concat(F.when(digit == "9", "T").otherwise("S"), digit),
         "company_name": F.col("s_name"),
         "sector": F.col("n_name"),
         "currency": F.lit("USD"),

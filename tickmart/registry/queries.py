@@ -158,11 +158,12 @@ def append_landing(spark, sf):
 
 @query
 def reset_landing(spark, sf):
+    """Landing after a load, a reset and the whole once more."""
     wh = fresh(spark, "landing")
     first, second = _landing_batches(spark, sf)
     prices.append_landing(wh, first)
     prices.reset_landing(wh)
-    prices.append_landing(wh, second)
+    prices.append_landing(wh, first.unionByName(second))
     return wh.read("landing_prices").drop("load_date")
 
 

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tickmart.functions.calendar import yyyymm
 from tickmart.operators.bars import bar_measures
 from tickmart.plans.load import incremental_load
-from tickmart.plans.staging import stage_batch
+from tickmart.plans.staging import stage_batch, stream_base
 from tickmart.session import materialize
 from tickmart.sources.tables import Warehouse
 
@@ -65,15 +65,17 @@ def stream_bars(wh: Warehouse, ticks: DataFrame, checkpoint: str, minutes: int =
 
 
 def stream_load(wh: Warehouse, landing: DataFrame, checkpoint: str, minutes: int = 15,
-                first_batch: int = 1, every: str | None = "5 minutes") -> StreamingQuery:
+                every: str | None = "5 minutes") -> StreamingQuery:
     """Continuous load of landed rows through staging into the star schema, exact for any lateness.
 
     Enrichment needs row windows, which streams do not offer, so each micro-batch is staged and
-    loaded incrementally. A micro-batch keeps its id when retried and then replaces itself.
+    loaded incrementally. A micro-batch keeps its id when retried and then replaces itself. Batches
+    staged before the stream's first start keep theirs.
     """
+    base = stream_base(wh, checkpoint)
 
     def sink(landed: DataFrame, epoch: int) -> None:
-        stage_batch(wh, landed, first_batch + epoch)
+        stage_batch(wh, landed, base + 1 + epoch)
         incremental_load(wh, minutes)
 
     return start(landing, sink, checkpoint, "append", every)
