@@ -12,6 +12,7 @@ from tickmart.operators import dims, validate
 from tickmart.operators.bars import bar_range, to_bars
 from tickmart.operators.checks import check_bounds, check_fk, check_unique, magnitude, max_length, not_null
 from tickmart.operators.enrich import enrich, price_metrics
+from tickmart.streaming.stream import to_instant, to_wall_clock
 
 
 def values(spark, column, inputs, ddl="v string"):
@@ -159,6 +160,11 @@ def test_wall_clock_does_not_depend_on_the_session_zone(spark, zone):
         night = at("2024-03-10 02:38:30")
         got = values(spark, lambda v: F.struct(time_bucket(v, 15), time_bucket(v, 7), smart_key(v)), [night], "v timestamp_ntz")
         assert tuple(got[0]) == (at("2024-03-10 02:30"), at("2024-03-10 02:35"), 20240310023830)
+        times = [at("2024-03-10 02:38:30.123456"), at("2024-11-03 01:10"), at("1969-12-31 23:59:59.999999")]
+        rows = spark.createDataFrame([(t,) for t in times], "v timestamp_ntz").withColumn("i", to_instant("v"))
+        got = rows.select(to_wall_clock("i"), F.unix_micros("i")).collect()
+        epoch = at("1970-01-01")
+        assert [tuple(r) for r in got] == [(t, round((t - epoch) / dt.timedelta(microseconds=1))) for t in times]
     finally:
         spark.conf.set("spark.sql.session.timeZone", kept)
 

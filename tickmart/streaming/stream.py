@@ -20,8 +20,15 @@ TICK = ["ticker_symbol", "symbol_type", "timezone"]
 
 
 def to_instant(column: str) -> Column:
-    """Watermarks need a zoned timestamp: read the wall clock as UTC, whatever the session zone."""
-    return F.expr(f"timestamp_micros(timestampdiff(MICROSECOND, {EPOCH}, {column}))")
+    """Watermarks need a zoned timestamp: read the wall clock as UTC, whatever the session zone.
+
+    Put together from parts, because Spark subtracts and casts by way of the session zone, which
+    bends an hour a year.
+    """
+    at = F.col(column)
+    minutes = F.unix_date(at.cast("date")).cast("bigint") * 1440 + F.hour(at) * 60 + F.minute(at)
+    micros = (F.extract(F.lit("SECOND"), at) * 1_000_000).cast("bigint")
+    return F.timestamp_micros(minutes * 60_000_000 + micros)
 
 
 def to_wall_clock(column: str) -> Column:
