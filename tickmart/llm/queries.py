@@ -117,3 +117,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_language_id, op7_token_counts, op8_decontamination, op9_quality_rules, op10_url_filters,
     )
 }
+
+#: DuckDB SQL of the queries that SQL can express on whole tables; the others are tested against
+#: brute force.
+ORACLES: dict[str, str] = {}
