@@ -10,16 +10,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Texts a language's dictionary is made of, about, and its bytes at most.
-TEXTS_PER_LANGUAGE, DICTIONARY_BYTES = 200, 1 << 16
+TEXTS_PER_LANGUAGE, DICTIONARY_BYTES = 1000, 1 << 17
 #: Languages at most; each costs one compression of every text.
 MOST_LANGUAGES = 200
 #: A text is compressed in blocks of this size, each beginning with the dictionary alone.
 BLOCK = 4096
-LEVEL = 3
+LEVEL = 5
 #: Rejected below this share of bytes saved against the second-best language.
 MARGIN = 0.01
 UNDECIDED = "und"
 ASCII_LETTER = re.compile(rb"[A-Za-z]")
+# only letters tell languages apart; digits and signs of ASCII become blanks
+LETTERS = bytes(c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
+
+
+def folded(text: str) -> bytes:
+    return text.lower().encode().translate(LETTERS)
 
 
 def has_letter(text: bytes) -> bool:
@@ -52,6 +58,7 @@ class Classifier:
         return self.compressors
 
     def sizes(self, text: bytes) -> list[int]:
+        text = folded(text.decode())
         blocks = [text[i : i + BLOCK] for i in range(0, len(text), BLOCK)]
         return [sum(len(compress(block)) for block in blocks) for compress in self.compress()]
 
@@ -92,7 +99,7 @@ def learn_languages(
     snippets: dict[str, list[str]] = {}
     for row in one.orderBy("lang", "mixed").collect():
         snippets.setdefault(row["lang"], []).append(row["snippet"])
-    return Classifier({lang: " ".join(found).encode()[:size] for lang, found in snippets.items()})
+    return Classifier({lang: folded(" ".join(found))[:size] for lang, found in snippets.items()})
 
 
 def identify_languages(docs: DataFrame, classifier: Classifier, id_column: str = "doc_id", text: str = "text") -> DataFrame:
