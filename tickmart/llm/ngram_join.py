@@ -319,10 +319,11 @@ def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text") ->
     order = F.struct(F.col(id_column).isNull().alias("no_id"), F.col(id_column).alias("id"), F.col("text_hash").alias("hash"))
     kept = found.groupBy(F.col("class_id"), F.when(F.col("class_id").isNull(), F.col("text_hash")).alias("_nameless")).agg(F.min(order).alias("least"))
     kept = kept.select(F.col("least.id").alias("_id"), F.col("least.hash").alias("_hash"))
-    # one number to join and to find repeated rows by, so that texts are shuffled once
+    # one number to join and to find repeated rows by, so that texts are shuffled once; the rows
+    # travel as structs, as their columns may have any names
     kept = kept.withColumn("_key", F.xxhash64("_id", "_hash"))
-    rows = docs.withColumn("_mine", F.xxhash64(text))
-    rows = rows.withColumn("_same", F.xxhash64(id_column, "_mine"))
-    match = (F.col("_same") == F.col("_key")) & F.col(id_column).eqNullSafe(F.col("_id")) & (F.col("_mine") == F.col("_hash"))
+    rows = docs.select(F.struct(F.col("*")).alias("row"), F.col(id_column).alias("id"), F.xxhash64(text).alias("hash"))
+    rows = rows.withColumn("key", F.xxhash64("id", "hash"))
+    match = (F.col("key") == F.col("_key")) & F.col("id").eqNullSafe(F.col("_id")) & (F.col("hash") == F.col("_hash"))
     stay = rows.join(kept.select("_key", "_id", "_hash"), match, "left_semi")
-    return stay.dropDuplicates(["_same", id_column, "_mine"]).drop("_same", "_mine")
+    return stay.dropDuplicates(["key", "id", "hash"]).select("row.*")
