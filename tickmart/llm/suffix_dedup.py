@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +23,7 @@ from tickmart.llm.suffix_sort import sort_strings
 from tickmart.session import materialize, scratch_path
 
 LENGTH, KEY = 200, 32
-#: Occurrences of one key that are sorted together at most; more are compared by distributed counts.
+#: Occurrences of one key that are sorted together at most; more are told apart by longer keys first.
 TOGETHER = 20_000
 #: Rows that are sorted at once, many keys together.
 AT_ONCE = 8_192
@@ -113,9 +114,10 @@ def contexts(batches: Iterator[pa.RecordBatch], length: int, key: int) -> Iterat
             yield pa.RecordBatch.from_arrays([*columns, pa.array(around, pa.binary())], ["key", "t1", "t2", "at", "crowd", "around"])
 
 
-def twins(segment: np.ndarray, around: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+def twins(segment: np.ndarray, around: np.ndarray, length: int, start: np.ndarray | None = None, end: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """For each anchor the least and greatest distance to it from the start of a ``length``-byte
     string around it that another row of its segment has, too, at the same distance; (1, 0) if none.
+    With ``start`` and ``end`` only distances between those of the row count.
 
     Suffixes are sorted by what follows the anchor, and by what precedes it read backwards. Rows that
     agree on the bytes after the anchor are neighbours in the one order, those that agree on the bytes
@@ -125,6 +127,10 @@ def twins(segment: np.ndarray, around: np.ndarray, length: int) -> tuple[np.ndar
     ahead, behind = around[:, left:], np.ascontiguousarray(around[:, :left][:, ::-1])
     room_ahead = length - (ahead == OUTSIDE).sum(1)
     room_behind = left - (behind == OUTSIDE).sum(1)
+    start = np.zeros(n, np.int64) if start is None else start
+    end = np.full(n, left, np.int64) if end is None else end
+    # the distances at which a string stays inside its text
+    start, end = np.maximum(start, length - room_ahead), np.minimum(end, room_behind)
     classes = []
     for side in (ahead, behind):
         order, common = sort_strings(side, segment)
@@ -141,9 +147,8 @@ def twins(segment: np.ndarray, around: np.ndarray, length: int) -> tuple[np.ndar
     whole = agree(common_a, place_a, length) * (n + 1) + agree(common_b, place_b, left)
     _, first, of, times = np.unique(whole, return_index=True, return_inverse=True, return_counts=True)
     several = (times > 1)[of]
-    first_start, last_start = np.maximum(0, length - room_ahead), np.minimum(left, room_behind)
-    fits = several & (first_start <= last_start)
-    low[fits], high[fits] = first_start[fits], last_start[fits]
+    fits = several & (start <= end)
+    low[fits], high[fits] = start[fits], end[fits]
     # of the others, only segments with several different rows need a closer look
     per_segment = np.bincount(segment[first], minlength=int(segment.max()) + 1 if n else 0)
     single = np.bincount(segment[first][times == 1], minlength=len(per_segment))
@@ -152,7 +157,7 @@ def twins(segment: np.ndarray, around: np.ndarray, length: int) -> tuple[np.ndar
         return low, high
     found = np.zeros(n, bool)
     for j in range(left + 1):
-        valid = rows[(room_ahead[rows] >= length - j) & (room_behind[rows] >= j)]
+        valid = rows[(start[rows] <= j) & (j <= end[rows])]
         if len(valid) < 2:
             continue
         code = agree(common_a, place_a, length - j)[valid] * (n + 1) + agree(common_b, place_b, j)[valid]
@@ -169,56 +174,117 @@ def twins(segment: np.ndarray, around: np.ndarray, length: int) -> tuple[np.ndar
     return low, high
 
 
-def compare(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """Ranges (start, end) of texts in repeated strings around each anchor, sorted by key."""
+def sorted_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Rows sorted by key, whole keys together, about AT_ONCE at a time; and the keys' sizes."""
     for table, starts in runs(batches, 1):
         bounds = np.append(starts, table.num_rows)
         first = 0
         while first < len(starts):
             last = max(first + 1, int(np.searchsorted(bounds, bounds[first] + AT_ONCE, side="right")) - 1)
-            part = table.slice(bounds[first], bounds[last] - bounds[first]).combine_chunks()
-            sizes = np.diff(bounds[first : last + 1])
-            raw = b"".join(part.column(4).to_pylist())
-            around = np.frombuffer(raw, np.uint8).reshape(part.num_rows, -1)
-            low, high = twins(np.repeat(np.arange(len(sizes)), sizes), around, length)
-            yield ranges(part, part.column(3).to_numpy().astype(np.int64), low, high, length)
+            yield table.slice(bounds[first], bounds[last] - bounds[first]).combine_chunks(), np.diff(bounds[first : last + 1])
             first = last
 
 
+def compare(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    """Ranges (start, end) of texts in repeated strings around each anchor, sorted by key."""
+    for part, sizes in sorted_parts(batches):
+        raw = b"".join(part.column(4).to_pylist())
+        around = np.frombuffer(raw, np.uint8).reshape(part.num_rows, -1)
+        low, high = twins(np.repeat(np.arange(len(sizes)), sizes), around, length)
+        yield ranges(part, part.column(3).to_numpy().astype(np.int64), low, high, length)
+
+
 def ranges(part: pa.Table, at: np.ndarray, low: np.ndarray, high: np.ndarray, length: int) -> pa.RecordBatch:
     hit = np.flatnonzero(low <= high)
     t1, t2 = (pa.array(part.column(c).to_numpy()[hit]) for c in (1, 2))
     return pa.RecordBatch.from_arrays([t1, t2, pa.array(at[hit] - high[hit]), pa.array(at[hit] - low[hit] + length)], ["t1", "t2", "start", "end"])
 
 
-def all_strings(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """Every ``length``-byte string around an anchor, with its distance to it: a hash of the string,
-    and one of it, the anchor's key and the distance. A place in a text may lie around several
-    anchors, but only once at the same distance from the same key."""
+def halves(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    """Each range of distances in two, with the bytes that strings at all its distances share hashed
+    to a new key, and those that any of them touches to ``reach``; none where the former leave the
+    text. ``first`` and ``last`` are the distances at which strings stay inside it."""
     for batch in batches:
-        for i, around in enumerate(batch.column(3)):
-            data = np.frombuffer(around.as_py(), np.uint8)
-            left = len(data) - length
-            outside = np.cumsum(np.concatenate([[0], data == OUTSIDE]))
-            good = outside[length:] == outside[: left + 1]
-            distance = (left - np.arange(left + 1))[good].astype(np.int32)
-            one = key_hashes(data, length)[good].view(np.int64)
-            where = mix(distance.astype(np.uint64) + np.uint64(batch.column(4)[i].as_py() % (1 << 64)))
-            two = mix(key_hashes(data ^ np.uint8(0x5A), length)[good] ^ where).view(np.int64)
-            same = [pa.array(np.full(len(one), batch.column(c)[i].as_py())) for c in (0, 1, 2)]
-            yield pa.RecordBatch.from_arrays([pa.array(one), pa.array(two), *same, pa.array(distance)], ["s1", "s2", "c1", "c2", "times", "j"])
-
-
-def crowded_ranges(rows: DataFrame, length: int) -> DataFrame:
-    """The same for keys of very many occurrences: equal surroundings are counted as one, then the
-    strings around those that differ. Both counts are pre-aggregated, so no key meets in one task."""
+        c1, c2, times, low, high = (batch.column(c).to_numpy() for c in range(5))
+        matrix = np.frombuffer(b"".join(batch.column(5).to_pylist()), np.uint8).reshape(batch.num_rows, -1)
+        left = matrix.shape[1] - length
+        out: dict[str, list[np.ndarray]] = {}
+        for start, end in {(int(x), int(y)) for x, y in zip(low, high, strict=True)}:
+            at = np.flatnonzero((low == start) & (high == end))
+            middle = (start + end) // 2
+            for first, last in {(start, middle), (min(middle + 1, end), end)}:
+                core, touched = matrix[at, left - first : left + length - last], matrix[at, left - last : left + length - first]
+                inside = ~(core == OUTSIDE).any(1)
+                own, rows = at[inside], int(inside.sum())
+                before = (matrix[own, :left] != OUTSIDE).sum(1)
+                behind = length - (matrix[own, left:] != OUTSIDE).sum(1)
+                salt = mix(np.uint64(first << 16 | last) + np.zeros(1, np.uint64))
+                key, reach = row_hashes(core[inside]) ^ salt, row_hashes(touched[inside]) ^ salt
+                parts = {
+                    "c1": c1[own], "c2": c2[own], "times": times[own], "low": np.full(rows, first), "high": np.full(rows, last), "row": own,
+                    "first": np.maximum(first, behind), "last": np.minimum(last, before),
+                    "key": key.view(np.int64), "reach": reach.view(np.int64),
+                }
+                for name, values in parts.items():
+                    out.setdefault(name, []).append(values)
+        if out:
+            columns = {name: pa.array(np.concatenate(values)) for name, values in out.items()}
+            around = batch.column(5).take(columns.pop("row"))
+            yield pa.RecordBatch.from_pydict(columns | {"around": around})
+
+
+def row_hashes(matrix: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each row's bytes and their number."""
+    weights = mix(np.arange(1, matrix.shape[1] + 1, dtype=np.uint64)) | np.uint64(1)
+    return mix((BYTE_VALUES[matrix] * weights).sum(1, dtype=np.uint64) + np.uint64(matrix.shape[1]))
+
+
+def compare_ranges(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    """Within keys, the least and greatest distances at which some surroundings share a string."""
+    for part, sizes in sorted_parts(batches):
+        raw = b"".join(part.column(5).to_pylist())
+        around = np.frombuffer(raw, np.uint8).reshape(part.num_rows, -1)
+        start, end = (part.column(c).to_numpy() for c in (3, 4))
+        low, high = twins(np.repeat(np.arange(len(sizes)), sizes), around, length, start, end)
+        hit = np.flatnonzero(low <= high)
+        c1, c2 = (part.column(c).to_numpy()[hit] for c in (1, 2))
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in (c1, c2, low[hit], high[hit])], ["c1", "c2", "low", "high"])
+
+
+def crowded_ranges(rows: DataFrame, length: int, together: int) -> DataFrame:
+    """The same for keys of very many occurrences, which must not meet in one task.
+
+    Equal surroundings become one kind. Then the range of distances is halved, again and again: what
+    strings at all distances of a half have in common is a longer key, under which fewer kinds meet.
+    Kinds that agree in all that a half touches repeat each other at each of its distances, and one
+    of them goes on for all; keys of no more than ``together`` kinds are sorted; the rest is halved
+    further, down to one distance, where key and reach are the same. Each round is counted with
+    partial aggregates and written.
+    """
     named = rows.withColumns({"c1": F.xxhash64("key", "around"), "c2": F.xxhash64("around", "key")})
-    kinds = named.groupBy("c1", "c2", "around", "key").agg(F.count("*").alias("times")).select("c1", "c2", "times", "around", "key")
-    strings = kinds.mapInArrow(lambda b: all_strings(b, length), "s1 bigint, s2 bigint, c1 bigint, c2 bigint, times bigint, j int")
-    often = strings.groupBy("s1", "s2").agg(F.sum("times").alias("n")).where("n > 1")
-    found = strings.join(often, ["s1", "s2"]).groupBy("c1", "c2").agg(F.min("j").alias("low"), F.max("j").alias("high"))
-    hit = named.join(found, ["c1", "c2"])
-    return hit.select("t1", "t2", (F.col("at") - F.col("high")).cast("bigint").alias("start"), (F.col("at") - F.col("low") + length).cast("bigint").alias("end"))
+    reach = F.octet_length("around").cast("bigint") - length
+    level = named.groupBy("c1", "c2", "around").agg(F.count("*").alias("times")).select(
+        "c1", "c2", "times", F.lit(0).cast("bigint").alias("low"), reach.alias("high"), "around"
+    )
+    level, found = materialize(level, "kinds"), []
+    while not level.isEmpty():
+        schema = "c1 bigint, c2 bigint, times bigint, low bigint, high bigint, first bigint, last bigint, key bigint, reach bigint, around binary"
+        parts = materialize(level.mapInArrow(lambda b: halves(b, length), schema), "halves")
+        alike = parts.groupBy("key", "reach", "low", "high").agg(F.sum("times").alias("times"), F.min(F.struct("c1", "c2", "around")).alias("one"))
+        alike = materialize(alike.select("key", "reach", "low", "high", "times", "one.*"), "alike")
+        several = alike.where("times > 1").select("key", "reach")
+        inside = parts.where("first <= last").join(several, ["key", "reach"])
+        found.append(inside.select("c1", "c2", F.col("first").alias("low"), F.col("last").alias("high")))
+        crowds = alike.groupBy("key").agg(F.count("*").alias("crowd")).where("crowd > 1")
+        met = materialize(alike.join(crowds, "key"), "met")
+        few = met.where(F.col("crowd") <= together).select("key", "c1", "c2", "low", "high", "around").repartition("key").sortWithinPartitions("key")
+        found.append(few.mapInArrow(lambda b: compare_ranges(b, length), "c1 bigint, c2 bigint, low bigint, high bigint"))
+        level = met.where(F.col("crowd") > together).select("c1", "c2", "times", "low", "high", "around")
+    if not found:
+        return named.select("t1", "t2", F.lit(0).cast("bigint").alias("start"), F.lit(0).cast("bigint").alias("end")).limit(0)
+    best = reduce(DataFrame.unionByName, found).groupBy("c1", "c2").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    hit = named.join(best, ["c1", "c2"])
+    return hit.select("t1", "t2", (F.col("at") - F.col("high")).alias("start"), (F.col("at") - F.col("low") + length).alias("end"))
 
 
 def distinct_texts(docs: DataFrame, text: str) -> DataFrame:
@@ -252,7 +318,7 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, key: int = KEY, toget
     crowded = materialize(around, "surroundings")
     sorted_ = crowded.where(F.col("crowd") <= together).select("key", "t1", "t2", "at", "around").repartition("key").sortWithinPartitions("key")
     parts = sorted_.mapInArrow(lambda b: compare(b, length), "t1 bigint, t2 bigint, start bigint, end bigint")
-    many = crowded_ranges(crowded.where(F.col("crowd") > together).drop("crowd"), length)
+    many = crowded_ranges(crowded.where(F.col("crowd") > together).drop("crowd"), length, together)
     copied = long.where("copies > 1").select("t1", "t2", F.lit(0).cast("bigint").alias("start"), F.octet_length("text").cast("bigint").alias("end"))
     parts = parts.unionByName(many).unionByName(copied).groupBy("t1", "t2").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     return parts.mapInArrow(merge_spans, "t1 bigint, t2 bigint, spans array<struct<start:bigint,end:bigint>>")
@@ -310,8 +376,10 @@ def repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", whole_cha
 def remove_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", **options) -> DataFrame:
     """``docs`` with its own columns, the repeated strings cut from the text, whole characters only.
     A null text stays null."""
-    kept = materialize(repeats(docs, length, text, True, **options).select(F.col("t1").alias("_t1"), F.col("t2").alias("_t2"), F.col("kept").cast("string").alias("_kept")), "kept")
-    t1, t2 = text_key(F.coalesce(F.col(text), F.lit("")))
-    keyed = docs.withColumns({"_k1": t1, "_k2": t2})
-    joined = keyed.join(kept, (F.col("_k1") == F.col("_t1")) & (F.col("_k2") == F.col("_t2")), "left")
-    return joined.withColumn(text, F.coalesce("_kept", text)).select(*docs.columns)
+    kept = repeats(docs, length, text, True, **options)
+    kept = materialize(kept.select(F.col("t1").alias("_t1"), F.col("t2").alias("_t2"), F.col("kept").cast("string").alias("kept")), "kept")
+    # the rows travel as structs, as their columns may have any names
+    rows = docs.select(F.struct(F.col("*")).alias("row"), *text_key(F.coalesce(F.col(text), F.lit(""))))
+    joined = rows.join(kept, (F.col("t1") == F.col("_t1")) & (F.col("t2") == F.col("_t2")), "left")
+    left = F.coalesce("kept", F.col("row")[text]).alias(text)
+    return joined.select(*[left if c == text else F.col("row")[c].alias(c) for c in docs.columns])
