@@ -1,6 +1,7 @@
 """Loads: incremental equals full for any arrival order, reruns change nothing."""
 
 import datetime as dt
+import pathlib
 import random
 from decimal import Decimal as D
 
@@ -10,6 +11,8 @@ from pyspark.sql import functions as F
 from tickmart.operators import checks, marts
 from tickmart.plans import control, load, staging
 from tickmart.registry.queries import natural_fact
+from tickmart.session import scratch_root
+from tickmart.sources import prices
 from tickmart.sources.tables import Warehouse
 
 LANDING = (
@@ -51,9 +54,9 @@ def check_same(one, other):
     assert facts(one) == facts(other)
 
 
-def full(wh, rows):
+def full(wh, rows, **options):
     stage(wh, rows, 1)
-    load.full_load(wh)
+    load.full_load(wh, **options)
     return wh
 
 
@@ -141,9 +144,10 @@ def test_empty_batch_and_control(warehouse):
     load.incremental_load(wh)
     assert control.last_status(wh) == "completed" and control.last_batch(wh) == 4
     row = wh.read("elt_control").first()
-    assert (row.id, row.last_processed) == (1, dt.datetime(2024, 1, 2, 9, 30))
-    log = wh.read("dim_meta_audit_log").first()
-    assert (log.row_count_raw, log.row_count_rejected) == (1, 2)
+    assert (row.id, row.last_processed, row.status) == (1, dt.datetime(2024, 1, 2, 9, 30), "completed")
+    log = wh.read("dim_meta_audit_log").orderBy(F.col("execution_end_ts").isNotNull()).collect()
+    assert [(r.sk_audit_id, r.row_count_raw, r.row_count_rejected, r.status) for r in log] == [(1, 1, 0, "started"), (1, 1, 2, "completed")]
+    assert [tuple(r) for r in control.runs(wh).select("sk_audit_id", "status").collect()] == [(1, "completed")]
 
 
 def test_a_failed_run_is_recorded_and_run_again(warehouse, monkeypatch):
@@ -154,6 +158,7 @@ def test_a_failed_run_is_recorded_and_run_again(warehouse, monkeypatch):
         with pytest.raises(ZeroDivisionError):
             load.incremental_load(wh)
     assert control.last_status(wh) == "failed" and not control.clear_bars(wh)
+    assert wh.read("elt_control").first().status == "failed"
     load.incremental_load(wh)
     assert control.last_status(wh) == "completed" and len(facts(wh)) == 1
 
@@ -179,3 +184,125 @@ def test_spark_keeps_wall_clock_marts(warehouse):
         assert [tuple(r) for r in got.collect()] == [("A", 2, 15.0)]
     star = marts.star_join(wh.read("fact_15min_stock_price"), wh.read("dim_date"), wh.read("dim_instrument"))
     assert [tuple(r) for r in marts.vol_avg_dim_filter(star, "January", [2024]).collect()] == [("A", 1, 10.0)]
+
+
+# --- retries, removals, settings -------------------------------------------------------------------
+
+
+def land(wh, rows):
+    return prices.append_landing(wh, wh.spark.createDataFrame(rows, LANDING))
+
+
+def test_a_batch_that_broke_off_is_staged_again_without_what_landed_since(warehouse, monkeypatch):
+    wh = warehouse()
+    land(wh, [tick("A", "2024-01-02 09:30", 1), tick("A", "x", 1)])
+    with monkeypatch.context() as broken:
+        broken.setattr(staging, "set_control", lambda *a: None if a[1] == "started" else 1 / 0)
+        broken.setattr(staging, "batch_landing", lambda wh, n, f=staging.batch_landing: f(wh, n))
+        with pytest.raises(ZeroDivisionError):
+            control.set_control(wh, "started", None, 1, staging.STAGE_JOB)
+            staging.stage_new(wh)
+    land(wh, [tick("A", "2024-02-02 09:30", 2)])  # another month
+    assert staging.stage_new(wh) == 1
+    assert staging.stage_new(wh) == 2
+    assert staging.stage_new(wh) is None
+    load.incremental_load(wh)
+    assert [r.close_price for r in sorted(natural_fact(wh).collect(), key=lambda r: r.fk_date_id)] == [D(1), D(2)]
+    assert wh.read("rejected_prices").count() == 1
+
+
+def test_a_batch_staged_again_may_write_other_partitions(warehouse):
+    wh = warehouse()
+    stage(wh, [tick("A", "2024-01-02 09:30", 1), tick("A", "2024-03-02 09:30", 1)], 1)
+    stage(wh, [tick("A", "2024-02-02 09:30", 2), tick("A", "2024-01-02 09:30", 3)], 1)
+    load.incremental_load(wh)
+    assert sorted((r.fk_date_id, r.close_price) for r in natural_fact(wh).collect()) == [(20240102093000, D(3)), (20240202093000, D(2))]
+
+
+def test_clocks_do_not_decide_what_is_staged(warehouse):
+    wh = warehouse()
+    land(wh, [tick("A", "2024-01-02 09:30", 1, loaded=9)])
+    assert staging.stage_new(wh) == 1
+    land(wh, [tick("A", "2024-01-02 09:45", 2, loaded=3)])  # an older stamp
+    assert staging.stage_new(wh) == 2
+    # one that broke off before it was complete is not staged
+    prices.append_landing(wh, wh.spark.createDataFrame([tick("A", "2024-01-02 10:00", 3)], LANDING), complete=False)
+    assert staging.stage_new(wh) is None
+    load.incremental_load(wh)
+    assert len(facts(wh)) == 2
+
+
+@pytest.mark.parametrize("only_clean", [True, False])
+def test_incremental_equals_full_with_corrections_and_removals(warehouse, only_clean):
+    rng = random.Random(only_clean)
+    batches = []
+    for n in range(3):
+        rows = random_ticks(rng, 60)
+        # negative prices are not clean: with only_clean such a correction takes a tick away
+        batches.append([(*r[:5], f"-{r[5]}" if rng.random() < 0.4 else r[5], r[6], *r[7:9], dt.datetime(2024, 6, n + 1)) for r in rows])
+    wh = warehouse()
+    for batch_id, rows in enumerate(batches, 1):
+        stage(wh, rows, batch_id)
+        load.incremental_load(wh, only_clean=only_clean)
+    check_same(wh, full(warehouse(), [r for rows in batches for r in rows], only_clean=only_clean))
+
+
+def test_the_day_after_a_vanished_one_gets_an_earlier_close(warehouse):
+    rows = [tick("A", "2024-01-30 09:30", 1), tick("A", "2024-01-31 09:30", 2), tick("A", "2024-02-01 09:30", 3)]
+    wh = warehouse()
+    stage(wh, rows, 1)
+    load.incremental_load(wh, only_clean=True)
+    stage(wh, [tick("A", "2024-01-31 09:30", -2, loaded=2)], 2)
+    load.incremental_load(wh, only_clean=True)
+    found = {r.fk_date_id: r.previous_close for r in natural_fact(wh).collect()}
+    assert found == {20240130093000: None, 20240201093000: D(1)}
+    stage(wh, [tick("A", "2024-02-01 09:30", -3, loaded=2)], 3)  # the only one of its month
+    load.incremental_load(wh, only_clean=True)
+    assert [r.fk_date_id for r in natural_fact(wh).collect()] == [20240130093000] and len(bars(wh)) == len(days(wh)) == 1
+
+
+def test_a_full_load_leaves_nothing_of_the_one_before(warehouse):
+    wh = full(warehouse(), [tick("A", "2024-01-31 09:30", -1), tick("A", "2024-02-01 09:30", 3)])
+    assert len(facts(wh)) == 2
+    load.full_load(wh, only_clean=True)
+    assert len(facts(wh)) == len(bars(wh)) == len(days(wh)) == 1
+
+
+def test_widths_do_not_mix(warehouse):
+    wh = full(warehouse(), [tick("A", "2024-01-31 09:40", 1)], minutes=5)
+    stage(wh, [tick("A", "2024-01-31 09:50", 1)], 2)
+    for other in ({}, {"minutes": 5, "only_clean": True}):
+        with pytest.raises(ValueError, match="5min"):
+            load.incremental_load(wh, **other)
+    assert load.incremental_load(wh, minutes=5)
+    load.full_load(wh)
+    assert {r.granularity for r in bars(wh)} == {"15min"}
+
+
+def test_extreme_prices_lose_nothing(warehouse):
+    wh = full(warehouse(), [tick("A", "2024-01-01 09:30", "0.000001"), tick("A", "2024-01-02 09:30", "999999999999")])
+    last = max(natural_fact(wh).collect(), key=lambda r: r.fk_date_id)
+    assert last.price_change == D("999999999998.999999") and last.price_change_pct == D("99999999999899999900.000")
+
+
+def test_facts_that_break_constraints_stop_the_load(warehouse, monkeypatch):
+    wh = warehouse()
+    stage(wh, [tick("A", "2024-01-02 09:30", 1)], 1)
+    monkeypatch.setattr(load, "_fact", lambda *a, f=load._fact: f(*a).unionByName(f(*a)))
+    with pytest.raises(ValueError, match="one fact per time and instrument: 1"):
+        load.incremental_load(wh)
+    assert control.last_status(wh) == "failed" and wh.read("fact_15min_stock_price").count() == 0
+
+
+def test_runs_leave_no_scratch_and_few_log_files(warehouse, tmp_path, spark):
+    wh = warehouse()
+    root = pathlib.Path(scratch_root(spark).removeprefix("file:"))
+    before = len(list(root.glob("tickmart/run-*")))
+    for n in range(1, 5):
+        stage(wh, [tick("A", f"2024-01-0{n} 09:30", 1)], n)
+        load.incremental_load(wh)
+    assert len(list(root.glob("tickmart/run-*"))) == before
+    rows = sorted(wh.read("staging_log").collect())
+    wh.compact_log("staging_log", most_files=2)
+    assert len(wh.read("staging_log").inputFiles()) == 1 and sorted(wh.read("staging_log").collect()) == rows
+    assert len(list(pathlib.Path(wh.path("rejected_prices")).glob("load_date=*"))) <= 1

@@ -3,7 +3,9 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
+from tickmart.functions.text import to_trade_date
 from tickmart.sources import prices, profiles
 from tickmart.sources.tables import Warehouse
 
@@ -89,3 +91,47 @@ def test_reset(spark, tmp_path, folder):
     assert wh.read("landing_prices").count() == 0 and wh.read("ingest_log").count() == 0
     prices.land_prices(wh, folder)
     assert wh.read("landing_prices").count() == 6
+
+
+def test_files_of_one_name_are_logged_apart(spark, tmp_path):
+    for folder, n in (("x", 2), ("y", 3)):
+        (tmp_path / "in" / folder).mkdir(parents=True)
+        (tmp_path / "in" / folder / "AAPL.csv").write_text("date,open,high,low,close,volume\n" + "2024-01-02,1,1,1,1,1\n" * n)
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    prices.land_prices(wh, str(tmp_path / "in"))
+    log = {r.path.rsplit("/", 2)[1]: r.rows for r in wh.read("ingest_log").collect()}
+    assert log == {"x": 2, "y": 3}
+
+
+def test_an_unreadable_file_does_not_stop_the_others(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "A.csv").write_text("date,open,high,low,close,volume\n2024-01-02,1,1,1,1,1\n")
+    (tmp_path / "in" / "B.csv.gz").write_bytes(b"not compressed at all")
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    prices.land_prices(wh, str(tmp_path / "in"), glob="*.csv*")
+    log = {r.symbol: (r.rows, r.status, r.error) for r in wh.read("ingest_log").collect()}
+    assert log == {"A": (1, "success", None), "B": (0, "error", "the file cannot be read")}
+    assert wh.read("landing_prices").count() == 1
+
+
+def test_sector_lists_of_other_column_orders(spark, tmp_path):
+    (tmp_path / "s").mkdir()
+    (tmp_path / "s" / "a.csv").write_text("rank,symbol,sector\n1,A,Tech\n")
+    (tmp_path / "s" / "b.csv").write_text("sector,symbol\nEnergy,B\n")
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    profiles.land_sectors(wh, str(tmp_path / "s"))
+    assert sorted((r.symbol, r.sector) for r in wh.read("landing_sectors").collect()) == [("A", "Tech"), ("B", "Energy")]
+    (tmp_path / "s" / "c.csv").write_text("symbol\nC\n")
+    with pytest.raises(ValueError, match="lacks"):
+        profiles.land_sectors(wh, str(tmp_path / "s"))
+
+
+@pytest.mark.parametrize("text, want", [
+    ("2024-01-02", "2024-01-02 00:00:00"), ("2024-1-2 9:30", "2024-01-02 09:30:00"), (" 2024-01-02t09:30:15.250 ", "2024-01-02 09:30:15.250000"),
+    ("2024-01-02 09:30 am", "2024-01-02 09:30:00"), ("2024-01-02 12:05 AM", "2024-01-02 00:05:00"), ("2024-01-02 12:05:01pm", "2024-01-02 12:05:01"),
+    ("01/02/2024", "2024-01-02 00:00:00"), ("1/2/2024 4:00 PM", "2024-01-02 16:00:00"), ("2024", None), ("2024-01", None), ("2024-02-30", None),
+    ("2024-01-02 25:00", None), ("2024-01-02 13:00 PM", None), ("2024-01-02 00:10 AM", None), ("x", None), ("", None), (None, None), ("2024-01-02 09:61", None),
+])
+def test_forms_of_dates(spark, text, want):
+    found = spark.createDataFrame([(text,)], "d string").select(to_trade_date(F.col("d"))).first()[0]
+    assert (found and str(found)) == want

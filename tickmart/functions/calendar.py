@@ -25,14 +25,18 @@ def key_month(key: Column) -> Column:
     return F.floor(key / F.lit(100000000)).cast("int")
 
 
-def time_bucket(ts: Column, minutes: int = 15) -> Column:
-    """Start of the bar that holds ``ts``: minutes are cut to a multiple of ``minutes`` in their hour."""
-    if 60 % minutes == 0:
-        return F.window(ts, f"{minutes} minutes").start
+def cut_minutes(ts: Column, minutes: int) -> Column:
+    """``ts`` with its minutes cut to a multiple of ``minutes`` in their hour."""
     past = F.make_dt_interval(mins=F.minute(ts) % minutes, secs=F.extract(F.lit("SECOND"), ts))
     return ts - past
 
 
+def time_bucket(ts: Column, minutes: int = 15) -> Column:
+    """Start of the bar that holds ``ts``, as ``cut_minutes``; a window is the same and cheaper where
+    the width divides the hour."""
+    return F.window(ts, f"{minutes} minutes").start if 60 % minutes == 0 else cut_minutes(ts, minutes)
+
+
 def calendar_columns(ts: Column) -> dict[str, Column]:
     """Every dim_date column that follows from the bar start alone."""
     date = ts.cast("date")

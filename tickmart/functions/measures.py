@@ -6,6 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 PRICE = "decimal(18,6)"
+# any difference of two prices fits, and any percentage of the smallest price there is
+DIFFERENCE, PERCENT = "decimal(19,6)", "decimal(24,3)"
 
 
 def trade_status(trade_count: Column) -> Column:
@@ -15,17 +17,17 @@ def trade_status(trade_count: Column) -> Column:
 
 
 def price_change(close: Column, previous: Column) -> Column:
-    return (close - previous).try_cast(PRICE)
+    return (close - previous).cast(DIFFERENCE)
 
 
 def price_change_pct(close: Column, previous: Column) -> Column:
-    """Percent with three digits; 0 without a usable previous close, NULL beyond decimal(7,3)."""
-    pct = ((close - previous) * 100 / previous).try_cast("decimal(7,3)")
-    return F.when(previous.isNull() | (previous == 0), F.lit(0).cast("decimal(7,3)")).otherwise(pct)
+    """Percent with three digits; 0 without a usable previous close."""
+    pct = ((close - previous) * 100 / previous).cast(PERCENT)
+    return F.when(previous.isNull() | (previous == 0), F.lit(0).cast(PERCENT)).otherwise(pct)
 
 
 def price_range(high: Column, low: Column) -> Column:
-    return (high - low).try_cast(PRICE)
+    return (high - low).cast(DIFFERENCE)
 
 
 def vwap(volume: Column, weighted: Column, total: Column) -> Column:

@@ -31,8 +31,30 @@ def to_price(text: Column) -> Column:
     return blank_to_null(text).try_cast("decimal(18,6)")
 
 
+# The accepted forms, upper case; a time may be left out (midnight), as may seconds and fractions.
+DAYS = (r"\d{4}-\d{1,2}-\d{1,2}", r"\d{1,2}/\d{1,2}/\d{4}")
+CLOCK = r"(?:[ T]+(\d{1,2}):(\d{2})(?::(\d{2})(\.\d{1,9})?)? *([AP]M)?)?"
+
+
 def to_trade_date(text: Column) -> Column:
-    return F.upper(F.trim(text)).try_cast("timestamp_ntz")
+    """Wall-clock time of ``2024-01-02``, ``2024-01-02 09:30``, ``2024-01-02T09:30:15.5``,
+    ``01/02/2024 9:30 am`` (month first) and mixtures of these; anything else is NULL, as is a date
+    or time that does not exist."""
+    text = F.upper(F.trim(text))
+    iso, slashed = DAYS
+    whole = f"^(?:({iso})|({slashed})){CLOCK}$"
+    group = lambda n: F.regexp_extract(text, whole, n)
+    dashes, slashes = F.split(group(1), "-"), F.split(group(2), "/")
+    by_iso = group(1) != ""
+    pad = lambda c, n: F.lpad(c, n, "0")
+    part = lambda i, j: F.when(by_iso, F.get(dashes, F.lit(i))).otherwise(F.get(slashes, F.lit(j)))
+    day = F.concat_ws("-", part(0, 2), pad(part(1, 0), 2), pad(part(2, 1), 2))
+    hour, half = group(3).try_cast("int"), group(7)
+    hour24 = F.when(half == "", hour).when(hour.between(1, 12), hour % 12 + F.when(half == "PM", 12).otherwise(0))
+    minute, second = F.when(group(4) == "", "00").otherwise(group(4)), F.when(group(5) == "", "00").otherwise(group(5))
+    clock = F.concat(pad(hour24.cast("string"), 2), F.lit(":"), minute, F.lit(":"), second, group(6))
+    clock = F.when(group(3) == "", "00:00:00").otherwise(clock)
+    return F.when(text.rlike(whole), F.concat(day, F.lit(" "), clock)).try_cast("timestamp_ntz")
 
 
 def to_volume(text: Column) -> Column:

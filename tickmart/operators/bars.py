@@ -66,12 +66,16 @@ def day_links(days: DataFrame) -> DataFrame:
     )
 
 
-def bar_range(bars: DataFrame, now: Column) -> DataFrame:
-    """First and last day, high-water mark (last bar already begun at ``now``) and row count."""
+def bar_range_measures(now: Column) -> list[Column]:
     start = F.col("interval_start")
-    return bars.agg(
+    return [
         F.to_date(F.min(start)).alias("min_date"),
         F.to_date(F.max(start)).alias("max_date"),
         F.max(F.when(start < now, start)).alias("high_water"),
         F.count("*").alias("row_count"),
-    )
+    ]
+
+
+def bar_range(bars: DataFrame, now: Column) -> DataFrame:
+    """First and last day, high-water mark (last bar already begun at ``now``) and row count."""
+    return bars.agg(*bar_range_measures(now))

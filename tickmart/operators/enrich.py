@@ -100,7 +100,7 @@ def fact_rows(enriched: DataFrame, keys: DataFrame, dim_trade_status: DataFrame,
     rows = price_metrics(enriched).withColumn("_status", m.trade_status(F.col("trade_count")))
     # three statuses at most
     rows = rows.join(F.broadcast(status), "_status", "left")
-    rows = lookup_join(rows, keys, ["symbol"], ["interval_start"])
+    rows = lookup_join(rows, keys, ["symbol"])
     return rows.select(
         smart_key(F.col("interval_start")).alias("fk_date_id"),
         "fk_instrument_id",

@@ -5,27 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# 500,000 narrow rows stay well under 100 MB; bar starts of 14 years around the clock fit in
-BROADCAST_ROWS = 500_000
-SPREAD = 64
+#: Parts that a hot key's rows are dealt to; each of them gets a copy of a lookup.
+SPREAD = 16
 
 
-def lookup_join(big: DataFrame, lookup: DataFrame, on: list[str], spread_by: list[str] | None = None, how: str = "left") -> DataFrame:
-    """Join ``big`` to a lookup that is unique on ``on``, whatever share of rows one key holds.
+def lookup_join(big: DataFrame, lookup: DataFrame, on: list[str], how: str = "left") -> DataFrame:
+    """Join ``big`` to a lookup that is unique on ``on``.
 
-    A lookup of counted, bounded size is broadcast. A larger one is copied ``SPREAD`` times so that
-    a hot key's rows, told apart by ``spread_by``, go to as many tasks; adaptive execution may
-    split those further. Without ``spread_by`` (no key can be hot) it is a plain join. Pass a
-    lookup that is cheap to count (written, or small).
+    A plain join: Spark broadcasts the lookup while its size allows, by the statistics of the files
+    or of what was shuffled, and otherwise sorts both sides, in which case adaptive execution splits
+    the rows of a hot key, as the lookup has one row to repeat for each part.
     """
-    if lookup.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        return big.join(F.broadcast(lookup), on, how)
-    if spread_by is None:
-        return big.join(lookup, on, how)
-    return spread_join(big, lookup, on, spread_by, how)
+    return big.join(lookup, on, how)
 
 
 def spread_join(big: DataFrame, lookup: DataFrame, on: list[str], spread_by: list[str], how: str = "left") -> DataFrame:
+    """The same for keys that may be hot where an outer plan keeps adaptive execution from splitting
+    them: rows are told apart by ``spread_by`` and dealt to SPREAD parts."""
     part = F.pmod(F.xxhash64(*spread_by), F.lit(SPREAD)).cast("int")
     copies = F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1)))
     joined = big.withColumn("_part", part).join(lookup.withColumn("_part", copies), [*on, "_part"], how)

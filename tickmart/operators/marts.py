@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import calendar
 import datetime as dt
 
 from pyspark.sql import Column, DataFrame, Window
@@ -36,16 +37,16 @@ def any_range(ranges: list[Column]) -> Column:
 
 
 def star_join(fact: DataFrame, dim_date: DataFrame, dim_instrument: DataFrame) -> DataFrame:
-    """Fact with calendar and instrument. The month is part of the join, so a filter on the
-    calendar prunes fact partitions at run time. No bar start is hot: it has one row a symbol."""
+    """Fact with calendar and instrument. The month is part of the join, so a filter on it prunes
+    the partitions of both. No bar start is hot: it has one row a symbol."""
     dates = dim_date.withColumnRenamed("sk_date_id", "fk_date_id")
-    dated = lookup_join(fact, dates, ["yyyymm", "fk_date_id"], how="inner")
+    dated = lookup_join(fact, dates, ["yyyymm", "fk_date_id"], "inner")
     return fact_instrument_join(dated, dim_instrument)
 
 
 def fact_instrument_join(fact: DataFrame, dim_instrument: DataFrame) -> DataFrame:
     instruments = dim_instrument.withColumnRenamed("sk_instrument_id", "fk_instrument_id")
-    return lookup_join(fact, instruments, ["fk_instrument_id"], ["fk_date_id"], "inner")
+    return lookup_join(fact, instruments, ["fk_instrument_id"], "inner")
 
 
 def monthly_ohlcv(star: DataFrame, year: int | None = None, symbol: str | None = None) -> DataFrame:
@@ -144,8 +145,14 @@ def vol_avg_bars(bars: DataFrame, months: Months) -> DataFrame:
     return _volume_and_average(bars.where(any_range(ranges)), "symbol", "close")
 
 
+MONTHS = list(calendar.month_name)
+
+
 def vol_avg_dim_filter(star: DataFrame, month_name: str, years: list[int]) -> DataFrame:
-    rows = star.where((F.col("month_name") == month_name) & F.col("year").isin(years))
+    """The months that the calendar filter implies are named as well, so that other partitions are
+    skipped whichever way the calendar is joined."""
+    months = [year * 100 + MONTHS.index(month_name) for year in years]
+    rows = star.where((F.col("month_name") == month_name) & F.col("year").isin(years) & F.col("yyyymm").isin(months))
     return _volume_and_average(rows, "symbol", "close_price")
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickmart.functions import text
+from tickmart.operators.joins import spread_join
 
 PRICES = ("open", "high", "low", "close")
 TICK_KEY = ("ticker_symbol", "trade_date")
@@ -59,24 +60,16 @@ def clean_flag() -> Column:
     return F.coalesce(present & within, F.lit(False))
 
 
-def dup_flag(ticks: DataFrame, spread_by: list[str], hot: int = 10_000_000) -> DataFrame:
+def dup_flag(ticks: DataFrame, spread_by: list[str]) -> DataFrame:
     """Adds ``_is_duplicate``: another row has the same symbol and time.
 
-    Counts are built map-side and only repeated keys are joined back. Keys with more than ``hot``
-    copies - there are at most rows / ``hot`` of them - are broadcast, and their rows go through
-    the join spread over all tasks, as nothing more is to be found out about them.
+    Counts are built map-side, and repeated keys are joined back in a copy for each of SPREAD parts,
+    to which a key's rows are dealt by ``spread_by``: so no key's rows meet in one task.
     """
     repeated = ticks.groupBy(*TICK_KEY).agg(F.count("*").alias("_n")).where("_n > 1")
-    hottest = repeated.where(F.col("_n") > hot).select(*TICK_KEY, F.lit(True).alias("_hot"))
-    place = F.when(F.col("_hot"), F.abs(F.xxhash64(*spread_by) % 1_000_000) + 1).otherwise(0)
-    marked = repeated.select(*TICK_KEY, F.lit(0).cast("bigint").alias("_place"), F.lit(True).alias("_again"))
-    return (
-        ticks.join(F.broadcast(hottest), list(TICK_KEY), "left")
-        .withColumn("_place", place.cast("bigint"))
-        .join(marked, [*TICK_KEY, "_place"], "left")
-        .withColumn("_is_duplicate", F.coalesce("_hot", "_again", F.lit(False)))
-        .drop("_hot", "_again", "_place")
-    )
+    marked = repeated.select(*TICK_KEY, F.lit(True).alias("_again"))
+    flagged = spread_join(ticks, marked, list(TICK_KEY), spread_by)
+    return flagged.withColumn("_is_duplicate", F.coalesce("_again", F.lit(False))).drop("_again")
 
 
 def dedup_prices(ticks: DataFrame, order: tuple[str, ...] = PRECEDENCE, was_duplicate: str | None = None) -> DataFrame:
@@ -99,8 +92,11 @@ def dedup_prices(ticks: DataFrame, order: tuple[str, ...] = PRECEDENCE, was_dupl
 
 def stage_prices(landing: DataFrame) -> DataFrame:
     """Staged ticks of one landed batch: typed, deduplicated, flagged."""
-    typed = type_prices(landing).drop("reject_reason").where("trade_date is not null")
-    staged = dedup_prices(typed)
+    return stage_typed(type_prices(landing))
+
+
+def stage_typed(typed: DataFrame) -> DataFrame:
+    staged = dedup_prices(typed.drop("reject_reason").where("trade_date is not null"))
     return staged.withColumn("_is_cleaned", clean_flag())
 
 

@@ -8,16 +8,17 @@ from __future__ import annotations
 import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from tickmart.operators import dims
-from tickmart.operators.bars import bar_days, bar_range, day_links, to_bars, with_month
+from tickmart.functions.calendar import smart_key, yyyymm
+from tickmart.operators import checks, dims
+from tickmart.operators.bars import bar_days, bar_range_measures, day_links, to_bars, with_month
 from tickmart.operators.enrich import enrich, fact_rows, symbol_keys
 from tickmart.operators.joins import lookup_join
-from tickmart.plans.control import JOB, Run, finish_run, last_batch, set_control, start_run
-from tickmart.plans.staging import compact_staging, incremental_filter, new_batches, read_staging
-from tickmart.session import materialize
+from tickmart.plans.control import JOB, Run, last_batch, note_run, set_control, settings, start_run
+from tickmart.plans.staging import compact_logs, compact_staging, incremental_filter, new_batches, read_staging
+from tickmart.session import materialize, scratch
 from tickmart.sources.tables import Warehouse
 
 
@@ -57,36 +58,69 @@ def _fact(wh: Warehouse, enriched: DataFrame, run: Run) -> DataFrame:
     return fact_rows(enriched, materialize(keys, "symbol_keys"), wh.read("dim_trade_status"), run.audit_id)
 
 
-def _one_type_per_symbol(bars: DataFrame) -> None:
-    """A symbol with two types or zones would give two bars for one interval."""
-    ends = bars.groupBy("symbol").agg(
-        *[f(c).alias(f"{f.__name__}_{c}") for c in ("symbol_type", "timezone") for f in (F.min, F.max)]
-    )
-    clash = ends.where("min_symbol_type <> max_symbol_type or min_timezone <> max_timezone").select("symbol").first()
-    if clash is not None:
-        raise ValueError(f"symbol {clash[0]} has more than one type or time zone")
+def _survey(bars: DataFrame) -> Row:
+    """What the load has to know about the bars, in one pass: day range, high-water mark, row count.
+    Stops if a symbol has two types or zones, which would give two bars for one interval."""
+    by_symbol = bars.groupBy("symbol").agg(
+        *[f(c).alias(f"{f.__name__}_{c}") for c in ("symbol_type", "timezone") for f in (F.min, F.max)],
+        *bar_range_measures(F.localtimestamp()),
+    )
+    clash = F.when(F.expr("min_symbol_type <> max_symbol_type or min_timezone <> max_timezone"), F.col("symbol"))
+    found = by_symbol.agg(
+        F.min("min_date").alias("min_date"), F.max("max_date").alias("max_date"), F.max("high_water").alias("high_water"),
+        F.coalesce(F.sum("row_count"), F.lit(0)).alias("row_count"), F.min(clash).alias("clash"),
+    ).first()
+    if found["clash"] is not None:
+        raise ValueError(f"symbol {found['clash']} has more than one type or time zone")
+    return found
+
+
+def _how(minutes: int, only_clean: bool) -> str:
+    return f"{minutes}min" + ", clean ticks" * only_clean
+
+
+def check_facts(facts: DataFrame, wh: Warehouse) -> None:
+    """The constraints of the fact table, before its rows are written: every row has a time and an
+    instrument, no two rows have both in common, and every time is in the calendar."""
+    broken = checks.check_bounds(facts, {c: checks.not_null(c) for c in ("fk_date_id", "fk_instrument_id", "yyyymm")})
+    broken = broken.unionByName(checks.check_unique(facts, ["fk_date_id", "fk_instrument_id"], "one fact per time and instrument"))
+    broken = broken.unionByName(checks.check_fk(facts, "fk_date_id", wh.read("dim_date"), "sk_date_id", "known time"))
+    found = [f"{r['rule']}: {r['violations']}" for r in broken.where("violations > 0").collect()]
+    if found:
+        raise ValueError("facts break their constraints - " + "; ".join(found))
 
 
 def full_load(wh: Warehouse, minutes: int = 15, only_clean: bool = False) -> None:
-    """Rebuild bars, dimensions and facts from all staged ticks."""
+    """Rebuild bars, dimensions and facts from all staged ticks; nothing of an earlier load stays in
+    bars and facts."""
+    with scratch(wh.spark):
+        _full_load(wh, minutes, only_clean)
+    compact_logs(wh)
+
+
+def _full_load(wh: Warehouse, minutes: int, only_clean: bool) -> None:
     run = start_run(wh)
+    set_control(wh, "started", None, None)
     try:
         newest = wh.read("staging_log").agg(F.max("batch_id")).first()[0]
         if newest is not None:
             compact_staging(wh, newest)
-        wh.replace(with_month(to_bars(read_staging(wh), minutes, only_clean)), "agg_15min_raw")
+        wh.overwrite(with_month(to_bars(read_staging(wh), minutes, only_clean)), "agg_15min_raw")
         bars = wh.read("agg_15min_raw")
-        _one_type_per_symbol(bars)
-        wh.replace(bar_days(bars), "bar_days")
+        span = _survey(bars)
+        note_run(wh, run, "started", span["row_count"])
+        wh.overwrite(bar_days(bars), "bar_days")
         load_dims(wh, bars, F.localtimestamp())
         links = day_links(wh.read("bar_days"))
-        wh.replace(_fact(wh, enrich(bars.drop("yyyymm"), links), run), "fact_15min_stock_price")
-        span = bar_range(bars, F.localtimestamp()).first()
-        finish_run(wh, run, "completed", span["row_count"], wh.read("rejected_prices").count())
+        facts = materialize(_fact(wh, enrich(bars.drop("yyyymm"), links), run), "facts")
+        check_facts(facts, wh)
+        wh.overwrite(facts, "fact_15min_stock_price")
+        note_run(wh, run, "completed", span["row_count"], wh.read("rejected_prices").count())
     except Exception:
-        finish_run(wh, run, "failed")
+        note_run(wh, run, "failed")
+        set_control(wh, "failed", None, None)
         raise
-    set_control(wh, "completed", span["high_water"], newest)
+    set_control(wh, "completed", span["high_water"], newest, how=_how(minutes, only_clean))
 
 
 def incremental_load(wh: Warehouse, minutes: int = 15, only_clean: bool = False) -> bool:
@@ -94,46 +128,80 @@ def incremental_load(wh: Warehouse, minutes: int = 15, only_clean: bool = False)
 
     A tick changes its bar, the VWAP of the day's later bars and the previous close of the next
     bar, which may lie days later. So every touched (symbol, day) is rebuilt from staging, and of
-    the symbol's next day the first bar. Everything is replaced by key: a run that failed half-way
-    is simply run again.
+    the symbol's next day the first bar. What a touched day had before goes, whether or not something
+    takes its place: a run that failed half-way is simply run again, and the tables are those of a
+    full load. Bars of another width, or of other ticks, would not mix with those there are.
     """
+    with scratch(wh.spark):
+        found = _incremental_load(wh, minutes, only_clean)
+    compact_logs(wh)
+    return found
+
+
+def _incremental_load(wh: Warehouse, minutes: int, only_clean: bool) -> bool:
     mark = last_batch(wh)
     batch, newest = new_batches(wh, mark)
     if newest is None:
         return False
+    known, how = settings(wh), _how(minutes, only_clean)
+    if known not in (None, how):
+        raise ValueError(f"the warehouse holds bars of {known}, not {how}: load in full to change that")
     run = start_run(wh)
+    set_control(wh, "started", None, None)
     try:
         touched = batch.select(F.col("ticker_symbol").alias("symbol"), F.to_date("trade_date").alias("trade_day")).distinct()
         touched = materialize(touched, "touched")
         if touched.isEmpty():
-            finish_run(wh, run, "completed", 0, _rejects_after(wh, mark))
-            set_control(wh, "completed", None, newest)
+            note_run(wh, run, "started")
+            note_run(wh, run, "completed", 0, _rejects_after(wh, mark))
+            set_control(wh, "completed", None, newest, how=how)
             return True
         bars = materialize(_rebuild(wh, touched, minutes, only_clean), "bars")
-        _one_type_per_symbol(bars)
-        wh.upsert(bars, "agg_15min_raw", ["symbol", "interval_start"])
-        wh.upsert(materialize(bar_days(bars), "bar_days"), "bar_days", ["symbol", "trade_day"])
+        span = _survey(bars)
+        note_run(wh, run, "started", span["row_count"])
+        gone = materialize(touched.withColumn("yyyymm", yyyymm(F.col("trade_day"))), "gone")
+        _replace_days(wh, bars, gone)
+        wh.upsert(materialize(bar_days(bars), "bar_days"), "bar_days", ["symbol", "trade_day"], gone)
         load_dims(wh, bars, F.localtimestamp())
 
         links = materialize(affected_days(wh.read("bar_days"), touched), "links")
-        after = links.where("not touched")
+        after = links.where("not touched").select("symbol", "trade_day")
+        changed = bars
         if not after.isEmpty():
-            later = _rebuild(wh, after.select("symbol", "trade_day"), minutes, only_clean)
-            bars = bars.unionByName(later)
-        enriched = enrich(bars.drop("yyyymm"), links)
-        changed = enriched.join(links.select("symbol", "trade_day", "touched"), ["symbol", "trade_day"])
-        changed = changed.where("touched or bar_of_day = 1").drop("touched")
-        facts = materialize(_fact(wh, changed, run), "facts")
-        wh.upsert(facts, "fact_15min_stock_price", ["fk_date_id", "fk_instrument_id"])
-        high_water = bar_range(bars, F.localtimestamp()).first()["high_water"]
-        finish_run(wh, run, "completed", bars.count(), _rejects_after(wh, mark))
+            changed = bars.unionByName(materialize(_rebuild(wh, after, minutes, only_clean), "later"))
+        enriched = enrich(changed.drop("yyyymm"), links)
+        enriched = enriched.join(links.select("symbol", "trade_day", "touched"), ["symbol", "trade_day"])
+        enriched = enriched.where("touched or bar_of_day = 1").drop("touched")
+        facts = materialize(_fact(wh, enriched, run), "facts")
+        check_facts(facts, wh)
+        _replace_facts(wh, facts, gone)
+        note_run(wh, run, "completed", span["row_count"], _rejects_after(wh, mark))
     except Exception:
-        finish_run(wh, run, "failed")
+        note_run(wh, run, "failed")
+        set_control(wh, "failed", None, None)
         raise
-    set_control(wh, "completed", _later(high_water, wh), newest)
+    set_control(wh, "completed", _later(span["high_water"], wh), newest, how=how)
     return True
 
 
+def _replace_days(wh: Warehouse, bars: DataFrame, gone: DataFrame) -> None:
+    """Bars of whole days for all that these days had."""
+    starts = wh.read("agg_15min_raw").where(F.col("yyyymm").isin([r[0] for r in gone.select("yyyymm").distinct().collect()]))
+    old = starts.withColumn("trade_day", F.to_date("interval_start")).join(gone, ["yyyymm", "symbol", "trade_day"], "left_semi")
+    old = materialize(old.select("yyyymm", "symbol", "interval_start"), "old_bars")
+    wh.upsert(bars, "agg_15min_raw", ["symbol", "interval_start"], old)
+
+
+def _replace_facts(wh: Warehouse, facts: DataFrame, gone: DataFrame) -> None:
+    """Facts for all that the days of ``gone`` had, and by key for single bars of other days."""
+    instruments = wh.read("dim_instrument").select("symbol", F.col("sk_instrument_id").alias("fk_instrument_id"))
+    days = gone.join(instruments, "symbol").select("yyyymm", "fk_instrument_id", smart_key(F.col("trade_day")).alias("_day"))
+    stored = wh.read("fact_15min_stock_price").where(F.col("yyyymm").isin([r[0] for r in gone.select("yyyymm").distinct().collect()]))
+    stored = stored.select("yyyymm", "fk_instrument_id", "fk_date_id", (F.col("fk_date_id") - F.col("fk_date_id") % 1_000_000).alias("_day"))
+    old = stored.join(days, ["yyyymm", "fk_instrument_id", "_day"], "left_semi").drop("_day")
+    wh.upsert(facts, "fact_15min_stock_price", ["fk_date_id", "fk_instrument_id"], materialize(old, "old_facts"))
+
+
 def _rejects_after(wh: Warehouse, mark: int | None) -> int:
     return incremental_filter(wh.read("rejected_prices"), mark).count()
 
@@ -148,16 +216,18 @@ def _rebuild(wh: Warehouse, symbol_days: DataFrame, minutes: int, only_clean: bo
     days = [r[0] for r in symbol_days.select("trade_day").distinct().collect()]
     wanted = symbol_days.withColumnRenamed("symbol", "ticker_symbol")
     ticks = read_staging(wh, days).withColumn("trade_day", F.to_date("trade_date"))
-    ticks = lookup_join(ticks, wanted, ["ticker_symbol", "trade_day"], ["trade_date"], "left_semi")
+    ticks = lookup_join(ticks, wanted, ["ticker_symbol", "trade_day"], "left_semi")
     return with_month(to_bars(ticks, minutes, only_clean))
 
 
 def affected_days(days: DataFrame, touched: DataFrame) -> DataFrame:
-    """day_links of the touched days and of each one's next day with bars."""
+    """day_links of the touched days that have bars, and of each touched day's next one with bars,
+    also where the touched day itself has none left."""
     symbols = touched.select("symbol").distinct()
-    mine = lookup_join(days, symbols, ["symbol"], ["trade_day"], "left_semi")
+    mine = lookup_join(days, symbols, ["symbol"], "left_semi")
     flags = touched.withColumn("touched", F.lit(True))
     w = Window.partitionBy("symbol").orderBy("trade_day")
-    linked = day_links(mine).join(flags, ["symbol", "trade_day"], "left")
+    linked = day_links(mine).withColumn("_has_bars", F.lit(True)).join(flags, ["symbol", "trade_day"], "full")
     linked = linked.withColumn("touched", F.coalesce("touched", F.lit(False)))
-    return linked.withColumn("_after", F.lag("touched", 1, False).over(w)).where("touched or _after").drop("_after")
+    after = linked.withColumn("_after", F.lag("touched", 1, False).over(w))
+    return after.where("_has_bars and (touched or _after)").drop("_after", "_has_bars")

@@ -12,9 +12,10 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickmart.functions.text import to_trade_date
-from tickmart.operators.validate import dedup_prices, latest_profile, rejected_prices, stage_prices
+from tickmart.operators.validate import TICK_KEY, dedup_prices, latest_profile, stage_typed, type_prices
 from tickmart.plans.control import set_control
+from tickmart.schemas import LINEAGE_COLUMNS, PRICE_TEXT
+from tickmart.session import materialize, scratch
 from tickmart.sources.tables import Warehouse
 
 STAGE_JOB = "stage_prices_job"
@@ -44,16 +45,18 @@ def append_staging(wh: Warehouse, staged: DataFrame, batch_id: int, parts: list[
     )
     if parts is None:
         parts = _list_parts(rows.select("trade_part"))
-    if not parts:
-        return
     begun = [r[0] for r in wh.read("staging_log").where(F.col("batch_id") == batch_id).select("trade_part").distinct().collect()]
-    if begun:
-        stored = wh.read("stg_stock_price").where(F.col("trade_part").isin(begun + parts))
-        others = stored.where(F.col("_batch_id") != batch_id)
-        wh.replace(others.unionByName(rows.select(*others.columns)), "stg_stock_price")
+    if not parts and not begun:
+        return
+    if new := sorted(set(parts) - set(begun)):
+        _log(wh, [(part, batch_id, False) for part in new])
+    if not begun:
+        wh.append(rows, "stg_stock_price")
         return
-    _log(wh, [(part, batch_id, False) for part in parts])
-    wh.append(rows, "stg_stock_price")
+    # what the batch wrote before goes, also from partitions in which it has nothing any more
+    gone = wh.read("stg_stock_price").where(F.col("trade_part").isin(begun) & (F.col("_batch_id") == batch_id))
+    gone = materialize(gone.select("trade_part", "_batch_id").distinct(), "gone")
+    wh.upsert(materialize(rows, "staged"), "stg_stock_price", [*TICK_KEY, "_batch_id"], gone)
 
 
 def _list_parts(parts: DataFrame) -> list[dt.date]:
@@ -62,35 +65,69 @@ def _list_parts(parts: DataFrame) -> list[dt.date]:
 
 
 def stage_batch(wh: Warehouse, landing: DataFrame, batch_id: int) -> None:
-    """Validate a landed batch (written) into staging and set its rejects aside."""
-    dates = landing.select(_part(wh, to_trade_date(F.col("date"))).alias("trade_part"))
-    append_staging(wh, stage_prices(landing), batch_id, _list_parts(dates.where("trade_part is not null")))
-    rejects = rejected_prices(landing).withColumn("_batch_id", F.lit(batch_id).cast("bigint"))
-    wh.replace(rejects, "rejected_prices")
+    """Validate a landed batch into staging and set its rejects aside. It is read and typed once."""
+    with scratch(wh.spark):
+        _stage_batch(wh, landing, batch_id)
+
+
+def _stage_batch(wh: Warehouse, landing: DataFrame, batch_id: int) -> None:
+    landed = F.struct("symbol", *PRICE_TEXT).alias("_landed")
+    typed = materialize(type_prices(landing, extra=(*LINEAGE_COLUMNS, landed)), "typed")
+    dates = typed.where("trade_date is not null").select(_part(wh, F.col("trade_date")).alias("trade_part"))
+    append_staging(wh, stage_typed(typed.drop("_landed")), batch_id, _list_parts(dates))
+
+    day = F.coalesce(F.to_date("_loaded_at"), F.lit(dt.date(1970, 1, 1))).alias("load_date")
+    rejects = typed.where("reject_reason is not null").select(
+        "_landed.*", *LINEAGE_COLUMNS, "reject_reason", F.lit(batch_id).cast("bigint").alias("_batch_id"), day
+    )
+    before = wh.read("rejected_prices").where(F.col("_batch_id") == batch_id).select("load_date", "_batch_id").distinct()
+    before = materialize(before, "gone")
+    if before.isEmpty():
+        wh.append(rejects, "rejected_prices")
+    else:
+        wh.upsert(rejects, "rejected_prices", ["_batch_id"], before)
 
 
 def stage_new(wh: Warehouse) -> int | None:
-    """Stage what landed since the last time, as the next batch; its id, or None if nothing did.
+    """Stage the complete landings that no batch has yet, as the next batch; its id, or None if there
+    are none. If it breaks off, the next call stages the same batch again; what landed since is left
+    for the one after."""
+    batch_id = begin_batch(wh)
+    if batch_id is None:
+        return None
+    landing = batch_landing(wh, batch_id)
+    stage_batch(wh, landing, batch_id)
+    set_control(wh, "completed", landing.agg(F.max("_loaded_at")).first()[0], batch_id, STAGE_JOB)
+    return batch_id
 
-    If it breaks off, the next call stages the same batch again.
-    """
+
+def begin_batch(wh: Warehouse) -> int | None:
+    """The batch that broke off, or else a new one of the landings that no batch has. Which landings
+    make up a batch is written down before it is staged, so no clock and no later landing changes it."""
     if wh.read("elt_control").where(F.col("job_name").startswith(STREAM_JOB)).first() is not None:
         raise RuntimeError("landing of this warehouse is staged by a stream")
     known = wh.read("elt_control").where(F.col("job_name") == STAGE_JOB).first()
-    landing = wh.read("landing_prices")
-    if known is not None:
-        mark = F.lit(known["last_processed"].isoformat(" ")).cast("timestamp_ntz")
-        landing = landing.where((F.col("load_date") >= F.to_date(mark)) & (F.col("_loaded_at") > mark))
-    newest = landing.agg(F.max("_loaded_at")).first()[0]
-    if newest is None:
+    broken_off = known is not None and known["status"] == "started"
+    batch_id = known["last_batch_id"] + (0 if broken_off else 1) if known is not None else 1
+    taken = wh.read("staged_landings")
+    if broken_off and not taken.where(F.col("batch_id") == batch_id).isEmpty():
+        return batch_id
+    new = materialize(wh.read("landing_log").join(taken, ["_landing", "load_date"], "left_anti"), "new_landings")
+    if new.isEmpty():
         return None
-    batch_id = known["last_batch_id"] + 1 if known is not None else 1
-    until = F.col("_loaded_at") <= F.lit(newest.isoformat(" ")).cast("timestamp_ntz")
-    stage_batch(wh, landing.where(until), batch_id)
-    set_control(wh, "completed", newest, batch_id, STAGE_JOB)
+    set_control(wh, "started", None, batch_id, STAGE_JOB)
+    wh.append(new.withColumn("batch_id", F.lit(batch_id).cast("bigint")).coalesce(1), "staged_landings")
     return batch_id
 
 
+def batch_landing(wh: Warehouse, batch_id: int) -> DataFrame:
+    """The landed rows of a batch."""
+    # one row per landing and day, not per file or tick
+    rows = wh.read("staged_landings").where(F.col("batch_id") == batch_id).select("_landing", "load_date").distinct().collect()
+    days, landings = (sorted({r[c] for r in rows}) for c in ("load_date", "_landing"))
+    return wh.read("landing_prices").where(F.col("load_date").isin(days) & F.col("_landing").isin(landings))
+
+
 def stream_base(wh: Warehouse, checkpoint: str) -> int:
     """The batch id a stream counts from: the last one at its first start, remembered with its
     checkpoint so that restarts give a micro-batch the same id."""
@@ -150,6 +187,12 @@ def compact_staging(wh: Warehouse, through: int) -> int:
     return len(parts)
 
 
+def compact_logs(wh: Warehouse) -> None:
+    """Logs of many small files as one file each."""
+    for name in ("staging_log", "landing_log", "staged_landings", "ingest_log", "dim_meta_audit_log"):
+        wh.compact_log(name)
+
+
 def incremental_filter(staging: DataFrame, last_batch_id: int | None) -> DataFrame:
     """Rows of batches after the mark - by arrival, not by event time, so late ticks count."""
     if last_batch_id is None:

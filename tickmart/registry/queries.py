@@ -153,7 +153,7 @@ def append_landing(spark, sf):
     wh = fresh(spark, "landing")
     for batch in _landing_batches(spark, sf):
         prices.append_landing(wh, batch)
-    return wh.read("landing_prices").drop("load_date")
+    return wh.read("landing_prices").drop("load_date", "_path", "_landing")
 
 
 @query
@@ -164,7 +164,7 @@ def reset_landing(spark, sf):
     prices.append_landing(wh, first)
     prices.reset_landing(wh)
     prices.append_landing(wh, first.unionByName(second))
-    return wh.read("landing_prices").drop("load_date")
+    return wh.read("landing_prices").drop("load_date", "_path", "_landing")
 
 
 @query
@@ -504,7 +504,7 @@ def _keyed_fact(spark: SparkSession, sf: str) -> DataFrame:
         "fk_status_id": wh.read("dim_trade_status").selectExpr("sk_status_id fk_status_id", "agg_status"),
     }
     for key, lookup in lookups.items():
-        rows = marts.lookup_join(rows, lookup, [key], ["fk_date_id"])
+        rows = marts.lookup_join(rows, lookup, [key])
     return rows
 
 
@@ -733,6 +733,60 @@ def stream_bars(spark, sf):
     return wh.read("agg_15min_raw").drop("yyyymm")
 
 
+@query
+def stream_bars_7min(spark, sf):
+    """A width that does not divide the hour."""
+    wh = fresh(spark, "stream_bars")
+    ticks, state = _tick_stream(spark, i.ticks_e(spark, sf).repartition(8, "event_id"))
+    stream.stream_bars(wh, ticks, state, minutes=7, watermark="60 days", every=None).awaitTermination()
+    return wh.read("agg_15min_raw").drop("yyyymm")
+
+
+@query
+def staging_retry(spark, sf):
+    """A batch that broke off after staging, then another landing: the first is staged again, the
+    second after it, and the load has all ticks."""
+    wh = fresh(spark, "staging_retry")
+    rows = i.lineage_e(i.landing_e(spark, sf))
+    prices.append_landing(wh, rows.where("event_id % 2 = 0").drop("copy", "event_id"))
+    begun = staging.begin_batch(wh)
+    staging.stage_batch(wh, staging.batch_landing(wh, begun), begun)
+    prices.append_landing(wh, rows.where("event_id % 2 = 1").drop("copy", "event_id"))
+    while staging.stage_new(wh) is not None:
+        load.incremental_load(wh)
+    return natural_fact(wh)
+
+
+def _clean_then_flawed(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """All ticks without flaws, and as landed later, with flaws."""
+    day = F.expr("timestamp_ntz'2024-01-31 00:00:00'")
+    earlier = i.staged(i.ticks_e(spark, sf)).withColumns({"_loaded_at": day, "symbol_type": text.classify_symbol(F.col("ticker_symbol"))})
+    # landed text has whole seconds
+    earlier = v.dedup_prices(earlier.withColumn("trade_date", F.date_trunc("second", "trade_date").cast("timestamp_ntz")), was_duplicate="_is_duplicate")
+    return earlier, v.stage_prices(i.lineage_e(i.landing_e(spark, sf)).drop("copy", "event_id"))
+
+
+@query
+def incremental_only_clean(spark, sf):
+    """Bars of clean ticks alone, by two loads: the second takes some bars away."""
+    wh = fresh(spark, "only_clean")
+    for batch_id, ticks in enumerate(_clean_then_flawed(spark, sf), 1):
+        staging.append_staging(wh, ticks, batch_id)
+        load.incremental_load(wh, only_clean=True)
+    return natural_fact(wh)
+
+
+@query
+def full_reload(spark, sf):
+    """A full load of all ticks, then one of the clean ones: nothing of the first stays."""
+    wh = fresh(spark, "full_reload")
+    for batch_id, ticks in enumerate(_clean_then_flawed(spark, sf), 1):
+        staging.append_staging(wh, ticks, batch_id)
+    load.full_load(wh, minutes=5)
+    load.full_load(wh, only_clean=True)
+    return natural_fact(wh)
+
+
 @query
 def stream_dedup(spark, sf):
     """Every tick sent twice, kept once."""

@@ -1,10 +1,15 @@
-"""Table layouts: landing is all text, staging is typed, the warehouse is a star."""
+"""Table layouts: landing is all text, staging is typed, the warehouse is a star.
+
+Fixed values: names of tables and of columns without a leading underscore. Durations, changes and
+ranges are wider than in the design, so that no value of the price type is lost.
+"""
 
 from __future__ import annotations
 
 PRICE_TEXT = ("date", "open", "high", "low", "close", "volume")
 
 LINEAGE = "_source_name string, _source_filename string, _loaded_at timestamp_ntz"
+LINEAGE_COLUMNS = ("_source_name", "_source_filename", "_loaded_at")
 
 PROFILE_TEXT = (
     "symbol", "company_name", "exchange", "exchange_full_name", "industry", "currency", "website",
@@ -38,14 +43,17 @@ ONE_PARTITION_A_WRITE = ("landing_prices", "rejected_prices", "elt_control")
 # name -> (columns, partition columns)
 TABLES: dict[str, tuple[str, tuple[str, ...]]] = {
     "landing_prices": (
-        "symbol string, " + ", ".join(f"{c} string" for c in PRICE_TEXT) + f", {LINEAGE}, load_date date",
+        "symbol string, " + ", ".join(f"{c} string" for c in PRICE_TEXT) + f", {LINEAGE}, _path string, _landing string, load_date date",
         ("load_date",),
     ),
+    # landings that are complete, and the staging batch that each one belongs to
+    "landing_log": ("_landing string, load_date date", ()),
+    "staged_landings": ("_landing string, load_date date, batch_id bigint", ()),
     "landing_sectors": (f"symbol string, sector string, {LINEAGE}", ()),
     "landing_profiles": (", ".join(f"{c} string" for c in PROFILE_TEXT) + f", {LINEAGE}", ()),
     "ingest_log": (
-        "_source_filename string, symbol string, rows bigint, status string, error string, "
-        "_loaded_at timestamp_ntz",
+        "_source_filename string, path string, symbol string, rows bigint, status string, error string, "
+        "_loaded_at timestamp_ntz, _landing string",
         (),
     ),
     "stg_stock_price": (
@@ -59,8 +67,8 @@ TABLES: dict[str, tuple[str, tuple[str, ...]]] = {
     "staging_log": ("trade_part date, batch_id bigint, compacted boolean", ()),
     "rejected_prices": (
         "symbol string, " + ", ".join(f"{c} string" for c in PRICE_TEXT)
-        + f", {LINEAGE}, reject_reason string, _batch_id bigint",
-        ("_batch_id",),
+        + f", {LINEAGE}, reject_reason string, _batch_id bigint, load_date date",
+        ("load_date",),
     ),
     "stg_companies": (COMPANY, ()),
     "agg_15min_raw": (f"{_BAR}, yyyymm int", ("yyyymm",)),
@@ -94,12 +102,12 @@ TABLES: dict[str, tuple[str, tuple[str, ...]]] = {
     "dim_meta_audit_log": (
         "sk_audit_id bigint, source_system string, row_count_raw bigint, "
         "row_count_rejected bigint, execution_start_ts timestamp_ntz, "
-        "execution_end_ts timestamp_ntz, execution_time decimal(6,2), status string",
+        "execution_end_ts timestamp_ntz, execution_time decimal(12,2), status string",
         (),
     ),
     "elt_control": (
         "id bigint, last_processed timestamp_ntz, last_batch_id bigint, "
-        "last_run_ts timestamp_ntz, status string, job_name string",
+        "last_run_ts timestamp_ntz, status string, settings string, job_name string",
         ("job_name",),
     ),
     "fact_15min_stock_price": (
@@ -107,8 +115,8 @@ TABLES: dict[str, tuple[str, tuple[str, ...]]] = {
         "fk_company_id bigint, fk_status_id bigint, open_price decimal(18,6), "
         "high_price decimal(18,6), low_price decimal(18,6), close_price decimal(18,6), "
         "volume bigint, adj_close decimal(18,6), vwap decimal(18,6), "
-        "previous_close decimal(18,6), price_change decimal(18,6), "
-        "price_change_pct decimal(7,3), price_range decimal(18,6), yyyymm int",
+        "previous_close decimal(18,6), price_change decimal(19,6), "
+        "price_change_pct decimal(24,3), price_range decimal(19,6), yyyymm int",
         ("yyyymm",),
     ),
 }

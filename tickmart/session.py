@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_scratch: dict[str, str] = {}
+_runs: list[str] = []
 
 
 def local_session(cores: str = "8", app: str = "tickmart") -> SparkSession:
@@ -38,13 +42,28 @@ def scratch_root(spark: SparkSession) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if shared:
         return shared.rstrip("/")
-    if not sc.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     return _local_scratch.setdefault(sc.applicationId, tempfile.mkdtemp(prefix="tickmart-"))
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_root(spark)}/tickmart/{name}-{uuid.uuid4().hex}"
+    inside = _runs[-1] if _runs else f"{scratch_root(spark)}/tickmart"
+    return f"{inside}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What is materialized inside is deleted at the end: for runs that leave nothing but tables. One
+    run at a time, as there is one writer."""
+    folder = f"{scratch_root(spark)}/tickmart/run-{uuid.uuid4().hex}"
+    _runs.append(folder)
+    try:
+        yield
+    finally:
+        _runs.remove(folder)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

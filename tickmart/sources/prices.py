@@ -4,15 +4,14 @@ from __future__ import annotations
 
 import csv
 import datetime as dt
-import re
-from collections.abc import Iterator
+import uuid
 from functools import reduce
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from tickmart.schemas import PRICE_TEXT
+from tickmart.session import materialize
 from tickmart.sources.tables import Warehouse
 
 SOURCE_NAME = "CSV Import"
@@ -25,62 +24,58 @@ def file_symbol(path: Column) -> Column:
     return F.url_decode(F.when(folder != "", folder).otherwise(name))
 
 
-def _first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    from pyarrow import fs
+def list_files(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame:
+    """_path of every file below a folder; nothing is read."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True)
+    return files.load(path).select(F.col("path").alias("_path"))
 
-    for batch in batches:
-        lines = []
-        for path in batch["path"]:
-            # the same places under the names Arrow knows
-            uri = re.sub("^s3a:", "s3:", re.sub("^file:/+", "file:///", path))
-            store, inner = fs.FileSystem.from_uri(uri)
-            with store.open_input_stream(inner) as stream:
-                head = b""
-                while b"\n" not in head and (block := stream.read(1 << 16)):
-                    head += block
-            lines.append(head.split(b"\n", 1)[0].decode("utf-8-sig", "replace").strip())
-        yield pd.DataFrame({"path": batch["path"], "header": lines})
+
+def _options(reader: DataFrameReader, glob: str) -> DataFrameReader:
+    return reader.option("pathGlobFilter", glob).option("recursiveFileLookup", True).option("ignoreCorruptFiles", True)
 
 
 def file_headers(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame:
-    """(path, header) of every file; tasks read only the first line of each."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", True)
-        .load(path)
-        .select("path")
-    )
-    return files.mapInPandas(_first_lines, "path string, header string")
+    """(_path, header) of every file with a first line that can be read."""
+    lines = _options(spark.read, glob).text(path).select(
+        F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_n"), F.trim(F.ltrim("value", F.lit("\ufeff"))).alias("header"),
+    )
+    return lines.where("_start = 0").groupBy("_path").agg(F.min_by("header", "_n").alias("header"))
 
 
 def read_price_files(spark: SparkSession, path: str, glob: str = "*.csv") -> tuple[DataFrame, DataFrame]:
-    """All-text price rows with symbol and path; and every file's path, with an error if its header
-    cannot be used.
+    """All-text price rows with symbol and path; and every file's path, with an error if the file or
+    its header cannot be used.
 
-    Spark binds a given schema by position, so files are read in groups of equal header. The
-    driver holds one header per group and one path per file, as a file listing does.
+    Spark binds a given schema by position, so files are read in groups of equal header, of which
+    there are a few; the driver holds the headers, not the files. Of several groups each finds its
+    own files by a join on the path.
     """
-    by_header: dict[str, list[str]] = {}
-    for row in file_headers(spark, path, glob).collect():
-        by_header.setdefault(row["header"], []).append(row["path"])
-
-    frames, files = [], []
-    for header, paths in sorted(by_header.items()):
+    headers = materialize(file_headers(spark, path, glob), "headers")
+    frames, errors = [], []
+    # one row per layout: files of one kind share their header
+    layouts = [r["header"] for r in headers.groupBy("header").count().orderBy("header").collect()]
+    listed = list_files(spark, path, glob)
+    for header in layouts:
         names = [name.strip() for name in next(csv.reader([header]), [])]
         lacking = [c for c in PRICE_TEXT if names.count(c) != 1]
-        error = "header lacks or repeats: " + ", ".join(lacking) if lacking else None
-        files += [(p, error) for p in paths]
         if lacking:
+            errors.append((header, "header lacks or repeats: " + ", ".join(lacking)))
             continue
         # other columns get positional names: they are not read, and may repeat
         ddl = ", ".join(f"`{n if n in PRICE_TEXT else f'_x{i}'}` string" for i, n in enumerate(names))
-        rows = spark.read.schema(ddl).option("header", True).option("enforceSchema", True).csv(paths)
-        frames.append(rows.select(*PRICE_TEXT, F.col("_metadata.file_path").alias("_path")))
+        reader = _options(spark.read.schema(ddl).option("header", True).option("enforceSchema", True), glob)
+        rows = reader.csv(path).select(*PRICE_TEXT, F.col("_metadata.file_path").alias("_path"))
+        if len(layouts) > 1:
+            rows = rows.join(headers.where(F.col("header") == header).select("_path"), "_path", "left_semi")
+        frames.append(rows.select(*PRICE_TEXT, "_path"))
     empty = spark.createDataFrame([], ", ".join(f"{c} string" for c in (*PRICE_TEXT, "_path")))
     rows = reduce(DataFrame.unionByName, frames, empty)
     rows = rows.select(file_symbol(F.col("_path")).alias("symbol"), *PRICE_TEXT, "_path")
-    return rows, spark.createDataFrame(files, "_path string, error string")
+    wrong = spark.createDataFrame(errors, "header string, error string")
+    files = listed.join(headers, "_path", "left").join(F.broadcast(wrong), "header", "left")
+    unread = F.when(F.col("header").isNull(), F.lit("the file cannot be read"))
+    return rows, files.select("_path", F.coalesce("error", unread).alias("error"))
 
 
 def tag_lineage(rows: DataFrame, source_name: str, filename: Column, loaded_at: Column | None = None) -> DataFrame:
@@ -96,32 +91,47 @@ def _file_name(path: Column) -> Column:
 
 def land_prices(wh: Warehouse, path: str, loaded_at: dt.datetime | None = None, glob: str = "*.csv") -> None:
     """Append a folder of price files to landing and log every file, read or not."""
-    loaded_at = loaded_at or dt.datetime.now()
-    stamp = F.lit(loaded_at.isoformat(" ")).cast("timestamp_ntz")
+    stamp = F.lit((loaded_at or dt.datetime.now()).isoformat(" ")).cast("timestamp_ntz")
     rows, files = read_price_files(wh.spark, path, glob)
-    append_landing(wh, tag_lineage(rows, SOURCE_NAME, _file_name(F.col("_path")), stamp))
+    landing = append_landing(wh, tag_lineage(rows, SOURCE_NAME, _file_name(F.col("_path")), stamp), complete=False)
     # counted from the landed table, so the files are read once
-    landed = wh.read("landing_prices").where((F.col("load_date") == F.to_date(stamp)) & (F.col("_loaded_at") == stamp))
-    wh.append(ingest_log(landed, files).withColumn("_loaded_at", stamp), "ingest_log")
+    landed = wh.read("landing_prices").where((F.col("load_date") == F.to_date(stamp)) & (F.col("_landing") == landing))
+    wh.append(ingest_log(landed, files).withColumns({"_loaded_at": stamp, "_landing": F.lit(landing)}), "ingest_log")
+    complete_landing(wh, landing)
+
+
+def append_landing(wh: Warehouse, landed: DataFrame, complete: bool = True) -> str:
+    """Append rows as one landing and return its id. Landings have ids of their own, and are staged
+    once they are complete, so clocks and overlaps of landings do not matter. One that broke off is
+    never staged; land it again."""
+    landing = uuid.uuid4().hex
+    if "_path" not in landed.columns:
+        landed = landed.withColumn("_path", F.lit(None).cast("string"))
+    wh.append(landed.withColumns({"load_date": F.to_date("_loaded_at"), "_landing": F.lit(landing)}), "landing_prices")
+    if complete:
+        complete_landing(wh, landing)
+    return landing
 
 
-def append_landing(wh: Warehouse, landed: DataFrame) -> None:
-    wh.append(landed.withColumn("load_date", F.to_date("_loaded_at")), "landing_prices")
+def complete_landing(wh: Warehouse, landing: str) -> None:
+    days = wh.read("landing_prices").where(F.col("_landing") == landing).select("_landing", "load_date").distinct()
+    wh.append(days.coalesce(1), "landing_log")
 
 
 def reset_landing(wh: Warehouse) -> None:
-    for name in ("landing_prices", "landing_sectors", "landing_profiles", "ingest_log"):
+    for name in ("landing_prices", "landing_sectors", "landing_profiles", "ingest_log", "landing_log", "staged_landings"):
         wh.reset(name)
 
 
 def ingest_log(landed: DataFrame, files: DataFrame) -> DataFrame:
-    """A row per file: how many rows landed, or why it was left out."""
+    """A row per file: how many rows landed, or why it was left out. Files of equal names are told
+    apart by their paths."""
     path = F.col("_path")
-    listed = files.select(_file_name(path).alias("_source_filename"), file_symbol(path).alias("symbol"), "error")
-    counts = landed.groupBy("_source_filename", "symbol").agg(F.count("*").alias("rows"))
-    return listed.join(counts, ["_source_filename", "symbol"], "left").select(
-        "_source_filename",
-        "symbol",
+    counts = landed.groupBy("_path").agg(F.count("*").alias("rows"))
+    return files.join(counts, "_path", "left").select(
+        _file_name(path).alias("_source_filename"),
+        path.alias("path"),
+        file_symbol(path).alias("symbol"),
         F.coalesce("rows", F.lit(0)).alias("rows"),
         F.when(F.col("error").isNull(), "success").otherwise("error").alias("status"),
         "error",

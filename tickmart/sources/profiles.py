@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import csv
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickmart.operators.checks import check_unique
 from tickmart.schemas import PROFILE_TEXT
-from tickmart.sources.prices import SOURCE_NAME, tag_lineage
+from tickmart.sources.prices import SOURCE_NAME, file_headers, tag_lineage
 from tickmart.sources.tables import Warehouse
 
 # Field of the JSON response for each profile column, where the names differ.
@@ -23,9 +26,20 @@ JSON_FIELDS = {
 
 
 def read_sectors(spark: SparkSession, path: str) -> DataFrame:
-    """symbol, sector from CSV files of one header."""
-    rows = spark.read.option("header", True).csv(path)
-    return rows.select("symbol", "sector", F.col("_metadata.file_name").alias("_source_filename"))
+    """symbol, sector from CSV files, bound by the names in each file's header."""
+    headers = file_headers(spark, path)
+    frames = []
+    # one row per layout: files of one kind share their header
+    for header in [r[0] for r in headers.select("header").distinct().orderBy("header").collect()]:
+        names = [name.strip() for name in next(csv.reader([header]), [])]
+        if names.count("symbol") != 1 or names.count("sector") != 1:
+            raise ValueError(f"a sector list lacks or repeats symbol or sector: {header}")
+        ddl = ", ".join(f"`{n if n in ('symbol', 'sector') else f'_x{i}'}` string" for i, n in enumerate(names))
+        rows = spark.read.schema(ddl).option("header", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").csv(path)
+        rows = rows.select("symbol", "sector", F.col("_metadata.file_name").alias("_source_filename"), F.col("_metadata.file_path").alias("_path"))
+        frames.append(rows.join(headers.where(F.col("header") == header), "_path", "left_semi").drop("_path"))
+    empty = spark.createDataFrame([], "symbol string, sector string, _source_filename string")
+    return reduce(DataFrame.unionByName, frames, empty)
 
 
 def json_field(column: str) -> str:

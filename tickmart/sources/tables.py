@@ -44,7 +44,7 @@ class Warehouse:
         nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in layout(name)]
         return self.spark.range(0).select(*nothing)
 
-    def _write(self, df: DataFrame, name: str, mode: str) -> None:
+    def _write(self, df: DataFrame, name: str, mode: str, overwrite: str = "dynamic") -> None:
         _, parts = TABLES[name]
         df = df.select(*layout(name).names)
         if parts and name not in ONE_PARTITION_A_WRITE:
@@ -53,7 +53,7 @@ class Warehouse:
             df = df.hint("rebalance", *parts)
         if name in FILE_ORDER:
             df = df.sortWithinPartitions(*parts, FILE_ORDER[name])
-        writer = df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+        writer = df.write.mode(mode).option("partitionOverwriteMode", overwrite)
         writer.partitionBy(*parts).parquet(self.path(name))
 
     def append(self, df: DataFrame, name: str) -> None:
@@ -66,26 +66,58 @@ class Warehouse:
         """
         self._write(df, name, "overwrite")
 
+    def overwrite(self, df: DataFrame, name: str) -> None:
+        """Replace the whole table; ``df`` must not read it."""
+        self._write(df, name, "overwrite", "static")
+
     def reset(self, name: str) -> None:
         """Empty the table."""
         _, parts = TABLES[name]
         writer = self._empty(name).write.mode("overwrite").option("partitionOverwriteMode", "static")
         writer.partitionBy(*parts).parquet(self.path(name))
 
-    def upsert(self, updates: DataFrame, name: str, keys: list[str]) -> None:
+    def _delete(self, path: str) -> None:
+        """By Spark's own file system, so that any store works."""
+        folder = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+    def compact_log(self, name: str, most_files: int = 64) -> None:
+        """Rewrite a log of more files as one. The new file comes first: if this breaks off, the log
+        has some rows twice until the next time, and never lacks any."""
+        rows = self.read(name)
+        old = rows.inputFiles()
+        if len(old) > most_files:
+            rows.dropDuplicates().coalesce(1).write.mode("append").parquet(self.path(name))
+            for file in old:
+                self._delete(file)
+
+    def drop_parts(self, name: str, values: list) -> None:
+        _, (part, *_) = TABLES[name]
+        for value in values:
+            self._delete(f"{self.path(name)}/{part}={value}")
+
+    def upsert(self, updates: DataFrame, name: str, keys: list[str], gone: DataFrame | None = None) -> None:
         """Replace rows on ``keys``, rewriting only the partitions that ``updates`` touches.
 
-        ``updates`` must be cheap to read (written or small): it is read more than once. A key
-        always lies in one partition.
+        ``gone`` names rows to remove even if ``updates`` has nothing in their place: the partition
+        column and some columns of the table. Both must be cheap to read (written or small): they
+        are read more than once. A key always lies in one partition.
         """
         _, (part, *_) = TABLES[name]
-        # a partition list: months, days or job names, never rows
-        touched = [r[0] for r in updates.select(part).distinct().collect()]
-        if not touched:
+        # partition lists: months, days or job names, never rows
+        filled = [r[0] for r in updates.select(part).distinct().collect()]
+        cleared = [] if gone is None else [r[0] for r in gone.select(part).distinct().collect()]
+        if not filled and not cleared:
             return
-        stored = self.read(name).where(F.col(part).isin(touched))
+        stored = self.read(name).where(F.col(part).isin([*filled, *cleared]))
         kept = stored.join(updates.select(part, *keys), [part, *keys], "left_anti")
-        self.replace(kept.unionByName(updates.select(*stored.columns)), name)
+        if gone is not None:
+            kept = kept.join(gone, gone.columns, "left_anti")
+        rows = kept.unionByName(updates.select(*stored.columns))
+        # a partition that keeps nothing is not overwritten, as no row names it
+        left = [r[0] for r in kept.select(part).distinct().collect()] if cleared else filled
+        self.replace(rows, name)
+        self.drop_parts(name, sorted(set(cleared) - set(left) - set(filled)))
 
 
 @cache

@@ -8,14 +8,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tickmart.functions.calendar import yyyymm
+from tickmart.functions.calendar import cut_minutes, yyyymm
 from tickmart.operators.bars import bar_measures
 from tickmart.plans.load import incremental_load
-from tickmart.plans.staging import stage_batch, stream_base
-from tickmart.session import materialize
+from tickmart.plans.staging import compact_staging, stage_batch, stream_base
+from tickmart.session import materialize, scratch
 from tickmart.sources.tables import Warehouse
 
-EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
+#: Micro-batches after which partitions that several of them wrote are compacted.
+COMPACT_EVERY = 96
 TICK = ["ticker_symbol", "symbol_type", "timezone"]
 
 
@@ -31,10 +32,6 @@ def to_instant(column: str) -> Column:
     return F.timestamp_micros(minutes * 60_000_000 + micros)
 
 
-def to_wall_clock(column: str) -> Column:
-    return F.expr(f"timestampadd(MICROSECOND, unix_micros({column}), {EPOCH})")
-
-
 def stream_dedup(ticks: DataFrame, watermark: str) -> DataFrame:
     """First arrival of each (symbol, time); copies later than the watermark may pass."""
     stamped = ticks.withColumn("_at", to_instant("trade_date")).withWatermark("_at", watermark)
@@ -42,16 +39,17 @@ def stream_dedup(ticks: DataFrame, watermark: str) -> DataFrame:
 
 
 def windowed_bars(ticks: DataFrame, minutes: int, watermark: str) -> DataFrame:
-    """OHLCV per event-time window. Ticks that arrive later than the watermark are not counted:
-    where that can happen use stream_load, which recounts."""
+    """OHLCV per bar, with the bar starts of ``time_bucket``. A bar lies within its hour, so the state
+    of an hour goes when the watermark passes it. Ticks that arrive later than the watermark are not
+    counted: where that can happen use stream_load, which recounts."""
     stamped = ticks.withColumn("_at", to_instant("trade_date")).withWatermark("_at", watermark)
-    bars = stamped.groupBy(*TICK, F.window("_at", f"{minutes} minutes").alias("w")).agg(
+    stamped = stamped.withColumn("interval_start", cut_minutes(F.col("trade_date"), minutes))
+    bars = stamped.groupBy(*TICK, F.window("_at", "60 minutes").alias("w"), "interval_start").agg(
         *[c.alias(n) for n, c in bar_measures().items()]
     )
-    bars = bars.withColumn("_start", F.col("w.start")).withColumn("interval_start", to_wall_clock("_start"))
     return bars.withColumnRenamed("ticker_symbol", "symbol").withColumns(
         {"granularity": F.lit(f"{minutes}min"), "yyyymm": yyyymm(F.col("interval_start"))}
-    ).drop("w", "_start")
+    ).drop("w")
 
 
 def start(df: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, mode: str, every: str | None) -> StreamingQuery:
@@ -66,7 +64,8 @@ def stream_bars(wh: Warehouse, ticks: DataFrame, checkpoint: str, minutes: int =
     """Continuous bars: changed windows replace their bars."""
 
     def sink(changed: DataFrame, _: int) -> None:
-        wh.upsert(materialize(changed, "stream_bars"), "agg_15min_raw", ["symbol", "interval_start"])
+        with scratch(wh.spark):
+            wh.upsert(materialize(changed, "stream_bars"), "agg_15min_raw", ["symbol", "interval_start"])
 
     return start(windowed_bars(ticks, minutes, watermark), sink, checkpoint, "update", every)
 
@@ -84,5 +83,7 @@ def stream_load(wh: Warehouse, landing: DataFrame, checkpoint: str, minutes: int
     def sink(landed: DataFrame, epoch: int) -> None:
         stage_batch(wh, landed, base + 1 + epoch)
         incremental_load(wh, minutes)
+        if epoch % COMPACT_EVERY == COMPACT_EVERY - 1:
+            compact_staging(wh, base + 1 + epoch)
 
     return start(landing, sink, checkpoint, "append", every)
