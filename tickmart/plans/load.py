@@ -51,11 +51,11 @@ def _update_companies(wh: Warehouse, companies: DataFrame, now: Column) -> None:
     wh.upsert(materialize(changed, "dim_company"), "dim_company", ["sk_company_id"])
 
 
-def _fact(wh: Warehouse, enriched: DataFrame, run: Run) -> DataFrame:
+def fact_of(wh: Warehouse, enriched: DataFrame, audit_id: int) -> DataFrame:
     keys = symbol_keys(
         wh.read("dim_instrument"), wh.read("dim_company"), wh.read("stg_companies"), wh.read("dim_exchange")
     )
-    return fact_rows(enriched, materialize(keys, "symbol_keys"), wh.read("dim_trade_status"), run.audit_id)
+    return fact_rows(enriched, materialize(keys, "symbol_keys"), wh.read("dim_trade_status"), audit_id)
 
 
 def _survey(bars: DataFrame) -> Row:
@@ -112,7 +112,7 @@ def _full_load(wh: Warehouse, minutes: int, only_clean: bool) -> None:
         wh.overwrite(bar_days(bars), "bar_days")
         load_dims(wh, bars, F.localtimestamp())
         links = day_links(wh.read("bar_days"))
-        facts = materialize(_fact(wh, enrich(bars.drop("yyyymm"), links), run), "facts")
+        facts = materialize(fact_of(wh, enrich(bars.drop("yyyymm"), links), run.audit_id), "facts")
         check_facts(facts, wh)
         wh.overwrite(facts, "fact_15min_stock_price")
         note_run(wh, run, "completed", span["row_count"], wh.read("rejected_prices").count())
@@ -159,9 +159,11 @@ def _incremental_load(wh: Warehouse, minutes: int, only_clean: bool) -> bool:
         bars = materialize(_rebuild(wh, touched, minutes, only_clean), "bars")
         span = _survey(bars)
         note_run(wh, run, "started", span["row_count"])
-        gone = materialize(touched.withColumn("yyyymm", yyyymm(F.col("trade_day"))), "gone")
-        _replace_days(wh, bars, gone)
-        wh.upsert(materialize(bar_days(bars), "bar_days"), "bar_days", ["symbol", "trade_day"], gone)
+        # a month list, not rows
+        months = [r[0] for r in touched.select(yyyymm(F.col("trade_day"))).distinct().collect()]
+        _replace_bars(wh, bars, touched, months)
+        of_touched = lambda stored: stored.join(touched, ["symbol", "trade_day"], "left_anti")
+        wh.upsert(materialize(bar_days(bars), "bar_days"), "bar_days", ["symbol", "trade_day"], months, of_touched)
         load_dims(wh, bars, F.localtimestamp())
 
         links = materialize(affected_days(wh.read("bar_days"), touched), "links")
@@ -172,9 +174,9 @@ def _incremental_load(wh: Warehouse, minutes: int, only_clean: bool) -> bool:
         enriched = enrich(changed.drop("yyyymm"), links)
         enriched = enriched.join(links.select("symbol", "trade_day", "touched"), ["symbol", "trade_day"])
         enriched = enriched.where("touched or bar_of_day = 1").drop("touched")
-        facts = materialize(_fact(wh, enriched, run), "facts")
+        facts = materialize(fact_of(wh, enriched, run.audit_id), "facts")
         check_facts(facts, wh)
-        _replace_facts(wh, facts, gone)
+        _replace_facts(wh, facts, touched, months)
         note_run(wh, run, "completed", span["row_count"], _rejects_after(wh, mark))
     except Exception:
         note_run(wh, run, "failed")
@@ -184,22 +186,26 @@ def _incremental_load(wh: Warehouse, minutes: int, only_clean: bool) -> bool:
     return True
 
 
-def _replace_days(wh: Warehouse, bars: DataFrame, gone: DataFrame) -> None:
+def _replace_bars(wh: Warehouse, bars: DataFrame, touched: DataFrame, months: list[int]) -> None:
     """Bars of whole days for all that these days had."""
-    starts = wh.read("agg_15min_raw").where(F.col("yyyymm").isin([r[0] for r in gone.select("yyyymm").distinct().collect()]))
-    old = starts.withColumn("trade_day", F.to_date("interval_start")).join(gone, ["yyyymm", "symbol", "trade_day"], "left_semi")
-    old = materialize(old.select("yyyymm", "symbol", "interval_start"), "old_bars")
-    wh.upsert(bars, "agg_15min_raw", ["symbol", "interval_start"], old)
 
+    def without(stored: DataFrame) -> DataFrame:
+        dated = stored.withColumn("trade_day", F.to_date("interval_start"))
+        return dated.join(touched, ["symbol", "trade_day"], "left_anti").select(*stored.columns)
 
-def _replace_facts(wh: Warehouse, facts: DataFrame, gone: DataFrame) -> None:
-    """Facts for all that the days of ``gone`` had, and by key for single bars of other days."""
+    wh.upsert(bars, "agg_15min_raw", ["symbol", "interval_start"], months, without)
+
+
+def _replace_facts(wh: Warehouse, facts: DataFrame, touched: DataFrame, months: list[int]) -> None:
+    """Facts for all that the touched days had, and by key for single bars of other days."""
     instruments = wh.read("dim_instrument").select("symbol", F.col("sk_instrument_id").alias("fk_instrument_id"))
-    days = gone.join(instruments, "symbol").select("yyyymm", "fk_instrument_id", smart_key(F.col("trade_day")).alias("_day"))
-    stored = wh.read("fact_15min_stock_price").where(F.col("yyyymm").isin([r[0] for r in gone.select("yyyymm").distinct().collect()]))
-    stored = stored.select("yyyymm", "fk_instrument_id", "fk_date_id", (F.col("fk_date_id") - F.col("fk_date_id") % 1_000_000).alias("_day"))
-    old = stored.join(days, ["yyyymm", "fk_instrument_id", "_day"], "left_semi").drop("_day")
-    wh.upsert(facts, "fact_15min_stock_price", ["fk_date_id", "fk_instrument_id"], materialize(old, "old_facts"))
+    days = touched.join(instruments, "symbol").select("fk_instrument_id", smart_key(F.col("trade_day")).alias("_day"))
+
+    def without(stored: DataFrame) -> DataFrame:
+        dated = stored.withColumn("_day", F.col("fk_date_id") - F.col("fk_date_id") % 1_000_000)
+        return dated.join(days, ["fk_instrument_id", "_day"], "left_anti").select(*stored.columns)
+
+    wh.upsert(facts, "fact_15min_stock_price", ["fk_date_id", "fk_instrument_id"], months, without)
 
 
 def _rejects_after(wh: Warehouse, mark: int | None) -> int:

@@ -54,9 +54,8 @@ def append_staging(wh: Warehouse, staged: DataFrame, batch_id: int, parts: list[
         wh.append(rows, "stg_stock_price")
         return
     # what the batch wrote before goes, also from partitions in which it has nothing any more
-    gone = wh.read("stg_stock_price").where(F.col("trade_part").isin(begun) & (F.col("_batch_id") == batch_id))
-    gone = materialize(gone.select("trade_part", "_batch_id").distinct(), "gone")
-    wh.upsert(materialize(rows, "staged"), "stg_stock_price", [*TICK_KEY, "_batch_id"], gone)
+    others = F.col("_batch_id") != batch_id
+    wh.upsert(materialize(rows, "staged"), "stg_stock_price", [*TICK_KEY, "_batch_id"], begun, lambda stored: stored.where(others))
 
 
 def _list_parts(parts: DataFrame) -> list[dt.date]:
@@ -80,12 +79,12 @@ def _stage_batch(wh: Warehouse, landing: DataFrame, batch_id: int) -> None:
     rejects = typed.where("reject_reason is not null").select(
         "_landed.*", *LINEAGE_COLUMNS, "reject_reason", F.lit(batch_id).cast("bigint").alias("_batch_id"), day
     )
-    before = wh.read("rejected_prices").where(F.col("_batch_id") == batch_id).select("load_date", "_batch_id").distinct()
-    before = materialize(before, "gone")
-    if before.isEmpty():
-        wh.append(rejects, "rejected_prices")
+    mine = F.col("_batch_id") == batch_id
+    before = [r[0] for r in wh.read("rejected_prices").where(mine).select("load_date").distinct().collect()]
+    if before:
+        wh.upsert(rejects, "rejected_prices", ["_batch_id"], before, lambda stored: stored.where(~mine))
     else:
-        wh.upsert(rejects, "rejected_prices", ["_batch_id"], before)
+        wh.append(rejects, "rejected_prices")
 
 
 def stage_new(wh: Warehouse) -> int | None:

@@ -7,6 +7,7 @@ at a time: Parquet has no transactions.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cache
 
 from pyspark.errors import AnalysisException
@@ -96,28 +97,30 @@ class Warehouse:
         for value in values:
             self._delete(f"{self.path(name)}/{part}={value}")
 
-    def upsert(self, updates: DataFrame, name: str, keys: list[str], gone: DataFrame | None = None) -> None:
+    def upsert(
+        self, updates: DataFrame, name: str, keys: list[str], parts: list | None = None,
+        without: Callable[[DataFrame], DataFrame] | None = None,
+    ) -> None:
         """Replace rows on ``keys``, rewriting only the partitions that ``updates`` touches.
 
-        ``gone`` names rows to remove even if ``updates`` has nothing in their place: the partition
-        column and some columns of the table. Both must be cheap to read (written or small): they
-        are read more than once. A key always lies in one partition.
+        ``without`` takes further rows out of the stored ones, of the partitions ``parts``, whether or
+        not ``updates`` has something in their place. ``updates`` must be cheap to read (written or
+        small): it is read more than once. A key always lies in one partition.
         """
         _, (part, *_) = TABLES[name]
         # partition lists: months, days or job names, never rows
-        filled = [r[0] for r in updates.select(part).distinct().collect()]
-        cleared = [] if gone is None else [r[0] for r in gone.select(part).distinct().collect()]
-        if not filled and not cleared:
+        touched = {r[0] for r in updates.select(part).distinct().collect()} | set(parts or [])
+        if not touched:
             return
-        stored = self.read(name).where(F.col(part).isin([*filled, *cleared]))
+        stored = self.read(name).where(F.col(part).isin(sorted(touched)))
         kept = stored.join(updates.select(part, *keys), [part, *keys], "left_anti")
-        if gone is not None:
-            kept = kept.join(gone, gone.columns, "left_anti")
+        if without is not None:
+            kept = without(kept)
         rows = kept.unionByName(updates.select(*stored.columns))
         # a partition that keeps nothing is not overwritten, as no row names it
-        left = [r[0] for r in kept.select(part).distinct().collect()] if cleared else filled
+        left = touched if without is None else {r[0] for r in rows.select(part).distinct().collect()}
         self.replace(rows, name)
-        self.drop_parts(name, sorted(set(cleared) - set(left) - set(filled)))
+        self.drop_parts(name, sorted(touched - left))
 
 
 @cache
