@@ -38,7 +38,7 @@ def file_headers(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFra
     """(_path, header) of every file with a first line that can be read."""
     lines = _options(spark.read, glob).text(path).select(
         F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_start"),
-        F.monotonically_increasing_id().alias("_n"), F.trim(F.ltrim("value", F.lit("\ufeff"))).alias("header"),
+        F.monotonically_increasing_id().alias("_n"), F.trim(F.regexp_replace("value", "^\ufeff", "")).alias("header"),
     )
     return lines.where("_start = 0").groupBy("_path").agg(F.min_by("header", "_n").alias("header"))
 
