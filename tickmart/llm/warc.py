@@ -22,7 +22,7 @@ def canonical_url(url: Column) -> Column:
     case. A text without '://' is only trimmed."""
     url = F.trim(url)
     part = lambda n: F.regexp_extract(url, r"^([A-Za-z][A-Za-z0-9+.\-]*)://(?:[^/?#@]*@)?([^/?#:]*)(?::([0-9]*))?([^?#]*)(\?[^#]*)?", n)
-    scheme, host, port, path = F.lower(part(1)), F.rtrim(F.lower(part(2)), F.lit(".")), part(3), part(4)
+    scheme, host, port, path = F.lower(part(1)), F.regexp_replace(F.lower(part(2)), r"\.+$", ""), part(3), part(4)
     default = F.lit(False)
     for name, number in DEFAULT_PORTS.items():
         default = default | ((scheme == name) & (port == number))
