@@ -223,7 +223,8 @@ def ngram_links(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float
 def candidate_links(classes: DataFrame, least: np.ndarray) -> DataFrame:
     """Stars (a, b) that connect classes which share a band and are likely to be similar."""
     banded = classes.where("n > 0").select("class", "signature").mapInArrow(band_keys, "key bigint, class bigint")
-    crowded = banded.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    # written, so that the join deals both sides anew and adaptive execution can split a crowded key
+    crowded = materialize(banded.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "crowded")
     members = banded.join(crowded, "key")
     short = classes.select("class", F.col("signature").alias("signature"))
     members = in_blocks(members, "key", "size").drop("_mine", "size").join(short, "class")
@@ -251,7 +252,7 @@ def candidate_links(classes: DataFrame, least: np.ndarray) -> DataFrame:
 
 def verified(rows: DataFrame, classes: DataFrame, clusters: DataFrame, least: np.ndarray, threshold: Fraction) -> tuple[DataFrame, DataFrame]:
     """(class, links): rows linked to each class, and stars (a, b) that connect linked classes."""
-    sizes = clusters.groupBy("cluster").agg(F.count("*").alias("size"))
+    sizes = materialize(clusters.groupBy("cluster").agg(F.count("*").alias("size")), "sizes")
     members = clusters.join(sizes, "cluster").join(classes.select("class", "copies", "row", "f1", "f2"), "class")
     # one row of each class is read again: a copy that holds the class's least text hash
     wanted = members.select(F.xxhash64("row").alias("_row"), "class", "cluster", "size", "copies", "f1", "f2")

@@ -275,7 +275,7 @@ def crowded_ranges(rows: DataFrame, length: int, together: int) -> DataFrame:
         several = alike.where("times > 1").select("key", "reach")
         inside = parts.where("first <= last").join(several, ["key", "reach"])
         found.append(inside.select("c1", "c2", F.col("first").alias("low"), F.col("last").alias("high")))
-        crowds = alike.groupBy("key").agg(F.count("*").alias("crowd")).where("crowd > 1")
+        crowds = materialize(alike.groupBy("key").agg(F.count("*").alias("crowd")).where("crowd > 1"), "crowds")
         met = materialize(alike.join(crowds, "key"), "met")
         few = met.where(F.col("crowd") <= together).select("key", "c1", "c2", "low", "high", "around").repartition("key").sortWithinPartitions("key")
         found.append(few.mapInArrow(lambda b: compare_ranges(b, length), "c1 bigint, c2 bigint, low bigint, high bigint"))
@@ -311,7 +311,8 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, key: int = KEY, toget
     long = texts.where(F.octet_length("text") >= length)
     found = long.select("t1", "t2", "text").mapInArrow(lambda b: find_anchors(b, length, key), "t1 bigint, t2 bigint, at int, key bigint")
     found = materialize(found, "anchors")
-    crowds = found.groupBy("key").agg(F.count("*").alias("crowd")).where("crowd > 1")
+    # written, so that the join deals both sides anew and adaptive execution can split a crowded key
+    crowds = materialize(found.groupBy("key").agg(F.count("*").alias("crowd")).where("crowd > 1"), "crowds")
     places = found.join(crowds, "key").groupBy("t1", "t2").agg(F.collect_list(F.struct("at", "key", "crowd")).alias("places"))
     joined = long.select("t1", "t2", "text").join(places, ["t1", "t2"]).select("t1", "t2", "places", "text")
     around = joined.mapInArrow(lambda b: contexts(b, length, key), "key bigint, t1 bigint, t2 bigint, at int, crowd bigint, around binary")
