@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Text bytes that are worked on together.
 BATCH_BYTES = 1 << 20
@@ -37,28 +38,28 @@ def group_starts(table: pa.Table, keys: int) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def slices(batch: pa.RecordBatch, size: int = BATCH_BYTES) -> Iterator[tuple[list[pa.Array], list[bytes | None]]]:
-    """The leading columns and the texts (the last column) of a batch, in parts of about ``size``."""
-    texts = batch.column(batch.num_columns - 1).to_pylist()
+def parts_of(texts: pa.Array, size: int = BATCH_BYTES) -> Iterator[slice]:
+    """Consecutive runs of texts of about ``size`` bytes; a longer text is a run of its own."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
     start, total = 0, 0
-    for i, text in enumerate(texts):
-        total += len(text or b"")
-        if total >= size or i + 1 == len(texts):
-            yield [c.slice(start, i + 1 - start) for c in batch.columns[:-1]], texts[start : i + 1]
+    for i, n in enumerate(sizes.tolist()):
+        total += n
+        if total >= size or i + 1 == len(sizes):
+            yield slice(start, i + 1)
             start, total = i + 1, 0
 
 
-def groups(texts: list[bytes | None]) -> Iterator[list[bytes | None]]:
+def slices(batch: pa.RecordBatch) -> Iterator[tuple[list[pa.Array], list[bytes | None]]]:
+    """The leading columns and the texts (the last column) of a batch, in parts of about BATCH_BYTES,
+    so that no more than a part is held twice."""
+    *others, texts = batch.columns
+    for part in parts_of(texts):
+        yield [c[part] for c in others], texts[part].to_pylist()
+
+
+def groups(texts: pa.Array) -> Iterator[list[bytes | None]]:
     """Texts in order, in lists of about BATCH_BYTES."""
-    some, size = [], 0
-    for text in texts:
-        some.append(text)
-        size += len(text or b"")
-        if size >= BATCH_BYTES:
-            yield some
-            some, size = [], 0
-    if some:
-        yield some
+    return (texts[part].to_pylist() for part in parts_of(texts))
 
 
 def union(spans: list[list[int]]) -> list[list[int]]:

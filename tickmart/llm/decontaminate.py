@@ -183,10 +183,9 @@ def searched(rows: DataFrame, items: DataFrame, window: int, block_bytes: int, i
         def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index = shared.value
             for batch in batches:
-                contents = batch.column(1).to_pylist()
                 n_words, spans, items_found = [], batch.column(3).to_pylist(), batch.column(4).to_pylist()
                 row = 0
-                for some in groups(contents):
+                for some in groups(batch.column(1)):
                     lengths, occurrences = index.search(some)
                     n_words += lengths.tolist()
                     for hits in occurrences:
@@ -215,7 +214,7 @@ def shingle_frequencies(texts: DataFrame, windows: Windows) -> Counter:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: Counter = Counter()
         for batch in batches:
-            for some in groups(batch.column(0).to_pylist()):
+            for some in groups(batch.column(0)):
                 total.update(shared.value.frequencies(some))
         k, place = zip(*total, strict=True) if total else ((), ())
         yield pa.RecordBatch.from_arrays([pa.array(k, pa.int32()), pa.array(place, pa.int64()), pa.array(total.values(), pa.int64())], ["k", "place", "n"])
