@@ -283,7 +283,8 @@ def crowded_ranges(rows: DataFrame, length: int, together: int) -> DataFrame:
     if not found:
         return named.select("t1", "t2", F.lit(0).cast("bigint").alias("start"), F.lit(0).cast("bigint").alias("end")).limit(0)
     best = reduce(DataFrame.unionByName, found).groupBy("c1", "c2").agg(F.min("low").alias("low"), F.max("high").alias("high"))
-    hit = named.join(best, ["c1", "c2"])
+    # written, so that a kind of very many rows can be split in the join
+    hit = named.join(materialize(best, "best"), ["c1", "c2"])
     return hit.select("t1", "t2", (F.col("at") - F.col("high")).alias("start"), (F.col("at") - F.col("low") + length).alias("end"))
 
 
