@@ -1,6 +1,8 @@
 """Files as people write them: headers in any order, bad files among good ones."""
 
+import gzip
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -114,6 +116,43 @@ def test_an_unreadable_file_does_not_stop_the_others(spark, tmp_path):
     assert wh.read("landing_prices").count() == 1
 
 
+def test_a_file_that_breaks_in_the_middle_is_an_error(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    header, rng = "date,open,high,low,close,volume\n", random.Random(4)
+    for symbol in "ABCDE":
+        rows = "".join(f"2024-01-02,{rng.random()},1,1,1,1\n" for _ in range(20_000))
+        packed = gzip.compress((header + rows).encode())
+        (tmp_path / "in" / f"{symbol}.csv.gz").write_bytes(packed[: len(packed) // 2] if symbol in "BE" else packed)
+    (tmp_path / "in" / "X.csv").write_text("close,volume,date,open,high,low\n1,1,2024-01-02,1,1,1\n")  # another layout
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    prices.land_prices(wh, str(tmp_path / "in"), glob="*.csv*")
+    log = {r.symbol: (r.rows, r.status, r.error) for r in wh.read("ingest_log").collect()}
+    whole, broken = (20_000, "success", None), (0, "error", "the file cannot be read")
+    assert log == {"A": whole, "B": broken, "C": whole, "D": whole, "E": broken, "X": (1, "success", None)}
+    assert wh.read("landing_prices").count() == 60_001
+
+
+def test_a_read_error_after_the_headers_stops_the_landing(spark, tmp_path, monkeypatch):
+    """What cannot be read is never taken for the end of its file."""
+    (tmp_path / "in").mkdir()
+    rows = "".join(f"2024-01-02,{random.random()},1,1,1,1\n" for _ in range(20_000))
+    packed = gzip.compress(("date,open,high,low,close,volume\n" + rows).encode())
+    file = tmp_path / "in" / "A.csv.gz"
+    file.write_bytes(packed)
+
+    def then_breaks(*a, f=prices.file_headers):
+        found = f(*a)
+        found = prices.materialize(found, "found")
+        file.write_bytes(packed[: len(packed) // 2])
+        return found
+
+    monkeypatch.setattr(prices, "file_headers", then_breaks)
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    with pytest.raises(Exception, match="FAILED_READ_FILE"):
+        prices.land_prices(wh, str(tmp_path / "in"), glob="*.csv*")
+    assert wh.read("landing_prices").count() == wh.read("landing_log").count() == 0
+
+
 def test_sector_lists_of_other_column_orders(spark, tmp_path):
     (tmp_path / "s").mkdir()
     (tmp_path / "s" / "a.csv").write_text("rank,symbol,sector\n1,A,Tech\n")

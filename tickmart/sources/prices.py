@@ -31,27 +31,74 @@ def list_files(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame
 
 
 def _options(reader: DataFrameReader, glob: str) -> DataFrameReader:
-    return reader.option("pathGlobFilter", glob).option("recursiveFileLookup", True).option("ignoreCorruptFiles", True)
+    # a read error stops the task, which is tried again; no file is cut short
+    return reader.option("pathGlobFilter", glob).option("recursiveFileLookup", True).option("ignoreCorruptFiles", False)
 
 
-def file_headers(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame:
-    """(_path, header) of every file with a first line that can be read."""
-    lines = _options(spark.read, glob).text(path).select(
+def _without(rows: DataFrame, files: list[str]) -> DataFrame:
+    """Rows of the other files; these are not opened."""
+    return rows.where(~F.col("_metadata.file_path").isin(files)) if files else rows
+
+
+def file_headers(spark: SparkSession, path: str, glob: str = "*.csv", broken: list[str] | None = None) -> DataFrame:
+    """(_path, header) of every file with a first line, but for ``broken`` ones. Files are read to
+    their end, so this fails if one cannot be."""
+    lines = _without(_options(spark.read, glob).text(path), broken or []).select(
         F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_start"),
         F.monotonically_increasing_id().alias("_n"), F.trim(F.regexp_replace("value", "^\ufeff", "")).alias("header"),
     )
     return lines.where("_start = 0").groupBy("_path").agg(F.min_by("header", "_n").alias("header"))
 
 
+def _is_read_error(error: Exception) -> bool:
+    return "FAILED_READ_FILE" in str(error)
+
+
+def broken_files(spark: SparkSession, path: str, glob: str = "*.csv") -> list[str]:
+    """Paths of the files that cannot be read to their end, however often their task is tried.
+
+    Found by halving: files are read together, and apart if that fails, so a few broken ones among
+    n files cost a few jobs times log n. The driver holds the paths, as Spark's own listing does.
+    """
+    lines = _options(spark.read, glob).text(path)
+    names = _options(spark.read.format("binaryFile"), glob).load(path).select("_metadata.file_path")
+    todo, broken = [sorted(r[0] for r in names.collect())], []
+    while todo:
+        some = todo.pop()
+        try:
+            lines.where(F.col("_metadata.file_path").isin(some)).count()
+        except Exception as error:
+            if not _is_read_error(error):
+                raise
+            half = len(some) // 2
+            if half:
+                todo += [some[:half], some[half:]]
+            else:
+                broken += some
+    return broken
+
+
+def _readable(spark: SparkSession, path: str, glob: str) -> tuple[DataFrame, list[str]]:
+    """Headers (written), and the paths of the broken files, which are looked for only if there are some."""
+    try:
+        return materialize(file_headers(spark, path, glob), "headers"), []
+    except Exception as error:
+        if not _is_read_error(error):
+            raise
+    broken = broken_files(spark, path, glob)
+    return materialize(file_headers(spark, path, glob, broken), "headers"), broken
+
+
 def read_price_files(spark: SparkSession, path: str, glob: str = "*.csv") -> tuple[DataFrame, DataFrame]:
     """All-text price rows with symbol and path; and every file's path, with an error if the file or
     its header cannot be used.
 
     Spark binds a given schema by position, so files are read in groups of equal header, of which
     there are a few; the driver holds the headers, not the files. Of several groups each finds its
-    own files by a join on the path.
+    own files by a join on the path. A file that breaks off before its end is an error as a whole, and
+    none of its rows are read; a read error that passes fails the task, which Spark tries again.
     """
-    headers = materialize(file_headers(spark, path, glob), "headers")
+    headers, broken = _readable(spark, path, glob)
     frames, errors = [], []
     # one row per layout: files of one kind share their header
     layouts = [r["header"] for r in headers.groupBy("header").count().orderBy("header").collect()]
@@ -65,7 +112,7 @@ def read_price_files(spark: SparkSession, path: str, glob: str = "*.csv") -> tup
         # other columns get positional names: they are not read, and may repeat
         ddl = ", ".join(f"`{n if n in PRICE_TEXT else f'_x{i}'}` string" for i, n in enumerate(names))
         reader = _options(spark.read.schema(ddl).option("header", True).option("enforceSchema", True), glob)
-        rows = reader.csv(path).select(*PRICE_TEXT, F.col("_metadata.file_path").alias("_path"))
+        rows = _without(reader.csv(path), broken).select(*PRICE_TEXT, F.col("_metadata.file_path").alias("_path"))
         if len(layouts) > 1:
             rows = rows.join(headers.where(F.col("header") == header).select("_path"), "_path", "left_semi")
         frames.append(rows.select(*PRICE_TEXT, "_path"))
