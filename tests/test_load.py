@@ -211,6 +211,61 @@ def test_a_batch_that_broke_off_is_staged_again_without_what_landed_since(wareho
     assert wh.read("rejected_prices").count() == 1
 
 
+@pytest.mark.parametrize("first_load", [load.incremental_load, load.full_load])
+def test_a_load_between_the_break_off_and_the_retry_loses_nothing(warehouse, monkeypatch, first_load):
+    wh = warehouse()
+    rows = [tick("A", "2024-01-02 09:30", 1), tick("A", "2024-01-03 09:30", 2), tick("B", "2024-01-03 09:30", 2), tick("A", "2024-01-03 09:30", 5, loaded=2)]
+    land(wh, rows[:1])
+    staging.stage_new(wh)
+    load.incremental_load(wh)
+    land(wh, rows[1:])
+    with monkeypatch.context() as broken:
+
+        def append(self, df, name, f=Warehouse.append):
+            f(self, df.where("ticker_symbol = 'A'") if name == "stg_stock_price" else df, name)
+            if name == "stg_stock_price":
+                raise OSError
+
+        broken.setattr(Warehouse, "append", append)
+        with pytest.raises(OSError):
+            staging.stage_new(wh)
+    first_load(wh)
+    assert len(facts(wh)) == 1 and control.last_batch(wh) == 1
+    assert staging.stage_new(wh) == 2
+    assert load.incremental_load(wh) and control.last_batch(wh) == 2
+    check_same(wh, full(warehouse(), rows))
+    assert not load.incremental_load(wh)
+
+
+def test_a_loaded_batch_that_breaks_off_when_staged_again(warehouse, monkeypatch):
+    wh = warehouse()
+    rows = [tick("A", "2024-01-02 09:30", 1), tick("B", "2024-01-02 09:30", 2)]
+    stage(wh, rows, 1)
+    load.incremental_load(wh)
+    with monkeypatch.context() as broken:
+        broken.setattr(Warehouse, "upsert", lambda self, *a, f=Warehouse.upsert, **k: (f(self, a[0].limit(1), *a[1:], **k), 1 / 0))
+        with pytest.raises(ZeroDivisionError):
+            stage(wh, rows, 1)
+    assert not load.incremental_load(wh) and len(facts(wh)) == 2
+    load.full_load(wh)
+    stage(wh, rows, 1)
+    assert load.incremental_load(wh)
+    check_same(wh, full(warehouse(), rows))
+
+
+def test_batches_do_not_wait_unnoticed_for_one_that_broke_off(warehouse):
+    wh = warehouse()
+    with pytest.raises(ZeroDivisionError), staging.attempt(wh, 1):
+        staging.log_parts(wh, 1, [dt.date(2024, 1, 1)])
+        1 / 0
+    stage(wh, [tick("A", "2024-01-02 09:30", 1)], 2)
+    for run in (load.incremental_load, load.full_load):
+        with pytest.raises(RuntimeError, match="stage batch 1 again"):
+            run(wh)
+    stage(wh, [tick("A", "2024-01-03 09:30", 1)], 1)
+    assert load.incremental_load(wh) and len(facts(wh)) == 2
+
+
 def test_a_batch_staged_again_may_write_other_partitions(warehouse):
     wh = warehouse()
     stage(wh, [tick("A", "2024-01-02 09:30", 1), tick("A", "2024-03-02 09:30", 1)], 1)

@@ -17,7 +17,7 @@ from tickmart.operators.bars import bar_days, bar_range_measures, day_links, to_
 from tickmart.operators.enrich import enrich, fact_rows, symbol_keys
 from tickmart.operators.joins import lookup_join
 from tickmart.plans.control import JOB, Run, last_batch, note_run, set_control, settings, start_run
-from tickmart.plans.staging import compact_logs, compact_staging, incremental_filter, new_batches, read_staging
+from tickmart.plans.staging import before_batch, compact_logs, compact_staging, first_open_batch, incremental_filter, new_batches, read_staging
 from tickmart.session import materialize, scratch
 from tickmart.sources.tables import Warehouse
 
@@ -92,20 +92,22 @@ def check_facts(facts: DataFrame, wh: Warehouse) -> None:
 
 def full_load(wh: Warehouse, minutes: int = 15, only_clean: bool = False) -> None:
     """Rebuild bars, dimensions and facts from all staged ticks; nothing of an earlier load stays in
-    bars and facts."""
+    bars and facts. A batch whose staging broke off is left to an incremental load, once it is staged
+    again."""
     with scratch(wh.spark):
         _full_load(wh, minutes, only_clean)
     compact_logs(wh)
 
 
 def _full_load(wh: Warehouse, minutes: int, only_clean: bool) -> None:
+    broken_off = first_open_batch(wh)
     run = start_run(wh)
     set_control(wh, "started", None, None)
     try:
-        newest = wh.read("staging_log").agg(F.max("batch_id")).first()[0]
+        newest = before_batch(wh.read("staging_log"), broken_off, "batch_id").agg(F.max("batch_id")).first()[0]
         if newest is not None:
             compact_staging(wh, newest)
-        wh.overwrite(with_month(to_bars(read_staging(wh), minutes, only_clean)), "agg_15min_raw")
+        wh.overwrite(with_month(to_bars(read_staging(wh, before=broken_off), minutes, only_clean)), "agg_15min_raw")
         bars = wh.read("agg_15min_raw")
         span = _survey(bars)
         note_run(wh, run, "started", span["row_count"])
@@ -115,16 +117,19 @@ def _full_load(wh: Warehouse, minutes: int, only_clean: bool) -> None:
         facts = materialize(fact_of(wh, enrich(bars.drop("yyyymm"), links), run.audit_id), "facts")
         check_facts(facts, wh)
         wh.overwrite(facts, "fact_15min_stock_price")
-        note_run(wh, run, "completed", span["row_count"], wh.read("rejected_prices").count())
+        note_run(wh, run, "completed", span["row_count"], before_batch(wh.read("rejected_prices"), broken_off).count())
     except Exception:
         note_run(wh, run, "failed")
         set_control(wh, "failed", None, None)
         raise
+    if newest is None and broken_off is not None:
+        newest = broken_off - 1
     set_control(wh, "completed", span["high_water"], newest, how=_how(minutes, only_clean))
 
 
 def incremental_load(wh: Warehouse, minutes: int = 15, only_clean: bool = False) -> bool:
-    """Load the batches after the mark; False if there are none.
+    """Load the batches after the mark; False if there are none. A batch whose staging broke off is
+    none until it is staged again.
 
     A tick changes its bar, the VWAP of the day's later bars and the previous close of the next
     bar, which may lie days later. So every touched (symbol, day) is rebuilt from staging, and of
@@ -139,8 +144,8 @@ def incremental_load(wh: Warehouse, minutes: int = 15, only_clean: bool = False)
 
 
 def _incremental_load(wh: Warehouse, minutes: int, only_clean: bool) -> bool:
-    mark = last_batch(wh)
-    batch, newest = new_batches(wh, mark)
+    mark, broken_off = last_batch(wh), first_open_batch(wh)
+    batch, newest = new_batches(wh, mark, broken_off)
     if newest is None:
         return False
     known, how = settings(wh), _how(minutes, only_clean)
@@ -153,10 +158,10 @@ def _incremental_load(wh: Warehouse, minutes: int, only_clean: bool) -> bool:
         touched = materialize(touched, "touched")
         if touched.isEmpty():
             note_run(wh, run, "started")
-            note_run(wh, run, "completed", 0, _rejects_after(wh, mark))
+            note_run(wh, run, "completed", 0, _rejects_after(wh, mark, broken_off))
             set_control(wh, "completed", None, newest, how=how)
             return True
-        bars = materialize(_rebuild(wh, touched, minutes, only_clean), "bars")
+        bars = materialize(_rebuild(wh, touched, minutes, only_clean, broken_off), "bars")
         span = _survey(bars)
         note_run(wh, run, "started", span["row_count"])
         # a month list, not rows
@@ -170,14 +175,14 @@ def _incremental_load(wh: Warehouse, minutes: int, only_clean: bool) -> bool:
         after = links.where("not touched").select("symbol", "trade_day")
         changed = bars
         if not after.isEmpty():
-            changed = bars.unionByName(materialize(_rebuild(wh, after, minutes, only_clean), "later"))
+            changed = bars.unionByName(materialize(_rebuild(wh, after, minutes, only_clean, broken_off), "later"))
         enriched = enrich(changed.drop("yyyymm"), links)
         enriched = enriched.join(links.select("symbol", "trade_day", "touched"), ["symbol", "trade_day"])
         enriched = enriched.where("touched or bar_of_day = 1").drop("touched")
         facts = materialize(fact_of(wh, enriched, run.audit_id), "facts")
         check_facts(facts, wh)
         _replace_facts(wh, facts, touched, months)
-        note_run(wh, run, "completed", span["row_count"], _rejects_after(wh, mark))
+        note_run(wh, run, "completed", span["row_count"], _rejects_after(wh, mark, broken_off))
     except Exception:
         note_run(wh, run, "failed")
         set_control(wh, "failed", None, None)
@@ -208,8 +213,8 @@ def _replace_facts(wh: Warehouse, facts: DataFrame, touched: DataFrame, months:
     wh.upsert(facts, "fact_15min_stock_price", ["fk_date_id", "fk_instrument_id"], months, without)
 
 
-def _rejects_after(wh: Warehouse, mark: int | None) -> int:
-    return incremental_filter(wh.read("rejected_prices"), mark).count()
+def _rejects_after(wh: Warehouse, mark: int | None, before: int | None) -> int:
+    return before_batch(incremental_filter(wh.read("rejected_prices"), mark), before).count()
 
 
 def _later(high_water: dt.datetime | None, wh: Warehouse) -> dt.datetime | None:
@@ -217,11 +222,11 @@ def _later(high_water: dt.datetime | None, wh: Warehouse) -> dt.datetime | None:
     return max((t for t in (high_water, known) if t is not None), default=None)
 
 
-def _rebuild(wh: Warehouse, symbol_days: DataFrame, minutes: int, only_clean: bool) -> DataFrame:
-    """Whole bars of the given (symbol, day) pairs, from all staged ticks of those days."""
+def _rebuild(wh: Warehouse, symbol_days: DataFrame, minutes: int, only_clean: bool, before: int | None) -> DataFrame:
+    """Whole bars of the given (symbol, day) pairs, from all staged ticks (``before`` a batch) of those days."""
     days = [r[0] for r in symbol_days.select("trade_day").distinct().collect()]
     wanted = symbol_days.withColumnRenamed("symbol", "ticker_symbol")
-    ticks = read_staging(wh, days).withColumn("trade_day", F.to_date("trade_date"))
+    ticks = read_staging(wh, days, before).withColumn("trade_day", F.to_date("trade_date"))
     ticks = lookup_join(ticks, wanted, ["ticker_symbol", "trade_day"], "left_semi")
     return with_month(to_bars(ticks, minutes, only_clean))
 

@@ -8,6 +8,9 @@ partition is compacted.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,22 +37,63 @@ def _log(wh: Warehouse, rows: list[tuple[dt.date, int, bool]]) -> None:
     wh.append(wh.spark.createDataFrame(rows, "trade_part date, batch_id bigint, compacted boolean"), "staging_log")
 
 
+def _attempts(wh: Warehouse, batch_id: int, attempts: list[str], done: bool) -> None:
+    rows = [(batch_id, a, done) for a in attempts]
+    wh.append(wh.spark.createDataFrame(rows, "batch_id bigint, attempt string, done boolean").coalesce(1), "staging_attempts")
+
+
+@contextmanager
+def attempt(wh: Warehouse, batch_id: int) -> Iterator[None]:
+    """Stages a batch; until this ends without an error, the batch is open. Success also closes the
+    attempts at the batch that broke off before."""
+    _attempts(wh, batch_id, [uuid.uuid4().hex], False)
+    yield
+    begun = _open_attempts(wh).where(F.col("batch_id") == batch_id)
+    _attempts(wh, batch_id, [r["attempt"] for r in begun.collect()], True)
+
+
+def _open_attempts(wh: Warehouse) -> DataFrame:
+    found = wh.read("staging_attempts").groupBy("batch_id", "attempt").agg(F.max("done").alias("done"))
+    return found.where("not done").select("batch_id", "attempt")
+
+
+def first_open_batch(wh: Warehouse) -> int | None:
+    """The first batch whose staging broke off. Loads take the batches before it; they stop if there
+    are others after it, as these would wait for it unnoticed."""
+    found = _open_attempts(wh).agg(F.min("batch_id")).first()[0]
+    if found is not None:
+        whole = wh.read("staging_log").where(F.col("batch_id") > found).join(_open_attempts(wh), "batch_id", "left_anti")
+        after = whole.agg(F.min("batch_id")).first()[0]
+        if after is not None:
+            raise RuntimeError(f"staging of batch {found} broke off, and batch {after} is after it: stage batch {found} again")
+    return found
+
+
+def before_batch(rows: DataFrame, batch_id: int | None, column: str = "_batch_id") -> DataFrame:
+    """Rows of earlier batches; all if None."""
+    return rows if batch_id is None else rows.where(F.col(column) < batch_id)
+
+
 def append_staging(wh: Warehouse, staged: DataFrame, batch_id: int, parts: list[dt.date] | None = None) -> None:
-    """Add a batch; a batch that was begun before replaces what it wrote.
+    """Add a batch; a batch that was begun before replaces what it wrote. If this breaks off, loads
+    leave the batch alone until it is staged again.
 
     ``parts`` lists the partitions it may write (computed from ``staged`` if absent). They are
     logged first: a crash then leaves a log row too many, never unlogged ticks.
     """
+    with attempt(wh, batch_id):
+        _append_staging(wh, staged, batch_id, parts)
+
+
+def _append_staging(wh: Warehouse, staged: DataFrame, batch_id: int, parts: list[dt.date] | None) -> None:
     rows = staged.withColumns(
         {"trade_part": _part(wh, F.col("trade_date")), "_batch_id": F.lit(batch_id).cast("bigint")}
     )
     if parts is None:
         parts = _list_parts(rows.select("trade_part"))
-    begun = [r[0] for r in wh.read("staging_log").where(F.col("batch_id") == batch_id).select("trade_part").distinct().collect()]
+    begun = log_parts(wh, batch_id, parts)
     if not parts and not begun:
         return
-    if new := sorted(set(parts) - set(begun)):
-        _log(wh, [(part, batch_id, False) for part in new])
     if not begun:
         wh.append(rows, "stg_stock_price")
         return
@@ -58,6 +102,14 @@ def append_staging(wh: Warehouse, staged: DataFrame, batch_id: int, parts: list[
     wh.upsert(materialize(rows, "staged"), "stg_stock_price", [*TICK_KEY, "_batch_id"], begun, lambda stored: stored.where(others))
 
 
+def log_parts(wh: Warehouse, batch_id: int, parts: list[dt.date]) -> list[dt.date]:
+    """Name the partitions that a batch will write; returns those it named before."""
+    begun = [r[0] for r in wh.read("staging_log").where(F.col("batch_id") == batch_id).select("trade_part").distinct().collect()]
+    if new := sorted(set(parts) - set(begun)):
+        _log(wh, [(part, batch_id, False) for part in new])
+    return begun
+
+
 def _list_parts(parts: DataFrame) -> list[dt.date]:
     """Days or months of the calendar - never rows."""
     return [r[0] for r in parts.distinct().collect()]
@@ -65,7 +117,7 @@ def _list_parts(parts: DataFrame) -> list[dt.date]:
 
 def stage_batch(wh: Warehouse, landing: DataFrame, batch_id: int) -> None:
     """Validate a landed batch into staging and set its rejects aside. It is read and typed once."""
-    with scratch(wh.spark):
+    with scratch(wh.spark), attempt(wh, batch_id):
         _stage_batch(wh, landing, batch_id)
 
 
@@ -73,7 +125,7 @@ def _stage_batch(wh: Warehouse, landing: DataFrame, batch_id: int) -> None:
     landed = F.struct("symbol", *PRICE_TEXT).alias("_landed")
     typed = materialize(type_prices(landing, extra=(*LINEAGE_COLUMNS, landed)), "typed")
     dates = typed.where("trade_date is not null").select(_part(wh, F.col("trade_date")).alias("trade_part"))
-    append_staging(wh, stage_typed(typed.drop("_landed")), batch_id, _list_parts(dates))
+    _append_staging(wh, stage_typed(typed.drop("_landed")), batch_id, _list_parts(dates))
 
     day = F.coalesce(F.to_date("_loaded_at"), F.lit(dt.date(1970, 1, 1))).alias("load_date")
     rejects = typed.where("reject_reason is not null").select(
@@ -139,22 +191,23 @@ def stream_base(wh: Warehouse, checkpoint: str) -> int:
     return base
 
 
-def mixed_parts(wh: Warehouse) -> DataFrame:
-    """Partitions more than one batch wrote since they were last compacted, with their last batch."""
-    log = wh.read("staging_log")
+def mixed_parts(wh: Warehouse, before: int | None = None) -> DataFrame:
+    """Partitions more than one batch (of those ``before`` one) wrote since they were last compacted,
+    with their last batch."""
+    log = before_batch(wh.read("staging_log"), before, "batch_id")
     base = log.where("compacted").groupBy("trade_part").agg(F.max("batch_id").alias("base"))
     live = log.join(base, "trade_part", "left").where("base is null or batch_id >= base")
     ends = live.groupBy("trade_part").agg(F.min("batch_id").alias("first_batch"), F.max("batch_id").alias("last_batch"))
     return ends.where("first_batch < last_batch").select("trade_part", "last_batch")
 
 
-def read_staging(wh: Warehouse, days: list[dt.date] | None = None) -> DataFrame:
-    """Staged ticks, one row per symbol and time; the latest load wins.
+def read_staging(wh: Warehouse, days: list[dt.date] | None = None, before: int | None = None) -> DataFrame:
+    """Staged ticks (of the batches ``before`` one), one row per symbol and time; the latest load wins.
 
     A batch holds no repeats, so only partitions that several batches wrote are deduplicated here;
     the rest is a plain scan without a shuffle.
     """
-    rows, mixed_in = wh.read("stg_stock_price"), mixed_parts(wh)
+    rows, mixed_in = before_batch(wh.read("stg_stock_price"), before), mixed_parts(wh, before)
     if days is not None:
         parts = _parts_of_days(wh, days)
         rows = rows.where(F.col("trade_part").isin(parts) & F.col("trade_date").cast("date").isin(days))
@@ -188,7 +241,7 @@ def compact_staging(wh: Warehouse, through: int) -> int:
 
 def compact_logs(wh: Warehouse) -> None:
     """Logs of many small files as one file each."""
-    for name in ("staging_log", "landing_log", "staged_landings", "ingest_log", "dim_meta_audit_log"):
+    for name in ("staging_log", "staging_attempts", "landing_log", "staged_landings", "ingest_log", "dim_meta_audit_log"):
         wh.compact_log(name)
 
 
@@ -199,14 +252,15 @@ def incremental_filter(staging: DataFrame, last_batch_id: int | None) -> DataFra
     return staging.where(F.col("_batch_id") > last_batch_id)
 
 
-def new_batches(wh: Warehouse, last_batch_id: int | None) -> tuple[DataFrame, int | None]:
-    """Staged rows after the mark, read from the partitions the log names, and the newest batch."""
-    log = wh.read("staging_log").where("not compacted")
+def new_batches(wh: Warehouse, last_batch_id: int | None, before: int | None = None) -> tuple[DataFrame, int | None]:
+    """Staged rows after the mark (and ``before`` a batch), read from the partitions the log names, and
+    the newest batch."""
+    log = before_batch(wh.read("staging_log").where("not compacted"), before, "batch_id")
     if last_batch_id is not None:
         log = log.where(F.col("batch_id") > last_batch_id)
     rows = log.groupBy("trade_part").agg(F.max("batch_id").alias("newest")).collect()
     staging = wh.read("stg_stock_price").where(F.col("trade_part").isin([r["trade_part"] for r in rows]))
-    return incremental_filter(staging, last_batch_id), max((r["newest"] for r in rows), default=None)
+    return before_batch(incremental_filter(staging, last_batch_id), before), max((r["newest"] for r in rows), default=None)
 
 
 def refresh_companies(wh: Warehouse) -> None:

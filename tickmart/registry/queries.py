@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from contextlib import suppress
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -742,15 +743,25 @@ def stream_bars_7min(spark, sf):
     return wh.read("agg_15min_raw").drop("yyyymm")
 
 
+class _BrokeOff(Exception):
+    pass
+
+
 @query
 def staging_retry(spark, sf):
-    """A batch that broke off after staging, then another landing: the first is staged again, the
-    second after it, and the load has all ticks."""
+    """A batch that broke off in the middle, and again after staging, each time with a load before the
+    retry, then another landing: the first is staged again, the second after it, and the load has all
+    ticks."""
     wh = fresh(spark, "staging_retry")
     rows = i.lineage_e(i.landing_e(spark, sf))
     prices.append_landing(wh, rows.where("event_id % 2 = 0").drop("copy", "event_id"))
     begun = staging.begin_batch(wh)
+    with suppress(_BrokeOff), staging.attempt(wh, begun):
+        staging.log_parts(wh, begun, [dt.date(2024, 1, 1)])
+        raise _BrokeOff
+    load.incremental_load(wh)
     staging.stage_batch(wh, staging.batch_landing(wh, begun), begun)
+    load.incremental_load(wh)
     prices.append_landing(wh, rows.where("event_id % 2 = 1").drop("copy", "event_id"))
     while staging.stage_new(wh) is not None:
         load.incremental_load(wh)

@@ -65,6 +65,8 @@ TABLES: dict[str, tuple[str, tuple[str, ...]]] = {
         ("trade_part",),
     ),
     "staging_log": ("trade_part date, batch_id bigint, compacted boolean", ()),
+    # attempts at staging a batch: a row when one begins, and one when the batch is whole
+    "staging_attempts": ("batch_id bigint, attempt string, done boolean", ()),
     "rejected_prices": (
         "symbol string, " + ", ".join(f"{c} string" for c in PRICE_TEXT)
         + f", {LINEAGE}, reject_reason string, _batch_id bigint, load_date date",
