@@ -16,6 +16,7 @@ from tokenizers import Tokenizer
 sys.path.insert(0, str(Path(__file__).parents[2]))
 
 import corpus_pipeline
+from tickmart.llm import language
 from tickmart.llm.components import components
 from tickmart.llm.decontaminate import drop_contaminated, find_contamination, words_of
 from tickmart.llm.language import identify_languages, learn_languages
@@ -392,6 +393,22 @@ def test_languages_of_odd_rows(spark, odd):
     assert identify_languages(odd.limit(0), learn_languages(odd)).collect() == []
 
 
+def test_every_language_gets_a_dictionary(spark, monkeypatch):
+    rng = random.Random(3)
+    rows = []
+    for n in range(230):
+        words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7)) for _ in range(30)]
+        rows += [(10 * n + k, " ".join(rng.choice(words) for _ in range(120)), f"x{n}") for k in range(2 + (n < 200))]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(4)
+    learned = learn_languages(table)
+    assert sorted(learned.names) == sorted({r[2] for r in rows})
+    found = collected(identify_languages(table, learned), "doc_id", "best", "score")
+    assert {(d, best) for d, best, _ in found} == {(d, lang) for d, _, lang in rows} and len(found) == len(rows)
+    # the size of the blocks changes nothing
+    monkeypatch.setattr(language, "LANGUAGES_AT_ONCE", 1000)
+    assert collected(identify_languages(table, learned), "doc_id", "best", "score") == found
+
+
 def test_urls(spark):
     rules = [Rule("com", "/", True), Rule("example.com", "/en/", False), Rule("www.example.com", "/en/", True), Rule("net", "/es/", False)]
     urls = {

@@ -9,10 +9,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickmart.session import materialize
+
 #: Texts a language's dictionary is made of, about, and its bytes at most.
 TEXTS_PER_LANGUAGE, DICTIONARY_BYTES = 1000, 1 << 17
-#: Languages at most; each costs one compression of every text.
-MOST_LANGUAGES = 200
+#: Dictionaries that are held and compared at a time; each costs one compression of every text.
+LANGUAGES_AT_ONCE = 64
 #: A text is compressed in blocks of this size, each beginning with the dictionary alone.
 BLOCK = 4096
 LEVEL = 5
@@ -33,7 +35,8 @@ def has_letter(text: bytes) -> bool:
 
 
 class Classifier:
-    """Raw-content dictionaries; the language whose dictionary compresses a text most wins."""
+    """Raw-content dictionaries of some languages, in order of name; the language whose dictionary
+    compresses a text most wins."""
 
     def __init__(self, dictionaries: dict[str, bytes]):
         self.dictionaries = dict(sorted(dictionaries.items()))
@@ -62,62 +65,100 @@ class Classifier:
         blocks = [text[i : i + BLOCK] for i in range(0, len(text), BLOCK)]
         return [sum(len(compress(block)) for block in blocks) for compress in self.compress()]
 
-    def classify(self, text: bytes | None) -> tuple[str, float, bool]:
-        """Language, score (share of bytes saved against the second best, 0 to 1), and whether the
-        score is too narrow. Ties go to the first name; a text without a letter is undecided."""
-        if text is None or not self.dictionaries or not has_letter(text):
-            return UNDECIDED, 0.0, True
-        sizes = self.sizes(text)
-        order = sorted(range(len(sizes)), key=sizes.__getitem__)
-        name = list(self.dictionaries)[order[0]]
-        if len(order) == 1:
-            return name, 1.0, False
-        score = 1 - sizes[order[0]] / sizes[order[1]]
-        return name, score, score < MARGIN
+    def leaders(self, text: bytes | None, known: Leaders) -> Leaders:
+        """The smallest size with its name, and the second smallest, of these languages and the ones
+        that led before. Ties go to the first name; a text without a letter has none."""
+        if text is None or not has_letter(text):
+            return known
+        best, name, second = known
+        for language, size in zip(self.dictionaries, self.sizes(text), strict=True):
+            if best is None or size < best:
+                best, name, second = size, language, best
+            elif second is None or size < second:
+                second = size
+        return best, name, second
+
+
+#: Smallest size, its language, second smallest size; None where there is none.
+Leaders = tuple[int | None, str | None, int | None]
+
+
+def judged(leaders: Leaders) -> tuple[str, float, bool]:
+    """Language, score (share of bytes saved against the second best, 0 to 1), and whether the score
+    is too narrow."""
+    best, name, second = leaders
+    if name is None:
+        return UNDECIDED, 0.0, True
+    if second is None:
+        return name, 1.0, False
+    score = 1 - best / second
+    return name, score, score < MARGIN
+
+
+class Languages:
+    """What was learned: a written table (lang, content), of which the driver holds the names, and one
+    block of languages at a time."""
+
+    def __init__(self, contents: DataFrame, size: int):
+        self.contents, self.size = contents, size
+        self.names = sorted(r["lang"] for r in contents.select("lang").collect())
+
+    def blocks(self) -> Iterator[Classifier]:
+        """All languages in order of name, ``LANGUAGES_AT_ONCE`` at a time."""
+        for i in range(0, len(self.names), LANGUAGES_AT_ONCE):
+            some = self.contents.where(F.col("lang").isin(self.names[i : i + LANGUAGES_AT_ONCE]))
+            yield Classifier({r["lang"]: folded(r["content"])[: self.size] for r in some.collect()})
 
 
 def learn_languages(
     labelled: DataFrame, text: str = "text", language: str = "lang", per_language: int = TEXTS_PER_LANGUAGE, size: int = DICTIONARY_BYTES
-) -> Classifier:
+) -> Languages:
     """Dictionaries from about ``per_language`` distinct texts of each language, picked by a hash of
-    the text, so that the driver gets a bounded sample however many rows there are.
+    the text, so that a dictionary is made of a bounded sample however many rows there are. Every
+    language gets one.
 
     Rows whose text or language is null, or whose text has no word, teach nothing. Equal shares of
     ``size`` bytes are taken from the texts, from their middle on, as beginnings are often shared.
     """
     rows = labelled.where(F.col(text).isNotNull() & F.col(language).isNotNull() & (F.length(F.trim(text)) > 0))
     rows = rows.select(F.col(language).alias("lang"), F.xxhash64(text).alias("mixed"), F.col(text).alias("text"))
-    counts = rows.groupBy("lang").agg(F.approx_count_distinct("mixed", 0.02).alias("n"))
-    counts = {r["lang"]: r["n"] for r in counts.orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect()}
-    if not counts:
-        return Classifier({})
-    limit = F.create_map(*[F.lit(v) for lang, n in counts.items() for v in (lang, int(min(1.0, per_language / max(n, 1)) * (1 << 32)))])
-    picked = rows.where(F.pmod("mixed", F.lit(1 << 32)) < F.coalesce(limit[F.col("lang")], F.lit(0)))
-    share = max(64, size // per_language)
-    middle = F.greatest(F.lit(1), F.expr("cast((length(text) - %d) / 2 as int)" % share))
-    one = picked.groupBy("lang", "mixed").agg(F.min(F.substring(F.col("text"), middle, F.lit(share))).alias("snippet"))
-    snippets: dict[str, list[str]] = {}
-    for row in one.orderBy("lang", "mixed").collect():
-        snippets.setdefault(row["lang"], []).append(row["snippet"])
-    return Classifier({lang: folded(" ".join(found))[:size] for lang, found in snippets.items()})
-
-
-def identify_languages(docs: DataFrame, classifier: Classifier, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    counts = materialize(rows.groupBy("lang").agg(F.approx_count_distinct("mixed", 0.02).alias("n")), "languages")
+    limit = (F.least(F.lit(1.0), per_language / F.greatest("n", F.lit(1))) * (1 << 32)).cast("bigint")
+    # one row a language
+    picked = rows.join(F.broadcast(counts.withColumn("limit", limit)), "lang").where(F.pmod("mixed", F.lit(1 << 32)) < F.col("limit"))
+    picked = picked.withColumn("share", F.lit(max(64, size // per_language)))
+    snippet = F.expr("substring(text, greatest(1, cast((length(text) - share) / 2 as int)), share)")
+    one = picked.groupBy("lang", "mixed").agg(F.min(snippet).alias("snippet"))
+    # about per_language short pieces a language
+    whole = one.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("mixed", "snippet"))).alias("found"))
+    return Languages(materialize(whole.select("lang", F.concat_ws(" ", "found.snippet").alias("content")), "dictionaries"), size)
+
+
+def identify_languages(docs: DataFrame, languages: Languages, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: id, best (the language that compresses best), lang ('und' where
     the margin is narrow), score.
 
     A null text, and one without a letter, is 'und' with score 0, as is every text if nothing was
     learned. Texts are read whole, in blocks; repeated rows are judged one by one; an empty table
-    gives no rows; other columns are not read. One pass without a shuffle; the dictionaries, at most
-    ``MOST_LANGUAGES`` of ``DICTIONARY_BYTES`` each, are broadcast.
+    gives no rows; other columns are not read. One pass without a shuffle; dictionaries are broadcast
+    ``LANGUAGES_AT_ONCE`` together, and a task holds those of one such block at a time, carrying the
+    leaders of its rows from block to block.
     """
     rows = docs.select(F.col(id_column).alias("_id"), F.col(text).cast("binary").alias("_text"))
-    shared = docs.sparkSession.sparkContext.broadcast(classifier)
+    shared = [docs.sparkSession.sparkContext.broadcast(block) for block in languages.blocks()]
 
     def classify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        judge = shared.value.classify
         for batch in batches:
-            found = [judge(t.as_py()) for t in batch.column(1)]
+            leaders: list[Leaders] = [(None, None, None)] * batch.num_rows
+            for block in shared:
+                judge = block.value.leaders
+                leaders = [judge(t.as_py(), known) for t, known in zip(batch.column(1), leaders, strict=True)]
+                if len(shared) > 1:
+                    # the worker would keep every block that it has read; an encrypted one has no file to read again
+                    block.value.compressors = None
+                    if getattr(block, "_path", None) is not None:
+                        vars(block).pop("_value", None)
+            found = [judged(known) for known in leaders]
             best, score, narrow = map(list, zip(*found, strict=True)) if found else ([], [], [])
             lang = [UNDECIDED if n else b for b, n in zip(best, narrow, strict=True)]
             columns = [batch.column(0), pa.array(best, pa.string()), pa.array(lang, pa.string()), pa.array(score, pa.float64())]
