@@ -409,6 +409,16 @@ def test_every_language_gets_a_dictionary(spark, monkeypatch):
     assert collected(identify_languages(table, learned), "doc_id", "best", "score") == found
 
 
+def test_few_long_texts_fill_their_dictionary(spark):
+    rng = random.Random(6)
+    rows = [(n, prose(rng, 8000), "rare") for n in range(5)] + [(10 + n, prose(rng, 40), "usual") for n in range(50)]
+    size = 1 << 14
+    (block,) = learn_languages(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"), size=size).blocks()
+    # equal shares of the five texts; short texts are taken whole
+    assert 0.95 * size < len(block.dictionaries["rare"]) <= size
+    assert len(block.dictionaries["usual"]) == sum(len(t) for _, t, lang in rows if lang == "usual") + 49
+
+
 def test_urls(spark):
     rules = [Rule("com", "/", True), Rule("example.com", "/en/", False), Rule("www.example.com", "/en/", True), Rule("net", "/es/", False)]
     urls = {

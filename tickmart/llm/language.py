@@ -118,7 +118,8 @@ def learn_languages(
     language gets one.
 
     Rows whose text or language is null, or whose text has no word, teach nothing. Equal shares of
-    ``size`` bytes are taken from the texts, from their middle on, as beginnings are often shared.
+    ``size`` bytes are taken from a language's texts, the larger the fewer there are, from their
+    middle on, as beginnings are often shared.
     """
     rows = labelled.where(F.col(text).isNotNull() & F.col(language).isNotNull() & (F.length(F.trim(text)) > 0))
     rows = rows.select(F.col(language).alias("lang"), F.xxhash64(text).alias("mixed"), F.col(text).alias("text"))
@@ -126,7 +127,7 @@ def learn_languages(
     limit = (F.least(F.lit(1.0), per_language / F.greatest("n", F.lit(1))) * (1 << 32)).cast("bigint")
     # one row a language
     picked = rows.join(F.broadcast(counts.withColumn("limit", limit)), "lang").where(F.pmod("mixed", F.lit(1 << 32)) < F.col("limit"))
-    picked = picked.withColumn("share", F.lit(max(64, size // per_language)))
+    picked = picked.withColumn("share", F.greatest(F.lit(64), F.floor(size / F.least("n", F.lit(per_language)))).cast("int"))
     snippet = F.expr("substring(text, greatest(1, cast((length(text) - share) / 2 as int)), share)")
     one = picked.groupBy("lang", "mixed").agg(F.min(snippet).alias("snippet"))
     # about per_language short pieces a language
