@@ -23,6 +23,9 @@ COLUMNS = {
     "op8_decontamination": "doc_id n_words n_hit n_items items_sha256 contaminated",
     "op9_quality_rules": "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
     "op10_url_filters": "page_id host path rule verdict",
+    "op11_piece_encoding": "doc_id n_tokens ids_sha256 decoded_sha256",
+    "op12_hard_negatives": "anchor_id positive_id rank negative_id positive_score negative_score",
+    "op13_spelling_variants": "word form root n n_near form_n",
 }
 
 

@@ -70,8 +70,31 @@ SELECT 2 * page_id + 1 AS record_id, canonical_url,
 FROM paired
 """
 
+HARD_NEGATIVES = """
+WITH vectors AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), pairs AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS alike, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+    FROM vectors a JOIN vectors b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+), positives AS (
+    SELECT anchor_id, other AS positive_id, score AS positive_score FROM pairs WHERE alike
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5
+)
+SELECT anchor_id, positive_id,
+    CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) AS INT) AS rank,
+    other AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN pairs USING (anchor_id)
+WHERE NOT alike AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY rank <= 5
+"""
+
 ORACLES = {
     "op3_warc_revisits": WARC_REVISITS,
     "op8_decontamination": DECONTAMINATION,
     "op10_url_filters": URL_FILTERS,
+    "op12_hard_negatives": HARD_NEGATIVES,
 }

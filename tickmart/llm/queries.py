@@ -9,19 +9,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickmart.llm.decontaminate import contaminated, find_contamination, hit_words
+from tickmart.llm.hard_negatives import mine_negatives
 from tickmart.llm.language import identify_languages, learn_languages
 from tickmart.llm.ngram_join import ngram_links
 from tickmart.llm.oracles import ORACLES  # noqa: F401  what the entry point registers beside QUERIES
 from tickmart.llm.packing import pack
+from tickmart.llm.piece_encoding import decode_pieces, encode_pieces
 from tickmart.llm.quality import COUNTS, judge_quality, learn_quality
 from tickmart.llm.sharding import shards
+from tickmart.llm.spelling import group_spellings
 from tickmart.llm.suffix_dedup import repeats, text_key
 from tickmart.llm.token_counts import token_counts
 from tickmart.llm.urls import Rule, judge_urls
 from tickmart.llm.warc import capture_records, resolve_revisits
 from tickmart.session import materialize
 
-TOKENIZER = "byte_bpe_50k.json"
+TOKENIZER, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 TOKEN_LIMIT = 1024
 SHARDS = 8
 RULES = [
@@ -112,10 +115,33 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), RULES)
 
 
+def op11_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path(PIECES)
+    found = decode_pieces(encode_pieces(table(spark, sf_dir, "documents"), model), model)
+    return found.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.coalesce(F.try_element_at("ends", F.lit(-1)), F.lit(0).cast("bigint")).alias("n_bytes"),
+    )
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors, seventh = table(spark, sf_dir, "embeddings"), F.col("vec_id") % 7 == 0
+    moved = vectors.select("vec_id", "embedding", F.when(seventh, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label"))
+    return mine_negatives(moved, F.col("vec_id") % 100 == 0)
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return group_spellings(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_packing, op2_suffix_dedup, op3_warc_revisits, op4_ngram_join, op5_sharding,
         op6_language_id, op7_token_counts, op8_decontamination, op9_quality_rules, op10_url_filters,
+        op11_piece_encoding, op12_hard_negatives, op13_spelling_variants,
     )
 }
