@@ -361,3 +361,85 @@ def test_runs_leave_no_scratch_and_few_log_files(warehouse, tmp_path, spark):
     wh.compact_log("staging_log", most_files=2)
     assert len(wh.read("staging_log").inputFiles()) == 1 and sorted(wh.read("staging_log").collect()) == rows
     assert len(list(pathlib.Path(wh.path("rejected_prices")).glob("load_date=*"))) <= 1
+
+
+def size_of(folder):
+    return sum(p.stat().st_size for p in pathlib.Path(folder).rglob("*.parquet"))
+
+
+MERGED = ("agg_15min_raw", "bar_days", "fact_15min_stock_price")
+
+
+def test_a_small_batch_writes_little_into_a_large_month(warehouse):
+    """Five minutes of ticks, after a month of them: what is written follows the batch, not the month."""
+    month = [
+        tick(symbol, str(dt.datetime(2024, 1, day, 9, 30) + dt.timedelta(minutes=15 * n)), 10 + n % 7 + day / 10, n)
+        for symbol in ("A", "B", "C", "D", "E", "F", "G", "H") for day in range(2, 30) for n in range(26)
+    ]
+    late = [tick("A", "2024-01-30 09:33", 11, loaded=2)]
+    wh = full(warehouse(), month)
+    files = {n: set(pathlib.Path(wh.path(n)).rglob("*.parquet")) for n in MERGED}
+    before = {n: size_of(wh.path(n)) for n in MERGED}
+    stage(wh, late, 2)
+    load.incremental_load(wh)
+    for name in MERGED:
+        assert set(pathlib.Path(wh.path(name)).rglob("*.parquet")) == files[name]
+        written = size_of(wh.path(name) + "__changes")
+        assert 0 < written and (written < before[name] / 4 or name == "bar_days")
+    check_same(wh, full(warehouse(), month + late))
+
+
+def test_changes_settle_without_a_trace(warehouse, monkeypatch):
+    """Months rewritten early, late or never, and rewrites that break off, give the same tables."""
+    rng = random.Random(5)
+    rows = random_ticks(rng, 120)
+    rng.shuffle(rows)
+    wh = warehouse(most_changes=1)
+    for batch_id in range(4):
+        stage(wh, rows[batch_id::4], batch_id + 1)
+        load.incremental_load(wh)
+        if batch_id == 2:
+            with monkeypatch.context() as broken:
+                broken.setattr(Warehouse, "_settled", lambda *a: 1 / 0)
+                for name in MERGED:
+                    if wh.live_changes(name):
+                        with pytest.raises(ZeroDivisionError):
+                            wh.settle(name)
+    other = full(warehouse(), rows)
+    check_same(wh, other)
+    for name in MERGED:
+        wh.settle(name)
+        assert not wh.live_changes(name) and size_of(wh.path(name) + "__changes") == 0
+    check_same(wh, other)
+
+
+def test_changes_count_together_or_not_at_all(warehouse, monkeypatch):
+    first, late = [tick("A", "2024-01-02 09:31", 10), tick("A", "2024-02-05 09:30", 20)], [tick("A", "2024-02-05 09:30", 21, loaded=2), tick("A", "2024-03-01 10:00", 5, loaded=2)]
+    wh = full(warehouse(), first)
+    before = bars(wh), days(wh), facts(wh)
+    stage(wh, late, 2)
+    with monkeypatch.context() as broken, pytest.raises(ZeroDivisionError):
+        broken.setattr(load.Changes, "commit", lambda self: 1 / 0)
+        load.incremental_load(wh)
+    assert before == (bars(wh), days(wh), facts(wh))
+    assert control.last_status(wh) == "failed"
+    load.incremental_load(wh)
+    check_same(wh, full(warehouse(), first + late))
+    # a full load, an upsert and clearing take changes along
+    assert any(wh.live_changes(n) for n in MERGED)
+    load.full_load(wh)
+    check_same(wh, full(warehouse(), first + late))
+    assert not any(wh.live_changes(n) for n in MERGED)
+
+
+def test_months_without_changes_are_a_plain_scan(warehouse):
+    first, late = [tick("A", "2024-01-02 09:31", 10), tick("A", "2024-02-05 09:30", 20)], [tick("A", "2024-02-05 09:45", 21, loaded=2)]
+    wh = full(warehouse(), first)
+    plan = lambda df: df._jdf.queryExecution().toString()
+    assert "Join" not in plan(wh.read("agg_15min_raw"))
+    stage(wh, late, 2)
+    load.incremental_load(wh)
+    assert set(wh.live_changes("agg_15min_raw")) == {202402}
+    january = wh.read("agg_15min_raw").where("yyyymm = 202401")
+    assert [r["yyyymm"] for r in january.collect()] == [202401]
+    assert wh.read("agg_15min_raw").count() == 3

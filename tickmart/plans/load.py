@@ -19,6 +19,7 @@ from tickmart.operators.joins import lookup_join
 from tickmart.plans.control import JOB, Run, last_batch, note_run, set_control, settings, start_run
 from tickmart.plans.staging import before_batch, compact_logs, compact_staging, first_open_batch, incremental_filter, new_batches, read_staging
 from tickmart.session import materialize, scratch
+from tickmart.sources.deltas import RULES, Changes
 from tickmart.sources.tables import Warehouse
 
 
@@ -134,8 +135,8 @@ def incremental_load(wh: Warehouse, minutes: int = 15, only_clean: bool = False)
     A tick changes its bar, the VWAP of the day's later bars and the previous close of the next
     bar, which may lie days later. So every touched (symbol, day) is rebuilt from staging, and of
     the symbol's next day the first bar. What a touched day had before goes, whether or not something
-    takes its place: a run that failed half-way is simply run again, and the tables are those of a
-    full load. Bars of another width, or of other ticks, would not mix with those there are.
+    takes its place, so the tables are those of a full load. What changes is written beside the tables
+    and counts once all of it is there; a run that failed half-way is simply run again. Bars of another width, or of other ticks, would not mix with those there are.
     """
     with scratch(wh.spark):
         found = _incremental_load(wh, minutes, only_clean)
@@ -164,14 +165,13 @@ def _incremental_load(wh: Warehouse, minutes: int, only_clean: bool) -> bool:
         bars = materialize(_rebuild(wh, touched, minutes, only_clean, broken_off), "bars")
         span = _survey(bars)
         note_run(wh, run, "started", span["row_count"])
-        # a month list, not rows
-        months = [r[0] for r in touched.select(yyyymm(F.col("trade_day"))).distinct().collect()]
-        _replace_bars(wh, bars, touched, months)
-        of_touched = lambda stored: stored.join(touched, ["symbol", "trade_day"], "left_anti")
-        wh.upsert(materialize(bar_days(bars), "bar_days"), "bar_days", ["symbol", "trade_day"], months, of_touched)
+        changes = Changes(wh)
+        gone = touched.withColumn("yyyymm", yyyymm(F.col("trade_day")))
+        changes.put("agg_15min_raw", bars, gone.select("symbol", F.col("trade_day").cast("timestamp_ntz").alias("interval_start"), "yyyymm"))
+        changes.put("bar_days", materialize(bar_days(bars), "bar_days"), gone)
         load_dims(wh, bars, F.localtimestamp())
 
-        links = materialize(affected_days(wh.read("bar_days"), touched), "links")
+        links = materialize(affected_days(wh.read("bar_days", changes), touched), "links")
         after = links.where("not touched").select("symbol", "trade_day")
         changed = bars
         if not after.isEmpty():
@@ -181,7 +181,13 @@ def _incremental_load(wh: Warehouse, minutes: int, only_clean: bool) -> bool:
         enriched = enriched.where("touched or bar_of_day = 1").drop("touched")
         facts = materialize(fact_of(wh, enriched, run.audit_id), "facts")
         check_facts(facts, wh)
-        _replace_facts(wh, facts, touched, months)
+        instruments = wh.read("dim_instrument").select("symbol", F.col("sk_instrument_id").alias("fk_instrument_id"))
+        # facts for all that the touched days had, and by key for single bars of other days
+        days = gone.join(instruments, "symbol").select("fk_instrument_id", smart_key(F.col("trade_day")).alias("fk_date_id"), "yyyymm")
+        changes.put("fact_15min_stock_price", facts, days)
+        changes.commit()
+        for name in RULES:
+            wh.settle(name, wh.most_changes)
         note_run(wh, run, "completed", span["row_count"], _rejects_after(wh, mark, broken_off))
     except Exception:
         note_run(wh, run, "failed")
@@ -191,28 +197,6 @@ def _incremental_load(wh: Warehouse, minutes: int, only_clean: bool) -> bool:
     return True
 
 
-def _replace_bars(wh: Warehouse, bars: DataFrame, touched: DataFrame, months: list[int]) -> None:
-    """Bars of whole days for all that these days had."""
-
-    def without(stored: DataFrame) -> DataFrame:
-        dated = stored.withColumn("trade_day", F.to_date("interval_start"))
-        return dated.join(touched, ["symbol", "trade_day"], "left_anti").select(*stored.columns)
-
-    wh.upsert(bars, "agg_15min_raw", ["symbol", "interval_start"], months, without)
-
-
-def _replace_facts(wh: Warehouse, facts: DataFrame, touched: DataFrame, months: list[int]) -> None:
-    """Facts for all that the touched days had, and by key for single bars of other days."""
-    instruments = wh.read("dim_instrument").select("symbol", F.col("sk_instrument_id").alias("fk_instrument_id"))
-    days = touched.join(instruments, "symbol").select("fk_instrument_id", smart_key(F.col("trade_day")).alias("_day"))
-
-    def without(stored: DataFrame) -> DataFrame:
-        dated = stored.withColumn("_day", F.col("fk_date_id") - F.col("fk_date_id") % 1_000_000)
-        return dated.join(days, ["fk_instrument_id", "_day"], "left_anti").select(*stored.columns)
-
-    wh.upsert(facts, "fact_15min_stock_price", ["fk_date_id", "fk_instrument_id"], months, without)
-
-
 def _rejects_after(wh: Warehouse, mark: int | None, before: int | None) -> int:
     return before_batch(incremental_filter(wh.read("rejected_prices"), mark), before).count()
 

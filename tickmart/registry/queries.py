@@ -20,6 +20,7 @@ from tickmart.plans import control, load, staging
 from tickmart.registry import inputs as i
 from tickmart.session import materialize, scratch_path
 from tickmart.sources import prices, profiles
+from tickmart.sources.deltas import Changes
 from tickmart.sources.tables import Warehouse
 from tickmart.streaming import stream
 
@@ -609,7 +610,9 @@ def bars_upsert(spark, sf):
     wh = fresh(spark, "bars_upsert")
     ticks = i.ticks_e(spark, sf)
     for part in (ticks.where("trade_date < timestamp_ntz'2024-01-20 07:40:00'"), ticks):
-        wh.upsert(materialize(with_month(to_bars(part)), "bars"), "agg_15min_raw", ["symbol", "interval_start"])
+        changes = Changes(wh)
+        changes.put("agg_15min_raw", materialize(with_month(to_bars(part)), "bars"))
+        changes.commit()
     return wh.read("agg_15min_raw").drop("yyyymm")
 
 
@@ -649,7 +652,9 @@ def fact_upsert(spark, sf):
     wh = _stage(fresh(spark, "fact_upsert"), i.ticks_l(spark, sf), sf)
     load.full_load(wh)
     again = materialize(wh.read("fact_15min_stock_price").withColumn("fk_audit_id", F.lit(2).cast("bigint")), "facts")
-    wh.upsert(again, "fact_15min_stock_price", ["fk_date_id", "fk_instrument_id"])
+    changes = Changes(wh)
+    changes.put("fact_15min_stock_price", again)
+    changes.commit()
     rows = marts.fact_instrument_join(wh.read("fact_15min_stock_price"), wh.read("dim_instrument"))
     return rows.select(*NATURAL, "fk_audit_id")
 

@@ -74,6 +74,8 @@ TABLES: dict[str, tuple[str, tuple[str, ...]]] = {
     ),
     "stg_companies": (COMPANY, ()),
     "agg_15min_raw": (f"{_BAR}, yyyymm int", ("yyyymm",)),
+    # months of a table that a version changes, and (settled) up to which version they are rewritten
+    "delta_log": ("name string, yyyymm int, version bigint, settled boolean", ()),
     "bar_days": (
         "symbol string, trade_day date, n_bars bigint, last_close decimal(18,6), yyyymm int",
         ("yyyymm",),

@@ -13,6 +13,7 @@ from tickmart.operators.bars import bar_measures
 from tickmart.plans.load import incremental_load
 from tickmart.plans.staging import compact_staging, stage_batch, stream_base
 from tickmart.session import materialize, scratch
+from tickmart.sources.deltas import Changes
 from tickmart.sources.tables import Warehouse
 
 #: Micro-batches after which partitions that several of them wrote are compacted.
@@ -61,11 +62,15 @@ def start(df: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str
 
 def stream_bars(wh: Warehouse, ticks: DataFrame, checkpoint: str, minutes: int = 15,
                 watermark: str = "1 day", every: str | None = "5 minutes") -> StreamingQuery:
-    """Continuous bars: changed windows replace their bars."""
+    """Continuous bars: changed windows replace their bars, in files of the size of the change. A
+    micro-batch that is tried again replaces the same bars again."""
 
     def sink(changed: DataFrame, _: int) -> None:
         with scratch(wh.spark):
-            wh.upsert(materialize(changed, "stream_bars"), "agg_15min_raw", ["symbol", "interval_start"])
+            changes = Changes(wh)
+            changes.put("agg_15min_raw", materialize(changed, "stream_bars"))
+            changes.commit()
+            wh.settle("agg_15min_raw", wh.most_changes)
 
     return start(windowed_bars(ticks, minutes, watermark), sink, checkpoint, "update", every)
 
