@@ -551,3 +551,29 @@ def test_pipeline_of_empty_documents(spark, sf, tmp_path):
         spark.read.parquet(f"{sf}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
     spark.read.parquet(f"{sf}/documents.parquet").limit(0).write.parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_unlike_texts_of_one_id_all_stay(spark):
+    rows = [(1, prose(random.Random(21), 40)), (1, prose(random.Random(22), 40)), (2, prose(random.Random(21), 40)), (None, "x y z"), (None, "p q r")]
+    assert len({t for _, t in rows}) == 4
+    kept = keep_one(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert sorted(r["text"] for r in kept.collect()) == sorted({t for _, t in rows})
+
+
+def test_dotted_columns_pass_every_stage(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(40).withColumn("a.b", F.lit("kept"))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        found = stage(spark, docs, sf)
+        assert found.columns == docs.columns, name
+        assert {r["a.b"] for r in found.collect()} == {"kept"}, name
+
+
+def test_numbers_of_shingles_that_wrap_find_all(monkeypatch):
+    from tickmart.llm.decontaminate import Windows
+
+    windows = Windows([("i", b"one two three four five six seven eight nine ten eleven twelve thirteen fourteen")])
+    windows.base = 1 << 40
+    windows.shingles = {3: np.unique(np.concatenate([windows.keys(w, 3) for w in windows.windows]))}
+    windows.choose(Counter())
+    _, found = windows.search([b"zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen"])
+    assert sorted(start for start, *_ in found[0]) == [1, 2] and min(windows.shingles[3]) >= 0

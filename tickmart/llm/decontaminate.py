@@ -48,8 +48,8 @@ class Windows:
         self.prefixes: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = {}
 
     def keys(self, ids: np.ndarray, k: int) -> np.ndarray:
-        """A number for each run of ``k`` words, -1 where one is in no item; exact, as the words of a
-        block are few enough for their numbers' product."""
+        """A number for each run of ``k`` words, -1 where one is in no item. Runs of a block of very many
+        words may share a number, as only 63 bits are kept; ``search`` compares the words."""
         n = len(ids) - k + 1
         if n <= 0:
             return np.zeros(0, np.int64)
@@ -58,7 +58,7 @@ class Windows:
             part = ids[i : i + n]
             key = key * self.base + part
             known &= part >= 0
-        return np.where(known, key, -1)
+        return np.where(known, key & np.iinfo(np.int64).max, -1)
 
     def lookup(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Word numbers of texts one after the other, -1 for a word of no item and between texts;

@@ -180,12 +180,14 @@ def in_blocks(members: DataFrame, key: str, size: str) -> DataFrame:
 
 
 def ngram_links(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row of ``docs``: id, text_hash (64 bits of the text), copy_of, class_id, n_links.
+    """One row per row of ``docs``: id, text_hash (64 bits of the text), copy_of, class_id, n_links,
+    group.
 
     Two texts are linked when their sets of 5-word shingles (words in lower case; a shorter text is
     one shingle) have a Jaccard similarity of ``threshold`` or more. ``n_links`` counts the other
     rows linked to this one, copies included; ``class_id`` is the least id of all that links connect
-    (null if none has an id), ``copy_of`` that of the rows with the same set. Null texts and texts
+    (null if none has an id), ``copy_of`` that of the rows with the same set; ``group`` is a number of
+    what links connect, also where ids repeat, and may be another one next time. Null texts and texts
     without words have the same, empty, set, and are linked to one another only. Repeated rows are
     rows; an empty table gives no rows; other columns are not read.
 
@@ -214,10 +216,10 @@ def ngram_links(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float
     named = materialize(named.withColumn("label", F.coalesce("label", "class")), "named")
     lowest = named.groupBy("label").agg(F.min("least_id").alias("class_id"))
     named = named.join(lowest, "label").select(
-        "f1", "f2", F.col("least_id").alias("copy_of"), "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")
+        "f1", "f2", F.col("least_id").alias("copy_of"), "class_id", F.col("label").alias("group"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")
     )
     found = sketches.select("id", "text_hash", "f1", "f2").join(named, ["f1", "f2"])
-    return found.select(F.col("id").alias(id_column), "text_hash", "copy_of", "class_id", "n_links")
+    return found.select(F.col("id").alias(id_column), "text_hash", "copy_of", "class_id", "n_links", "group")
 
 
 def candidate_links(classes: DataFrame, least: np.ndarray) -> DataFrame:
@@ -318,7 +320,8 @@ def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text") ->
     last. Rows alike in both are one."""
     found = ngram_links(docs, id_column=id_column, text=text)
     order = F.struct(F.col(id_column).isNull().alias("no_id"), F.col(id_column).alias("id"), F.col("text_hash").alias("hash"))
-    kept = found.groupBy(F.col("class_id"), F.when(F.col("class_id").isNull(), F.col("text_hash")).alias("_nameless")).agg(F.min(order).alias("least"))
+    # not by class_id: unlike texts may share an id
+    kept = found.groupBy("group").agg(F.min(order).alias("least"))
     kept = kept.select(F.col("least.id").alias("_id"), F.col("least.hash").alias("_hash"))
     # one number to join and to find repeated rows by, so that texts are shuffled once; the rows
     # travel as structs, as their columns may have any names

@@ -248,6 +248,6 @@ def judge_quality(docs: DataFrame, rules: DecisionList, id_column: str = "doc_id
 def keep_good(docs: DataFrame, rules: DecisionList, text: str = "text") -> DataFrame:
     """The rows of ``docs`` that ``judge_quality`` keeps, with their own columns, whatever their
     names."""
-    whole = docs.select(F.struct(*docs.columns).alias("_row"), _stats_struct(F.col(text).cast("binary")).alias("_stats"))
+    whole = docs.select(F.struct(F.col("*")).alias("_row"), _stats_struct(F.col(text).cast("binary")).alias("_stats"))
     rows = whole.select("_row", "_stats.*")
     return rows.where(~base_failed() & rules.reason().isNull()).select("_row.*")
