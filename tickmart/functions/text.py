@@ -33,6 +33,8 @@ def to_price(text: Column) -> Column:
 
 # The accepted forms, upper case; a time may be left out (midnight), as may seconds and fractions.
 DAYS = (r"\d{4}-\d{1,2}-\d{1,2}", r"\d{1,2}/\d{1,2}/\d{4}")
+#: The usual form, which Spark reads as it is.
+PLAIN = r"^\d{4}-\d{2}-\d{2}(?:[ T]\d{2}:\d{2}(?::\d{2}(?:\.\d{1,9})?)?)?$"
 CLOCK = r"(?:[ T]+(\d{1,2}):(\d{2})(?::(\d{2})(\.\d{1,9})?)? *([AP]M)?)?"
 
 
@@ -54,7 +56,11 @@ def to_trade_date(text: Column) -> Column:
     minute, second = F.when(group(4) == "", "00").otherwise(group(4)), F.when(group(5) == "", "00").otherwise(group(5))
     clock = F.concat(pad(hour24.cast("string"), 2), F.lit(":"), minute, F.lit(":"), second, group(6))
     clock = F.when(group(3) == "", "00:00:00").otherwise(clock)
-    return F.when(text.rlike(whole), F.concat(day, F.lit(" "), clock)).try_cast("timestamp_ntz")
+    # the second branch is not computed for rows of the first
+    return (
+        F.when(text.rlike(PLAIN), text.try_cast("timestamp_ntz"))
+        .when(text.rlike(whole), F.concat(day, F.lit(" "), clock).try_cast("timestamp_ntz"))
+    )
 
 
 def to_volume(text: Column) -> Column:

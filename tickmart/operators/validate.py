@@ -17,36 +17,37 @@ PRECEDENCE = (
 )
 
 
-def reject_reason() -> Column:
-    """Names of the fields whose text cannot be read, or NULL. Blank prices and volumes are not
-    rejects (they are missing); a row without a readable date is."""
-    unreadable = [F.when(text.to_trade_date(F.col("date")).isNull(), "date")]
-    for name in PRICES:
-        bad = text.blank_to_null(F.col(name)).isNotNull() & text.to_price(F.col(name)).isNull()
-        unreadable.append(F.when(bad, name))
-    volume = F.col("volume")
-    unreadable.append(F.when(text.blank_to_null(volume).isNotNull() & text.to_volume(volume).isNull(), "volume"))
-    return F.nullif(F.concat_ws(",", *unreadable), F.lit(""))
-
-
-def type_prices(landing: DataFrame, extra: tuple[str, ...] = ("_source_name", "_source_filename", "_loaded_at")) -> DataFrame:
+def _parsed(landing: DataFrame) -> DataFrame:
+    """``landing`` with its texts read, each once: _at, _open, ..., _volume, and reject_reason.
+
+    ``reject_reason`` names the fields whose text cannot be read, or is NULL. Blank prices and volumes
+    are not rejects (they are missing); a row without a readable date is."""
+    read = {f"_{p}": text.to_price(F.col(p)) for p in PRICES} | {"_volume": text.to_volume(F.col("volume"))}
+    rows = landing.withColumns({"_at": text.to_trade_date(F.col("date"))} | read)
+    unreadable = [F.when(F.col("_at").isNull(), "date")]
+    for name in (*PRICES, "volume"):
+        unreadable.append(F.when(text.blank_to_null(F.col(name)).isNotNull() & F.col(f"_{name}").isNull(), name))
+    return rows.withColumn("reject_reason", F.nullif(F.concat_ws(",", *unreadable), F.lit("")))
+
+
+def type_prices(landing: DataFrame, extra: tuple[str | Column, ...] = ("_source_name", "_source_filename", "_loaded_at")) -> DataFrame:
     """Typed ticks; text that cannot be read becomes NULL and is named in ``reject_reason``."""
-    return landing.select(
+    return _parsed(landing).select(
         F.col("symbol").alias("ticker_symbol"),
-        text.to_trade_date(F.col("date")).alias("trade_date"),
+        F.col("_at").alias("trade_date"),
         F.lit(text.TIMEZONE_LABEL).alias("timezone"),
-        *[text.to_price(F.col(p)).alias(f"{p}_price") for p in PRICES],
-        text.to_volume(F.col("volume")).alias("volume"),
+        *[F.col(f"_{p}").alias(f"{p}_price") for p in PRICES],
+        F.col("_volume").alias("volume"),
         text.classify_symbol(F.col("symbol")).alias("symbol_type"),
         text.audit_hash(F.col("symbol"), F.col("date"), F.col("close")).alias("_audit_hash"),
-        reject_reason().alias("reject_reason"),
+        "reject_reason",
         *extra,
     )
 
 
 def rejected_prices(landing: DataFrame) -> DataFrame:
     """Landed rows, as they came, with the reason."""
-    return landing.withColumn("reject_reason", reject_reason()).where("reject_reason is not null")
+    return _parsed(landing).where("reject_reason is not null").select(*landing.columns, "reject_reason")
 
 
 def clean_flag() -> Column:
