@@ -76,10 +76,17 @@ class Changes:
 
     def __init__(self, wh: Warehouse):
         self.wh = wh
-        newest = wh.read("delta_log").agg(F.max("version")).first()[0]
-        self.version = (newest or 0) + 1
+        newest, self.live = wh.change_state()
+        self.version = newest + 1
         self.months: dict[str, list[int]] = {}
 
+    def seen(self, name: str) -> Live:
+        """The versions of a table, with those of this run."""
+        live = {month: list(versions) for month, versions in self.live.get(name, {}).items()}
+        for month in self.months.get(name, []):
+            live.setdefault(month, []).append(self.version)
+        return live
+
     def put(self, name: str, rows: DataFrame, gone: DataFrame | None = None) -> None:
         """Replace rows by key, and all that the days of ``gone`` had (its owner, a time of the day and
         the month). Both must be cheap to read (written)."""
@@ -93,7 +100,10 @@ class Changes:
             self.wh.write_changes(written.withColumn("_version", F.lit(self.version).cast("bigint")), name)
 
     def commit(self) -> None:
-        """One append: all tables change at once."""
+        """One append: all tables change at once. Months of very many changes are then rewritten."""
         rows = [(name, month, self.version, False) for name, months in self.months.items() for month in months]
         if rows:
             self.wh.note_changes(rows)
+        for name in self.months:
+            if any(len(versions) > self.wh.most_changes for versions in self.seen(name).values()):
+                self.wh.settle(name, self.wh.most_changes)

@@ -43,9 +43,7 @@ class Warehouse:
         rows = self._read_files(name)
         if name not in RULES:
             return rows
-        live = self.live_changes(name)
-        for month in changes.months.get(name, []) if changes is not None else []:
-            live.setdefault(month, []).append(changes.version)
+        live = self.live_changes(name) if changes is None else changes.seen(name)
         if not live:
             return rows
         schema = T.StructType([*layout(name), T.StructField("_gone", T.BooleanType()), T.StructField("_version", T.LongType())])
@@ -67,15 +65,26 @@ class Warehouse:
     def _changes_path(self, name: str) -> str:
         return f"{self.path(name)}__changes"
 
-    def live_changes(self, name: str) -> Live:
-        """Versions that are committed and not settled, by month."""
-        log = self.read("delta_log").where(F.col("name") == name)
-        by_month = log.groupBy("yyyymm").agg(
+    def change_state(self) -> tuple[int, dict[str, Live]]:
+        """The newest version, and by table and month the versions that are committed and not settled."""
+        log = self.path("delta_log")
+        if not self._file_system(log).exists(self._hadoop_path(log)):
+            return 0, {}
+        by_month = self._read_files("delta_log").groupBy("name", "yyyymm").agg(
+            F.max("version").alias("newest"),
             F.coalesce(F.max(F.when(F.col("settled"), F.col("version"))), F.lit(0)).alias("done"),
             F.collect_set(F.when(~F.col("settled"), F.col("version"))).alias("versions"),
         )
-        rows = by_month.select("yyyymm", F.filter("versions", lambda v: v > F.col("done")).alias("versions")).where("size(versions) > 0")
-        return {r["yyyymm"]: sorted(r["versions"]) for r in rows.collect()}
+        # a row a table and month
+        rows = by_month.select("name", "yyyymm", "newest", F.filter("versions", lambda v: v > F.col("done")).alias("versions")).collect()
+        live: dict[str, Live] = {}
+        for r in rows:
+            if r["versions"]:
+                live.setdefault(r["name"], {})[r["yyyymm"]] = sorted(r["versions"])
+        return max((r["newest"] for r in rows), default=0), live
+
+    def live_changes(self, name: str) -> Live:
+        return self.change_state()[1].get(name, {})
 
     def write_changes(self, rows: DataFrame, name: str) -> None:
         parts = ("yyyymm", "_version")
@@ -146,8 +155,13 @@ class Warehouse:
 
     def _delete(self, path: str) -> None:
         """By Spark's own file system, so that any store works."""
-        folder = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+        self._file_system(path).delete(self._hadoop_path(path), True)
+
+    def _hadoop_path(self, path: str):
+        return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+
+    def _file_system(self, path: str):
+        return self._hadoop_path(path).getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
     def compact_log(self, name: str, most_files: int = 64) -> None:
         """Rewrite a log of more files as one. The new file comes first: if this breaks off, the log

@@ -70,7 +70,6 @@ def stream_bars(wh: Warehouse, ticks: DataFrame, checkpoint: str, minutes: int =
             changes = Changes(wh)
             changes.put("agg_15min_raw", materialize(changed, "stream_bars"))
             changes.commit()
-            wh.settle("agg_15min_raw", wh.most_changes)
 
     return start(windowed_bars(ticks, minutes, watermark), sink, checkpoint, "update", every)
 
