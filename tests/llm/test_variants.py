@@ -17,13 +17,13 @@ from pyspark.sql import functions as F
 sys.path.insert(0, str(Path(__file__).parents[2]))
 
 from tickmart.llm.hard_negatives import bit_planes, mine_negatives, scores, subset_sums
-from tickmart.llm.piece_encoding import decode_pieces, encode_pieces
+from tickmart.llm.piece_encoding import decode_pieces, encode_pieces, spans
 from tickmart.llm.pieces import CharacterMap, Pieces, fields
 from tickmart.llm.queries import QUERIES
 from tickmart.llm.spelling import Grams, choose_pivots, group_spellings, spelling_variants
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
-CLASHING = ("_id", "_text", "_row", "ids", "starts", "decoded", "word", "n", "key", "block", "positives", "values", "anchor", "a.b")
+CLASHING = ("_id", "_text", "_row", "ids", "begin", "decoded", "word", "n", "key", "block", "positives", "values", "anchor", "a.b")
 
 
 @pytest.fixture(scope="module")
@@ -48,21 +48,29 @@ def odd_texts():
 
 def test_pieces_are_those_of_the_library(machine, library):
     texts = odd_texts()
-    counts, ids, starts, ends = machine.encode([t.encode() for t in texts])
+    counts, begin, ids, ends = machine.encode([t.encode() for t in texts])
     edges = np.append(0, np.cumsum(counts))
     for n, text in enumerate(texts):
         part = slice(edges[n], edges[n + 1])
         wanted = library.encode(text, return_type="proto").pieces
         assert ids[part].tolist() == [p.id for p in wanted]
-        assert list(zip(starts[part].tolist(), ends[part].tolist(), strict=True)) == [(p.begin, p.end) for p in wanted]
+        starts = [begin[n], *ends[part][:-1].tolist()][: len(wanted)]
+        assert list(zip(starts, ends[part].tolist(), strict=True)) == [(p.begin, p.end) for p in wanted]
         assert machine.decode(ids[part].tolist()) == library.decode(ids[part].tolist())
 
 
 def test_any_ids_are_decoded_as_by_the_library(machine, library):
     rng = random.Random(5)
+    lists = []
     for _ in range(3000):
         ids = [rng.randrange(32000) if rng.random() < 0.5 else rng.randrange(262) for _ in range(rng.randint(0, 9))]
         assert machine.decode(ids) == library.decode(ids)
+        lists.append(ids)
+    plain = [[i for i in ids if i > 262] for ids in lists]
+    half = machine.byte_ids[0xC3], machine.byte_ids[0xA9]
+    for some in (lists, plain, [[half[0]], [half[1]], [*half]], [[], []], []):
+        ends, whole = machine.decode_all(np.array([len(x) for x in some], np.int64), np.array([i for x in some for i in x], np.int32))
+        assert [whole[a:b].decode() for a, b in zip(ends, ends[1:], strict=False)] == [library.decode(x) for x in some]
 
 
 def test_forgotten_segments_are_learnt_again(machine, monkeypatch):
@@ -73,6 +81,17 @@ def test_forgotten_segments_are_learnt_again(machine, monkeypatch):
         assert np.array_equal(once, again)
 
 
+def test_short_and_long_segments_merge_alike(machine):
+    rng = random.Random(9)
+    words = {"".join(rng.choice("thenoragisÈé▁") for _ in range(rng.randint(1, 20))) for _ in range(2000)}
+    machine.forget()
+    machine.learn(sorted(words))
+    for word in words:
+        n = machine.numbers[word]
+        part = slice(machine.first[n], machine.first[n] + machine.counts[n])
+        assert (machine.flat[part].tolist(), machine.widths[part].tolist()) == machine.spelled(word)
+
+
 @pytest.mark.parametrize("escape", [False, True])
 @pytest.mark.parametrize("prefix", [False, True])
 @pytest.mark.parametrize("squeeze", [False, True])
@@ -94,12 +113,13 @@ def test_longest_entries_of_a_compiled_map(escape, prefix, squeeze):
 def test_encoding_of_odd_rows(spark, library):
     rows = [(1, "plain words"), (2, None), (3, ""), (None, "no id"), (4, "long " * 40_000), (1, "plain words"), (5, " \n\t")]
     table = spark.createDataFrame(rows, "doc_id bigint, text string").withColumns({c: F.lit("clash") for c in CLASHING if c not in ("a.b", "ids", "decoded")})
-    found = decode_pieces(encode_pieces(table, MODEL).withColumn("a.b", F.lit(1)), MODEL)
-    assert found.columns == ["doc_id", "ids", "starts", "ends", "a.b", "decoded"]
+    found = decode_pieces(encode_pieces(table, MODEL).withColumns({"a.b": F.lit(1), "spans": spans()}), MODEL)
+    assert found.columns == ["doc_id", "ids", "begin", "ends", "a.b", "spans", "decoded"]
     got = sorted(found.collect(), key=str)
     assert sorted((r["doc_id"] or 0, r["ids"], r["decoded"]) for r in got) == sorted((d or 0, library.encode(t or ""), library.decode(library.encode(t or ""))) for d, t in rows)
     for row in got:
-        assert row["starts"] == [0, *row["ends"][:-1]] if row["ids"] else row["starts"] == []
+        assert [s["end"] for s in row["spans"]] == row["ends"] and len(row["ends"]) == len(row["ids"])
+        assert [s["start"] for s in row["spans"]] == [0, *row["ends"]][: len(row["ids"])]
     assert encode_pieces(table.limit(0), MODEL).collect() == []
     assert decode_pieces(spark.createDataFrame([(None,)], "ids array<int>"), MODEL).first()["decoded"] is None
 

@@ -6,23 +6,27 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickmart.llm.batches import slices
 from tickmart.llm.pieces import pieces
 
+#: Rows that are decoded at once.
+ROWS = 200
+
 
 def encode_pieces(docs: DataFrame, model: str, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row of ``docs``: id, ids (array of int), starts and ends (arrays of bigint).
+    """One row per row of ``docs``: id, ids (array of int), begin (int), ends (array of int).
 
     ``ids`` are those that the library gives for the model file ``model`` (a path that every executor
-    has), without begin and end. Piece i covers the bytes starts[i] to ends[i] of the text in UTF-8;
-    the pieces cover the text from end to end, and of a character that is spelled in bytes the last
-    one covers all. A null text counts as empty: no pieces. Repeated rows are encoded one by one,
-    other columns are not read, an empty table gives no rows. Texts are read whole, in one pass
-    without a shuffle.
+    has), without begin and end. Piece i covers the bytes of the text, in UTF-8, from the end of the
+    one before it (the first: from ``begin``) to ``ends[i]``; ``spans()`` puts these together. Of a
+    character that is spelled in bytes the last one covers all. A null text counts as empty: no
+    pieces. Repeated rows are encoded one by one, other columns are not read, an empty table gives no
+    rows. Texts are read whole, in one pass without a shuffle.
     """
     rows = docs.select(F.col(id_column).alias("_id"), F.col(text).cast("binary").alias("_text"))
 
@@ -30,16 +34,22 @@ def encode_pieces(docs: DataFrame, model: str, id_column: str = "doc_id", text:
         machine = pieces(model)
         for batch in batches:
             for (ids,), texts in slices(batch):
-                counts, *columns = machine.encode(texts)
+                counts, begin, *columns = machine.encode(texts)
                 offsets = pa.array(np.append(0, np.cumsum(counts)), pa.int32())
-                lists = [pa.ListArray.from_arrays(offsets, pa.array(c)) for c in columns]
-                yield pa.RecordBatch.from_arrays([ids, *lists], ["_id", "ids", "starts", "ends"])
+                found, ends = (pa.ListArray.from_arrays(offsets, pa.array(c, pa.int32())) for c in columns)
+                yield pa.RecordBatch.from_arrays([ids, found, pa.array(begin, pa.int32()), ends], ["_id", "ids", "begin", "ends"])
 
     kind = rows.schema[0].dataType.simpleString()
-    found = rows.mapInArrow(encode, f"_id {kind}, ids array<int>, starts array<bigint>, ends array<bigint>")
+    found = rows.mapInArrow(encode, f"_id {kind}, ids array<int>, begin int, ends array<int>")
     return found.withColumnRenamed("_id", id_column)
 
 
+def spans(begin: str = "begin", ends: str = "ends") -> Column:
+    """(start, end) of each piece, in bytes of the text."""
+    starts = F.slice(F.concat(F.array(begin), ends), 1, F.size(ends))
+    return F.arrays_zip(starts.alias("start"), F.col(ends).alias("end"))
+
+
 def decode_pieces(encoded: DataFrame, model: str, ids: str = "ids", name: str = "decoded") -> DataFrame:
     """``encoded`` with the text ``name`` of its ``ids``, as the library decodes them; null for null.
 
@@ -52,10 +62,14 @@ def decode_pieces(encoded: DataFrame, model: str, ids: str = "ids", name: str =
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = pieces(model)
         for batch in batches:
-            lists = batch.column(1)
-            # a list at a time, so that no more than one text's ids are Python numbers
-            texts = [machine.decode(lists[i].values.to_pylist()) if lists[i].is_valid else None for i in range(batch.num_rows)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["_row", name])
+            for start in range(0, batch.num_rows, ROWS):
+                some = batch.slice(start, ROWS)
+                lists = some.column(1)
+                counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy().astype(np.int64)
+                ends, whole = machine.decode_all(counts, lists.flatten().to_numpy())
+                decoded = pa.LargeStringArray.from_buffers(len(lists), pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(whole))
+                decoded = pc.if_else(lists.is_valid(), decoded, pa.scalar(None, pa.large_string())).cast(pa.string())
+                yield pa.RecordBatch.from_arrays([some.column(0), decoded], ["_row", name])
 
     schema = T.StructType([rows.schema["_row"], T.StructField(name, T.StringType())])
     found = rows.mapInArrow(decode, schema)

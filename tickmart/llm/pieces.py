@@ -11,7 +11,6 @@ import codecs
 import heapq
 import re
 import struct
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -22,9 +21,8 @@ NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 MERGES = 2
 #: Segments and ids that are remembered before all is forgotten.
 MOST_SEGMENTS, MOST_IDS = 400_000, 4_000_000
-
-#: Characters of a segment that is merged without a heap, and the cost of what is no piece.
-SHORT, NONE = 48, float("inf")
+#: Characters of a segment that is merged beside others, and the rank of what is no piece.
+SHORT, NEVER = 20, 1 << 30
 
 codecs.register_error("each_byte", lambda e: ("�", e.start + 1))
 
@@ -142,6 +140,7 @@ class Pieces:
         else:
             runs = "|".join(f"[{''.join(map(re.escape, kin))}]+" for kin in self._kinds())
             self.segments = re.compile(f"{SPACE}*(?:{runs})|{SPACE}+|(?s:.)" if runs else f"{SPACE}+|(?s:.)")
+        self._tables()
         self.forget()
 
     def _kinds(self) -> list[list[str]]:
@@ -168,9 +167,70 @@ class Pieces:
         return sorted(kin.values(), key=len, reverse=True)
 
     def forget(self) -> None:
+        """Of each segment known: its number; of all of them, how many pieces each has, and their ids
+        and lengths in characters."""
         self.numbers: dict[str, int] = {}
-        self.counts, self.flat, self.widths = array("i"), array("i"), array("i")
-        self.tables: tuple | None = None
+        self.counts, self.flat, self.widths = (np.zeros(0, np.int32) for _ in range(3))
+        self.first = np.zeros(0, np.int64)
+
+    def _tables(self) -> None:
+        """Symbols are pieces and, numbered behind them, characters that are none but are part of some;
+        a hash table of pairs of symbols has the piece that they make."""
+        symbols = dict(self.ids)
+        n = len(self.surfaces)
+        for name in self.ids:
+            for c in name:
+                symbols.setdefault(c, n + len(symbols))
+        self.symbol_of = np.full(0x110000, -1, np.int32)
+        for name, number in symbols.items():
+            if len(name) == 1:
+                self.symbol_of[ord(name)] = number
+        order = {cost: rank for rank, cost in enumerate(sorted(set(self.cost.values())))}
+        self.rank = np.full(n + len(symbols) + 1, NEVER, np.int32)
+        self.size = np.zeros(n, np.int32)
+        pairs = []
+        for name, number in self.ids.items():
+            self.rank[number] = order[self.cost[name]]
+            self.size[number] = len(name)
+            for i in range(1, len(name)):
+                left, right = symbols.get(name[:i]), symbols.get(name[i:])
+                if left is not None and right is not None:
+                    pairs.append((left << 32 | right, number))
+        bits = max(4, (4 * len(pairs)).bit_length())
+        self.shift = np.uint64(64 - bits)
+        self.pair_keys, self.pair_pieces = np.full(1 << bits, -1, np.int64), np.full(1 << bits, -1, np.int32)
+        todo = np.array(pairs, np.int64).reshape(-1, 2)
+        at = self._slots(todo[:, 0])
+        while len(todo):
+            free = self.pair_keys[at] < 0
+            self.pair_keys[at[free]] = todo[free, 0]
+            # of several that want one place the last has it
+            placed = self.pair_keys[at] == todo[:, 0]
+            self.pair_pieces[at[placed]] = todo[placed, 1]
+            todo, at = todo[~placed], (at[~placed] + 1) % len(self.pair_keys)
+
+        self.surface_sizes = np.array([len(s) for s in self.surfaces], np.int64)
+        self.surface_begin = np.cumsum(self.surface_sizes) - self.surface_sizes
+        self.surface_bytes = np.frombuffer(b"".join(self.surfaces), np.uint8)
+        self.begins_spaced, self.quiet = np.zeros(n, bool), np.zeros(n, bool)
+        self.begins_spaced[list(self.spaced)], self.quiet[list(self.silent)] = True, True
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def joined(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The piece that symbols make with their neighbours, -1 for none."""
+        keys = left.astype(np.int64) << 32 | right
+        at = self._slots(keys)
+        out = np.full(len(keys), -1, np.int32)
+        todo = np.flatnonzero((left >= 0) & (right >= 0))
+        while len(todo):
+            found = self.pair_keys[at[todo]]
+            same = found == keys[todo]
+            out[todo[same]] = self.pair_pieces[at[todo[same]]]
+            todo = todo[~same & (found >= 0)]
+            at[todo] = (at[todo] + 1) % len(self.pair_keys)
+        return out
 
     # normalisation
 
@@ -214,25 +274,40 @@ class Pieces:
 
     # merges
 
-    def merge(self, segment: str) -> list[str]:
-        """Joins neighbours, those of the best piece first and the leftmost of equals, until no two
-        make a piece."""
-        if len(segment) > SHORT:
-            return self._merge_long(segment)
-        parts, get = list(segment), self.cost.get
-        costs = [get(a + b, NONE) for a, b in zip(parts, parts[1:], strict=False)]
-        while costs and (least := min(costs)) != NONE:
-            i = costs.index(least)
-            parts[i] += parts.pop(i + 1)
-            del costs[i]
-            if i < len(costs):
-                costs[i] = get(parts[i] + parts[i + 1], NONE)
-            if i:
-                costs[i - 1] = get(parts[i - 1] + parts[i], NONE)
-        return parts
-
-    def _merge_long(self, segment: str) -> list[str]:
-        """The same by a heap."""
+    def merge_alike(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols of segments of one length, row by row, filled up by -1, and how many there are. In
+        each round every segment joins two neighbours: those of the best piece, the leftmost of
+        equals."""
+        text = np.frombuffer("".join(segments).encode("utf-32-le"), np.uint32)
+        symbols = self.symbol_of[text].reshape(len(segments), -1)
+        width = symbols.shape[1]
+        out, left = np.full(symbols.shape, -1, np.int32), np.ones(len(segments), np.int64)
+        cost = self.rank[self.joined(symbols[:, :-1].ravel(), symbols[:, 1:].ravel())].reshape(len(segments), width - 1)
+        active = np.arange(len(segments))
+        while width > 1 and len(active):
+            best = cost.argmin(1)
+            going = cost[np.arange(len(active)), best] != NEVER
+            if not going.all():
+                done = active[~going]
+                out[done, :width], left[done] = symbols[~going], width
+                active, best, symbols, cost = active[going], best[going], symbols[going], cost[going]
+            rows = np.arange(len(active))
+            symbols[rows, best] = self.joined(symbols[rows, best], symbols[rows, best + 1])
+            kept = np.ones(symbols.shape, bool)
+            kept[rows, best + 1] = False
+            symbols, width = symbols[kept].reshape(len(active), width - 1), width - 1
+            kept = np.ones(cost.shape, bool)
+            kept[rows, best] = False
+            cost = cost[kept].reshape(len(active), width - 1)
+            for at in (best - 1, best):
+                who = np.flatnonzero((at >= 0) & (at < width - 1))
+                at = at[who]
+                cost[who, at] = self.rank[self.joined(symbols[who, at], symbols[who, at + 1])]
+        out[active, :width], left[active] = symbols, width
+        return out, left
+
+    def merge_long(self, segment: str) -> list[str]:
+        """Pieces of a segment of any length, by a heap."""
         parts, cost, n = list(segment), self.cost, len(segment)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         heap = [(cost[pair], i, pair) for i in range(n - 1) if (pair := parts[i] + parts[i + 1]) in cost]
@@ -254,9 +329,10 @@ class Pieces:
                 heapq.heappush(heap, (cost[new], h, new))
         return [p for p in parts if p]
 
-    def _learn(self, segment: str) -> int:
+    def spelled(self, segment: str) -> tuple[list[int], list[int]]:
+        """Ids and characters of a segment's pieces, in bytes where there is no piece."""
         ids, widths = [], []
-        for piece in self.merge(segment):
+        for piece in self.merge_long(segment):
             number = self.ids.get(piece)
             if number is not None:
                 ids.append(number)
@@ -266,45 +342,68 @@ class Pieces:
                 coded = piece.encode()
                 ids += [self.byte_ids[b] for b in coded]
                 widths += [0] * (len(coded) - 1) + [1]
-        number = self.numbers[segment] = len(self.counts)
-        self.counts.append(len(ids))
-        self.flat.extend(ids)
-        self.widths.extend(widths)
-        self.tables = None
-        return number
+        return ids, widths
+
+    def learn(self, segments: list[str]) -> None:
+        alike: dict[int, list[str]] = {}
+        for segment in segments:
+            alike.setdefault(len(segment), []).append(segment)
+        names, counts, flat, widths, rest = [], [self.counts], [self.flat], [self.widths], []
+        for size, some in alike.items():
+            if size > SHORT:
+                rest += some
+                continue
+            symbols, left = self.merge_alike(some)
+            inside = np.arange(size) < left[:, None]
+            whole = (((symbols >= 0) & (symbols < len(self.surfaces))) | ~inside).all(1)
+            if not whole.all():
+                rest += [s for s, ok in zip(some, whole.tolist(), strict=True) if not ok]
+                some = [s for s, ok in zip(some, whole.tolist(), strict=True) if ok]
+            ids = symbols[whole][inside[whole]]
+            names += some
+            counts.append(left[whole])
+            flat.append(ids)
+            widths.append(self.size[ids])
+        for segment in rest:
+            ids, width = self.spelled(segment)
+            counts.append([len(ids)])
+            flat.append(ids)
+            widths.append(width)
+        begun = len(self.counts)
+        self.numbers.update(zip([*names, *rest], range(begun, begun + len(segments)), strict=True))
+        self.counts, self.flat, self.widths = (np.concatenate(c, dtype=np.int32, casting="unsafe") for c in (counts, flat, widths))
+        self.first = np.cumsum(self.counts, dtype=np.int64) - self.counts
 
     def encode(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Pieces of each text: how many; and of all texts one after the other the ids, and the bytes
-        (start, end) of its text that each piece covers."""
+        """Of each text: how many pieces, and the byte where the first begins; and of all texts one after
+        the other the ids, and the byte of its text where each piece ends, which is where the next one
+        begins."""
         if len(self.counts) > MOST_SEGMENTS or len(self.flat) > MOST_IDS:
             self.forget()
-        found: list[int] = []
-        segments, characters, sources = [], [], []
-        get, learn = self.numbers.get, self._learn
+        found: list[str] = []
+        segments, sources = [], []
         for text in texts:
             plain, source = self.normalize(text or b"")
             begun = len(found)
-            found += [learn(s) if (n := get(s)) is None else n for s in self.segments.findall(plain)]
+            found += self.segments.findall(plain)
             segments.append(len(found) - begun)
-            characters.append(len(source))
             sources.append(source)
-        if self.tables is None:
-            counts = np.array(self.counts, np.int64)
-            self.tables = counts, np.cumsum(counts) - counts, np.array(self.flat, np.int32), np.array(self.widths, np.int32)
-        counts, first, flat, widths = self.tables
-        number = np.array(found, np.int64)
-        many = counts[number]
+        if new := set(found).difference(self.numbers):
+            self.learn(list(new))
+        number = np.fromiter(map(self.numbers.__getitem__, found), np.int64, len(found))
+        del found
+        many = self.counts[number].astype(np.int64)
         ends = np.cumsum(many)
         total = int(ends[-1]) if len(ends) else 0
-        place = np.arange(total) + np.repeat(first[number] - ends + many, many)
+        place = np.arange(total) + np.repeat(self.first[number] - ends + many, many)
         edges = np.append(0, ends)[np.append(0, np.cumsum(segments)).astype(np.int64)]
         pieces = np.diff(edges)
-        width = widths[place].astype(np.int64)
+        width = self.widths[place].astype(np.int64)
         # sources have one place more than characters: a text's end
-        text_of = np.repeat(np.arange(len(texts)), pieces)
-        upto = np.cumsum(width) + text_of
+        upto = np.cumsum(width) + np.repeat(np.arange(len(texts)), pieces)
         source = np.concatenate(sources) if sources else np.zeros(0, np.int64)
-        return pieces, flat[place], source[upto - width], source[upto]
+        begun = np.cumsum([0, *(len(s) for s in sources[:-1])]) if texts else np.zeros(0, np.int64)
+        return pieces, source[begun], self.flat[place], source[upto]
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids. Bytes that are no UTF-8 become U+FFFD one by one; the space in front that
@@ -322,6 +421,34 @@ class Pieces:
         out.append(b"".join(parts[begun:]).decode(errors="each_byte"))
         return "".join(out)
 
+    def decode_all(self, counts: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, bytes]:
+        """``decode`` of lists of ids, given one after the other: where each text ends, and the texts."""
+        if len(ids) and (self.squeeze or self.quiet[ids].any()):
+            return self._decode_each(counts, ids)
+        sizes, begin = self.surface_sizes[ids], self.surface_begin[ids]
+        ends = np.cumsum(counts)
+        first = (ends - counts)[counts > 0]
+        if self.prefix:
+            spaced = first[self.begins_spaced[ids[first]]]
+            sizes[spaced] -= 1
+            begin[spaced] += 1
+        upto = np.append(0, np.cumsum(sizes))
+        data = self.surface_bytes[np.arange(upto[-1]) + np.repeat(begin - upto[:-1], sizes)]
+        rows = np.append(0, upto[ends])
+        inside = rows[rows < len(data)]
+        try:
+            whole = data.tobytes()
+            whole.decode()
+        except UnicodeDecodeError:
+            return self._decode_each(counts, ids)
+        # no character goes on from one text to the next
+        return (rows, whole) if not (data[inside] & 0xC0 == 0x80).any() else self._decode_each(counts, ids)
+
+    def _decode_each(self, counts: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, bytes]:
+        ends = np.cumsum(counts)
+        texts = [self.decode(ids[end - n : end].tolist()).encode() for n, end in zip(counts.tolist(), ends.tolist(), strict=True)]
+        return np.append(0, np.cumsum([len(t) for t in texts])).astype(np.int64), b"".join(texts)
+
 
 @lru_cache(1)
 def pieces(path: str) -> Pieces:

@@ -117,14 +117,17 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op11_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path(PIECES)
-    found = decode_pieces(encode_pieces(table(spark, sf_dir, "documents"), model), model)
-    return found.select(
+    found = encode_pieces(table(spark, sf_dir, "documents"), model)
+    found = found.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-        F.coalesce(F.try_element_at("ends", F.lit(-1)), F.lit(0).cast("bigint")).alias("n_bytes"),
+        # the bytes that the pieces cover
+        (F.coalesce(F.try_element_at("ends", F.lit(-1)), F.lit(0)) - F.col("begin")).cast("bigint").alias("n_bytes"),
+        "ids",
     )
+    decoded = decode_pieces(found, model)
+    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"), "n_bytes")
 
 
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
