@@ -2,8 +2,10 @@
 
 Of a word's bigrams in order of rarity the first three are its prefix. Two disjoint ones of the
 prefix are its pivots; one edit leaves at least one of them as it is, so of two near words a pivot of
-the one whose prefix ends earlier in that order is in the prefix of the other. The edit lies on one
-side of that pivot: its position is known to one place, and the text of the other side is the same.
+the one whose prefix ends earlier in that order is in the prefix of the other. An edit behind the first
+pivot leaves that one and all in front of it as they are; any other is in front of the second pivot,
+and leaves that one and all behind it. So the place of the pivot in the other word is known to one
+position, and the text of one side is the same.
 """
 
 from __future__ import annotations
@@ -32,8 +34,8 @@ NUMBER = np.zeros(256, np.int64)
 NUMBER[97:123] = np.arange(1, 27)
 NUMBER[0xC0:] = np.arange(27, LETTERS)
 PREFIX = 3
-#: How length and position of the same gram differ in a word with the edit behind (left side equal)
-#: or in front of it (right side equal).
+#: How length and place of the first pivot differ in a word with the edit behind it (left side
+#: equal), and those of the second in one with the edit in front of it (right side equal).
 EDITS = {0: ((0, 0), (1, 0), (-1, 0)), 1: ((0, 0), (1, 1), (-1, -1))}
 
 
@@ -100,6 +102,11 @@ class Grams:
         first, last = self.start[word], self.end[word]
         return (sums[at] - sums[first]) * back[first], (sums[last] - sums[at + 2]) * back[at + 2]
 
+    def letters(self) -> np.ndarray:
+        """The letters of each word as bits, some sharing one: an edit changes two at most."""
+        bits = np.uint64(1) << (NUMBER[self.text] % 64).astype(np.uint64)
+        return np.bitwise_or.reduceat(bits, self.start).view(np.int64)
+
 
 def count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
@@ -157,7 +164,7 @@ def index_words(counts: np.ndarray):
             prefix = np.flatnonzero(rarity <= last[grams.word])
             begin = np.searchsorted(grams.word[prefix], np.arange(len(words) + 1)).tolist()
             chosen = choose_pivots(begin, grams.place[prefix].tolist(), counts[grams.gram[prefix]].tolist())
-            pivot = np.unique(np.array(chosen, np.int64))
+            pivots = np.array(chosen, np.int64).T
             gram, place, word = grams.gram[prefix], grams.place[prefix], grams.word[prefix]
             length, sides = grams.length[word], grams.side_hashes(prefix)
             found, owner, kinds = [], [], []
@@ -165,13 +172,15 @@ def index_words(counts: np.ndarray):
                 found.append(keys(gram, length, place, side, sides[side]))
                 owner.append(word)
                 kinds.append(np.zeros(len(word), bool))
+                pivot = pivots[side]
                 for longer, further in shifts:
                     found.append(keys(gram[pivot], length[pivot] + longer, place[pivot] + further, side, sides[side][pivot]))
                     owner.append(word[pivot])
                     kinds.append(np.ones(len(pivot), bool))
             at = pa.array(np.concatenate(owner))
-            columns = [pa.array(np.concatenate(found)), pa.array(np.concatenate(kinds)), words.take(at), n.take(at), pa.array(last).take(at)]
-            yield pa.RecordBatch.from_arrays(columns, ["key", "pivot", "word", "n", "last"])
+            columns = [pa.array(np.concatenate(found)), pa.array(np.concatenate(kinds)), words.take(at), n.take(at)]
+            columns += [pa.array(numbers).take(at) for numbers in (last, grams.letters())]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "pivot", "word", "n", "last", "letters"])
 
     return index
 
@@ -182,11 +191,12 @@ def near_words(words: DataFrame) -> DataFrame:
     frequency = np.zeros(LETTERS * LETTERS, np.int64)
     for row in words.select("word").mapInArrow(count_grams, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n")).collect():
         frequency[row["gram"]] = row["n"]
-    entries = words.select("word", "n").mapInArrow(index_words(frequency), "key bigint, pivot boolean, word string, n bigint, last bigint")
+    entries = words.select("word", "n").mapInArrow(index_words(frequency), "key bigint, pivot boolean, word string, n bigint, last bigint, letters bigint")
     entries = materialize(entries, "grams")
-    pivots = entries.where("pivot").select("key", F.col("word").alias("a"), F.col("n").alias("a_n"), F.col("last").alias("a_last"))
-    prefixes = entries.where("not pivot").select("key", F.col("word").alias("b"), F.col("n").alias("b_n"), F.col("last").alias("b_last"))
-    likely = pivots.join(prefixes, "key").where("a <> b and a_last <= b_last").where(F.levenshtein("a", "b", 1) == 1)
+    named = lambda c: [F.col("word").alias(c), *[F.col(x).alias(f"{c}_{x}") for x in ("n", "last", "letters")]]
+    pivots, prefixes = entries.where("pivot").select("key", *named("a")), entries.where("not pivot").select("key", *named("b"))
+    likely = pivots.join(prefixes, "key").where("a_last <= b_last and bit_count(a_letters ^ b_letters) <= 2 and a <> b")
+    likely = likely.where(F.levenshtein("a", "b", 1) == 1)
     turned = F.col("a") > F.col("b")
     one, other = F.struct(F.col("a").alias("w"), F.col("a_n").alias("n")), F.struct(F.col("b").alias("w"), F.col("b_n").alias("n"))
     pairs = likely.select(F.when(turned, other).otherwise(one).alias("x"), F.when(turned, one).otherwise(other).alias("y"))
