@@ -328,13 +328,17 @@ def brute_contamination(docs, items):
     return out
 
 
-@pytest.mark.parametrize("block_bytes", [1 << 20, 4000])
-def test_contamination_is_that_of_brute_force(spark, sf, odd, block_bytes):
+@pytest.mark.parametrize("bits", [1 << 26, 1 << 15])
+def test_contamination_is_that_of_brute_force(spark, sf, odd, bits, monkeypatch):
+    import tickmart.llm.decontaminate as module
+
+    # also with a sieve so full that it lets through most
+    monkeypatch.setattr(module, "SIEVE_BITS", bits)
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").unionByName(odd.select("doc_id", "text"))
     items = spark.read.parquet(f"{sf}/benchmark.parquet").select("item_id", "text")
     extra = spark.createDataFrame([(900, "ordinary text"), (901, None), (902, " . "), (None, "plain words"), (900, "ordinary text")], "item_id long, text string")
     items = items.limit(60).unionByName(extra)
-    found = find_contamination(docs, items, block_bytes=block_bytes)
+    found = find_contamination(docs, items)
     got = [(r["doc_id"], r["n_words"], sum(s["end"] - s["start"] for s in r["spans"]), r["items"]) for r in found.collect()]
     order = lambda r: (r[0] is None, str(r))
     assert sorted(got, key=order) == sorted(brute_contamination([tuple(r) for r in docs.collect()], [tuple(r) for r in items.collect()]), key=order)
@@ -568,12 +572,23 @@ def test_dotted_columns_pass_every_stage(spark, sf):
         assert {r["a.b"] for r in found.collect()} == {"kept"}, name
 
 
-def test_numbers_of_shingles_that_wrap_find_all(monkeypatch):
-    from tickmart.llm.decontaminate import Windows
-
-    windows = Windows([("i", b"one two three four five six seven eight nine ten eleven twelve thirteen fourteen")])
-    windows.base = 1 << 40
-    windows.shingles = {3: np.unique(np.concatenate([windows.keys(w, 3) for w in windows.windows]))}
-    windows.choose(Counter())
-    _, found = windows.search([b"zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen"])
-    assert sorted(start for start, *_ in found[0]) == [1, 2] and min(windows.shingles[3]) >= 0
+def test_long_words_and_repeated_items_of_one_window(spark):
+    long = "é" * 40 + "x" * 5000
+    words = [f"w{i}" for i in range(40)]
+    items = [(1, f"{long} a b"), (2, f"{long}y a b"), (3, long), (4, " ".join(words)), (5, " ".join(words)), (6, " ".join(words[5:20])), (7, "w1 w2 w3 zz")]
+    texts = [f"q {long} A b", " ".join(words[3:18]), " ".join(words[3:18]), " ".join(words[5:17]), f"{long}z", "", None, " ".join(words * 3)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    found = find_contamination(docs, spark.createDataFrame(items, "item_id int, text string"))
+    got = sorted((r["doc_id"], r["n_words"], sum(s["end"] - s["start"] for s in r["spans"]), r["items"]) for r in found.collect())
+    assert got == sorted(brute_contamination(list(enumerate(texts)), items))
+    assert got[0][3] == ["1", "3"] and got[1][3] == ["4", "5", "6"] and got[3][3] == []
+
+
+def test_the_driver_holds_no_items(spark, monkeypatch):
+    """A sieve of fixed size is all that is collected."""
+    frame = type(spark.range(1))
+    seen, plain = [], frame.collect
+    monkeypatch.setattr(frame, "collect", lambda self: seen.append(plain(self)) or seen[-1])
+    docs = spark.range(50).selectExpr("id as doc_id", "array_join(transform(sequence(0, 60), i -> concat('w', i * id)), ' ') as text")
+    find_contamination(docs, docs.selectExpr("doc_id as item_id", "text"))
+    assert len(seen) == 2 and all(set(r.asDict()) == {"bucket", "bits"} for rows in seen for r in rows)

@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from tickmart.llm.components import forest
-from tickmart.llm.decontaminate import Windows
+from tickmart.llm.decontaminate import Words
 from tickmart.llm.ngram_join import HASHES, least_matches, likely_links, overlaps
 from tickmart.llm.packing import TIERS, Encoder, Places, plan_packing
 from tickmart.llm.quality import best_condition, holds, learn_rules, repeated_words, text_stats
@@ -201,16 +201,18 @@ def test_forest_keeps_components():
     assert sorted(zip(a.tolist(), b.tolist(), strict=True)) == [(2, 7), (2, 9), (3, 5), (3, 8)]
 
 
-def test_windows_find_exact_occurrences():
-    items = [("1", b" ".join(b"w%d" % i for i in range(20))), ("2", b"tiny item"), ("3", b"one"), ("4", b"")]
-    windows = Windows(items)
-    text = b"zz " + b" ".join(b"w%d" % i for i in range(3, 19)) + b" Tiny ITEM. w1"
-    windows.choose(windows.frequencies([text]))
-    lengths, found = windows.search([text, b"tiny", None, b"one two tiny, item"])
-    assert lengths.tolist() == [20, 1, 0, 4]
-    assert sorted((s, n) for s, n, _ in found[0]) == [(1, 13), (2, 13), (3, 13), (4, 13), (17, 2)]
-    assert found[1] == [] and found[2] == []
-    assert sorted((s, n) for s, n, _ in found[3]) == [(0, 1), (2, 2)]
+def test_shingles_stay_inside_texts_and_name_words_anywhere(monkeypatch):
+    import tickmart.llm.decontaminate as module
+
+    texts = [b"a b c d", None, b"", b"x", b" B. c D"]
+    for size in (1 << 22, 3):  # bytes numbered together
+        monkeypatch.setattr(module, "HASHED_BYTES", size)
+        words = Words(texts)
+        assert (words.last - words.first).tolist() == [4, 0, 0, 1, 3]
+        at, keys = words.shingles(3)
+        assert at.tolist() == [0, 1, 5] and keys[1] == keys[2] != keys[0]
+        assert len(words.shingles(1)[0]) == 8 and len(set(words.shingles(1)[1].tolist())) == 5
+    assert words.short(0, 2) == [b"a", b"b"] and len(Words([b"x" * 33]).short(0, 1)[0]) == 17
 
 
 def test_text_stats():

@@ -2,140 +2,203 @@
 
 from __future__ import annotations
 
-from collections import Counter
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tickmart.llm.batches import groups, union
-from tickmart.llm.shingles import FOLD
+from tickmart.llm.batches import groups, slices
+from tickmart.llm.shingles import FOLD, MULTIPLIER, mix, word_numbers
 from tickmart.session import materialize
 
 WINDOW = 13
 #: Words of a shingle, the unit whose rarity is counted.
 SHINGLE = 3
-#: Bytes of item texts that are joined at once (held by the driver and broadcast); more items are
-#: joined block by block.
-BLOCK_BYTES = 8 << 20
+#: Bits of the sieve for shingles, whatever the number of items: 8 MB are broadcast. A fuller sieve lets
+#: more of the documents' other shingles through to the joins, and changes no result.
+SIEVE_BITS = 1 << 26
+#: Bits that one value of Spark's bitmap functions holds.
+BITMAP_BITS = 32_768
+#: Bytes whose words are numbered together; windows of an item in a batch.
+HASHED_BYTES, WINDOW_ROWS = 1 << 22, 4_096
+#: Longer words are compared by 128 bits of hash.
+LONG_WORD = 32
 
 
 def words_of(text: bytes | None) -> list[bytes]:
     return (text or b"").translate(FOLD).split()
 
 
-class Windows:
-    """The distinct windows of a block of items, and an index of the shingles they are found by."""
-
-    def __init__(self, items: list[tuple[str, bytes]], size: int = WINDOW):
-        owners: dict[tuple[bytes, ...], set[str]] = {}
-        for item, text in items:
-            words = words_of(text)
-            for start in range(max(1, len(words) - size + 1)) if words else ():
-                owners.setdefault(tuple(words[start : start + size]), set()).add(item)
-        windows = sorted(owners)
-        self.ids = {w: i for i, w in enumerate(sorted({w for window in windows for w in window}))}
-        self.base = len(self.ids) + 1
-        self.windows = [np.array([self.ids[w] for w in window], np.int64) for window in windows]
-        self.owners = [sorted(owners[w]) for w in windows]
-        #: Shingles of each length that windows need: SHINGLE, or the window's own if shorter.
-        self.shingles: dict[int, np.ndarray] = {}
-        for k in sorted({min(SHINGLE, len(w)) for w in self.windows}):
-            keys = [self.keys(w, k) for w in self.windows if min(SHINGLE, len(w)) == k]
-            self.shingles[k] = np.unique(np.concatenate(keys))
-        self.prefixes: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = {}
-
-    def keys(self, ids: np.ndarray, k: int) -> np.ndarray:
-        """A number for each run of ``k`` words, -1 where one is in no item. Runs of a block of very many
-        words may share a number, as only 63 bits are kept; ``search`` compares the words."""
-        n = len(ids) - k + 1
+def digest(content: bytes) -> bytes:
+    return hashlib.blake2b(content, digest_size=16).digest()
+
+
+def short(word: bytes) -> bytes:
+    """A word for comparison; a blank, which no word holds, marks a hash."""
+    return word if len(word) <= LONG_WORD else b" " + digest(word)
+
+
+class Words:
+    """The words of some texts, one after the other, as numbers."""
+
+    def __init__(self, texts: list[bytes | None]):
+        folded = [(t or b"").translate(FOLD) for t in texts]
+        self.bytes = b" ".join([*folded, b""])
+        solid = np.concatenate([[False], np.frombuffer(self.bytes, np.uint8) != 32, [False]])
+        edges = np.flatnonzero(solid[1:] != solid[:-1])
+        self.starts, self.ends = edges[::2], edges[1::2]
+        sizes = np.array([len(t) + 1 for t in folded], np.int64)
+        #: Of each text the first word and the one after the last.
+        self.first = np.searchsorted(self.starts, np.cumsum(sizes) - sizes)
+        self.last = np.append(self.first[1:], len(self.starts))
+        self.limit = np.repeat(self.last, self.last - self.first)
+        self.numbers = np.zeros(len(self.starts), np.uint64)
+        data, low = np.frombuffer(self.bytes, np.uint8), 0
+        while low < len(self.starts):
+            begin = self.starts[low]
+            high = max(low + 1, int(np.searchsorted(self.ends, begin + HASHED_BYTES, "right")))
+            self.numbers[low:high] = word_numbers(data[begin : self.ends[high - 1]], self.starts[low:high] - begin, self.ends[low:high] - begin)
+            low = high
+
+    def shingles(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Where ``k`` words of one text begin, and a number for these words."""
+        n = len(self.numbers) - k + 1
         if n <= 0:
-            return np.zeros(0, np.int64)
-        key, known = np.zeros(n, np.int64), np.ones(n, bool)
+            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        key = np.full(n, k, np.uint64)
         for i in range(k):
-            part = ids[i : i + n]
-            key = key * self.base + part
-            known &= part >= 0
-        return np.where(known, key & np.iinfo(np.int64).max, -1)
-
-    def lookup(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Word numbers of texts one after the other, -1 for a word of no item and between texts;
-        where each text begins, and its words."""
-        ids, lengths = [], []
-        for text in texts:
-            words = words_of(text)
-            lengths.append(len(words))
-            ids.extend(words)
-            ids.append(b"")
-        get = self.ids.get
-        found = np.fromiter((get(w, -1) for w in ids), np.int64, len(ids))
-        n = np.array(lengths, np.int64)
-        return found, np.cumsum(n + 1) - n - 1, n
-
-    def positions(self, keys: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Where keys stand in ``index``: positions of the keys, and places in the index."""
-        at = np.flatnonzero(keys >= 0)
-        if not len(index) or not len(at):
-            return at[:0], at[:0]
-        place = np.searchsorted(index, keys[at])
-        hit = index[np.minimum(place, len(index) - 1)] == keys[at]
-        return at[hit], place[hit]
-
-    def frequencies(self, texts: list[bytes | None]) -> Counter:
-        """Occurrences in these texts of (k, place of the shingle)."""
-        ids, _, _ = self.lookup(texts)
-        found: Counter = Counter()
-        for k, index in self.shingles.items():
-            _, place = self.positions(self.keys(ids, k), index)
-            for p, n in zip(*(x.tolist() for x in np.unique(place, return_counts=True)), strict=True):
-                found[k, p] += n
-        return found
-
-    def choose(self, frequency: Counter) -> None:
-        """Orders shingles by rarity and indexes each window by its necessary prefix. For exact
-        containment all shingles must be there, so one suffices: the rarest, the earliest of equals."""
-        chosen: dict[int, list[tuple[int, int, int]]] = {k: [] for k in self.shingles}
-        for number, window in enumerate(self.windows):
-            k = min(SHINGLE, len(window))
-            places = np.searchsorted(self.shingles[k], self.keys(window, k)).tolist()
-            offset = min(range(len(places)), key=lambda i: (frequency[k, places[i]], i))
-            chosen[k].append((int(self.shingles[k][places[offset]]), number, offset))
-        for k, rows in chosen.items():
-            key, number, offset = np.array(sorted(rows), np.int64).T
-            index, first = np.unique(key, return_index=True)
-            self.prefixes[k] = index, np.append(first, len(key)), number, offset
-
-    def search(self, texts: list[bytes | None]) -> tuple[np.ndarray, list[list[tuple[int, int, int]]]]:
-        """Words of each text, and its occurrences (start, words, window)."""
-        ids, starts, lengths = self.lookup(texts)
-        found: list[list[tuple[int, int, int]]] = [[] for _ in texts]
-        for k, (index, first, number, offset) in self.prefixes.items():
-            at, place = self.positions(self.keys(ids, k), index)
-            for position, p in zip(at.tolist(), place.tolist(), strict=True):
-                text = int(np.searchsorted(starts, position, side="right")) - 1
-                low, high = int(starts[text]), int(starts[text] + lengths[text])
-                for row in range(int(first[p]), int(first[p + 1])):
-                    window = self.windows[number[row]]
-                    begin = position - int(offset[row])
-                    # the window must lie inside the text, and hold word for word
-                    if low <= begin and begin + len(window) <= high and np.array_equal(ids[begin : begin + len(window)], window):
-                        found[text].append((begin - low, len(window), int(number[row])))
-        return lengths, found
-
-
-def item_blocks(items: DataFrame, item_id: str, text: str, block_bytes: int) -> list[DataFrame]:
-    rows = items.where(F.col(text).isNotNull()).select(
-        F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("item"), F.col(text).cast("binary").alias("text")
-    )
-    size = rows.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
-    n = -(-size // block_bytes)
-    return [rows.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == i) for i in range(n)]
+            key = mix(key * MULTIPLIER + self.numbers[i : i + n])
+        at = np.flatnonzero(np.arange(k, n + k) <= self.limit[:n])
+        return at, key[at]
+
+    def short(self, low: int, high: int) -> list[bytes]:
+        return [short(self.bytes[a:b]) for a, b in zip(self.starts[low:high].tolist(), self.ends[low:high].tolist(), strict=True)]
+
+
+def cut_windows(texts: DataFrame, size: int) -> DataFrame:
+    """(item_text, w, words, keys) of ``texts`` (item_text, text): each window's words and the numbers of
+    its shingles. A long item's windows leave in many batches."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for (names,), contents in slices(batch):
+                for name, content in zip(names.to_pylist(), contents, strict=True):
+                    words = Words([content])
+                    n = len(words.numbers)
+                    _, keys = words.shingles(min(SHINGLE, max(1, n)))
+                    numbers = keys.view(np.int64)
+                    starts = range(max(1, n - size + 1)) if n else range(0)
+                    for low in range(0, len(starts), WINDOW_ROWS):
+                        high = min(low + WINDOW_ROWS, len(starts))
+                        some = words.short(low, high + size)
+                        cuts = [some[i : i + size] for i in range(high - low)]
+                        inside = [numbers[i : i + max(1, len(c) - SHINGLE + 1)].tolist() for i, c in enumerate(cuts, low)]
+                        columns = [pa.array([name] * len(cuts), pa.binary()), pa.array([digest(b"\n".join(c)) for c in cuts], pa.binary())]
+                        columns += [pa.array(cuts, pa.list_(pa.binary())), pa.array(inside, pa.list_(pa.int64()))]
+                        yield pa.RecordBatch.from_arrays(columns, ["item_text", "w", "words", "keys"])
+
+    return texts.mapInArrow(cut, "item_text binary, w binary, words array<binary>, keys array<bigint>")
+
+
+def sieve(keys: DataFrame) -> np.ndarray:
+    """A bit for each value of ``key`` modulo SIEVE_BITS; of fixed size, however many keys there are."""
+    place = F.pmod("key", F.lit(SIEVE_BITS)) + 1
+    filled = keys.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
+    bits = np.zeros(SIEVE_BITS // 8, np.uint8)
+    width = BITMAP_BITS // 8
+    # SIEVE_BITS / BITMAP_BITS rows at most
+    for r in filled.collect():
+        bits[(r["bucket"] - 1) * width : r["bucket"] * width] = np.frombuffer(bytes(r["bits"]), np.uint8)
+    return bits
+
+
+def passing(keys: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    place = (keys & np.uint64(8 * len(bits) - 1)).astype(np.int64)
+    return np.flatnonzero((bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1)
+
+
+def shingle_counts(texts: DataFrame, bits: np.ndarray) -> DataFrame:
+    """(key, n): occurrences in all documents of the shingles that the sieve lets through."""
+    shared = texts.sparkSession.sparkContext.broadcast(bits)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for some in groups(batch.column(0)):
+                words = Words(some)
+                keys = np.concatenate([words.shingles(k)[1] for k in range(1, SHINGLE + 1)])
+                keys, n = np.unique(keys[passing(keys, shared.value)], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))], ["key", "n"])
+
+    return texts.mapInArrow(count, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
+
+
+def rarest(windows: DataFrame, counts: DataFrame) -> DataFrame:
+    """``windows`` (w, words, keys) by their necessary prefix. For exact containment all shingles must be
+    there, so one suffices: the rarest, the earliest of equals. Windows with a shingle that occurs
+    nowhere go."""
+    shingles = windows.select("w", F.posexplode("keys").alias("offset", "key")).join(counts, "key", "left")
+    order = F.struct(F.coalesce("n", F.lit(0)).alias("n"), "offset", "key")
+    chosen = shingles.groupBy("w").agg(F.min(order).alias("least")).where("least.n > 0")
+    return windows.select("w", "words").join(chosen.select("w", "least.offset", "least.key"), "w")
+
+
+def candidates(rows: DataFrame, bits: np.ndarray, size: int) -> DataFrame:
+    """``rows`` (_id, t, text) as _id, t, n_words, found: where shingles of the sieve stand, each with the
+    words around it that a window could have (``lead`` of them in front)."""
+    shared = rows.sparkSession.sparkContext.broadcast(bits)
+    places = T.StructType.fromDDL("n_words bigint, found array<struct<key:bigint,at:bigint,lead:int,around:array<binary>>>")
+    schema = T.StructType([*rows.drop("text").schema, *places])
+    hit = pa.struct([("key", pa.int64()), ("at", pa.int64()), ("lead", pa.int32()), ("around", pa.list_(pa.binary()))])
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for (ids, names), texts in slices(batch):
+                words = Words(texts)
+                found: list[list[dict]] = [[] for _ in texts]
+                for k in range(1, SHINGLE + 1):
+                    at, keys = words.shingles(k)
+                    hits = passing(keys, shared.value)
+                    at, keys = at[hits], keys[hits].view(np.int64)
+                    owner = np.searchsorted(words.first, at, "right") - 1
+                    for row, place, key in zip(owner.tolist(), at.tolist(), keys.tolist(), strict=True):
+                        first, last = int(words.first[row]), int(words.last[row])
+                        low, high = max(first, place - size + 1), min(last, place + size)
+                        found[row].append({"key": key, "at": place - first, "lead": place - low, "around": words.short(low, high)})
+                columns = [ids, names, pa.array(words.last - words.first, pa.int64()), pa.array(found, pa.list_(hit))]
+                yield pa.RecordBatch.from_arrays(columns, ["_id", "t", "n_words", "found"])
+
+    return rows.mapInArrow(look, schema)
+
+
+def occurrences(looked: DataFrame, windows: DataFrame) -> DataFrame:
+    """(t, start, end, w): the windows that stand in a text word for word. Equal texts are one."""
+    texts = looked.where(F.size("found") > 0).dropDuplicates(["t"])
+    # written, so that the join deals both sides anew and adaptive execution can split a crowded key
+    places = materialize(texts.select("t", F.explode("found").alias("f")).select("t", "f.*"), "places")
+    size, begin = F.size("words"), F.col("lead") - F.col("offset")
+    # the window must fit into the text at the shingle's place, and hold word for word
+    fits = (begin >= 0) & (F.slice("around", F.greatest(begin + 1, F.lit(1)), size) == F.col("words"))
+    start = F.col("at") - F.col("offset")
+    return places.join(windows, "key").where(fits).select("t", start.alias("start"), (start + size).alias("end"), "w")
+
+
+def covered(hits: DataFrame) -> DataFrame:
+    """(t, spans): the word ranges of each text's occurrences, joined where they touch or overlap."""
+    ranges = hits.groupBy("t", "start").agg(F.max("end").alias("end"))
+    before = Window.partitionBy("t").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    upto = Window.partitionBy("t").orderBy("start").rowsBetween(Window.unboundedPreceding, 0)
+    new = F.coalesce(F.col("start") > F.max("end").over(before), F.lit(True)).cast("int")
+    runs = ranges.withColumn("new", new).withColumn("run", F.sum("new").over(upto))
+    runs = runs.groupBy("t", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    return runs.groupBy("t").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"))
 
 
 def find_contamination(
-    docs: DataFrame, items: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES,
+    docs: DataFrame, items: DataFrame, window: int = WINDOW,
     id_column: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text",
 ) -> DataFrame:
     """One row per row of ``docs``: id, n_words, spans (word ranges inside occurrences), items (ids
@@ -143,84 +206,56 @@ def find_contamination(
 
     A window is ``window`` consecutive words of an item, or all of a shorter one. Windows are joined
     to documents by their rarest shingle alone, counted over all documents; a candidate must fit
-    into the document at the shingle's position and is then compared word for word.
+    into the document at the shingle's position and is then compared word for word (words of over
+    LONG_WORD bytes by 128 bits of hash).
 
     A null or empty text has no words and no spans; items without words are found nowhere; a null
     item id marks spans but is not listed; equal items are one. Repeated documents are judged one by
-    one; empty tables give no rows, or no spans; other columns are not read. Documents are not
-    shuffled. Items are taken in blocks of ``block_bytes``, so what is broadcast is bounded.
+    one; empty tables give no rows, or no spans; other columns are not read. Documents are read twice,
+    however many items there are, and not shuffled: windows and the places of their shingles meet in joins,
+    and what is broadcast is a sieve of fixed size.
     """
-    rows = docs.select(F.col(id_column).alias("_id"), F.col(text).cast("binary").alias("_text"))
-    found = searched(rows, items, window, block_bytes, item_id, item_text)
-    return found.select(F.col("_id").alias(id_column), "n_words", "spans", "items")
+    looked, found = _searched(docs, F.col(id_column), items, window, text, item_id, item_text)
+    no_spans, no_items = F.array().cast("array<struct<start:bigint,end:bigint>>"), F.array().cast("array<string>")
+    rows = looked.select(F.col("_id").alias("id"), "t", "n_words", (F.size("found") > 0).alias("likely"))
+    likely = rows.where("likely").join(found, "t", "left")
+    clean = rows.where("not likely").withColumns({"spans": no_spans, "items": no_items}).select(*likely.columns)
+    both = likely.withColumns({"spans": F.coalesce("spans", no_spans), "items": F.coalesce("items", no_items)}).unionByName(clean)
+    return both.select(F.col("id").alias(id_column), "n_words", "spans", "items")
 
 
 def drop_contaminated(
-    docs: DataFrame, items: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES, text: str = "text", item_id: str = "item_id", item_text: str = "text",
+    docs: DataFrame, items: DataFrame, window: int = WINDOW, text: str = "text", item_id: str = "item_id", item_text: str = "text",
 ) -> DataFrame:
     """The rows of ``docs``, with their own columns, that are not ``contaminated``."""
-    others = F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in docs.columns if c != text])
-    rows = docs.select(others.alias("_id"), F.col(text).cast("binary").alias("_text"))
-    found = searched(rows, items, window, block_bytes, item_id, item_text).where(~contaminated(hit_words(), F.col("n_words")))
-    columns = {c: F.col("_text").cast("string").alias(c) if c == text else F.col("_id")[c].alias(c) for c in docs.columns}
-    return found.select(*columns.values())
-
-
-def searched(rows: DataFrame, items: DataFrame, window: int, block_bytes: int, item_id: str, item_text: str) -> DataFrame:
-    """``rows`` (_id, _text) with n_words, spans and items."""
-    spark = rows.sparkSession
-    texts = rows.select("_text")
-    nothing = F.array().cast("array<struct<start:bigint,end:bigint>>")
-    rows = rows.withColumns({"n_words": F.lit(-1).cast("bigint"), "spans": nothing, "items": F.array().cast("array<string>")})
-    schema, blocks = rows.schema, item_blocks(items, item_id, item_text, block_bytes)
-    for number, block in enumerate(blocks or [None]):
-        found = [] if block is None else [(r["item"], bytes(r["text"])) for r in block.collect()]
-        windows = Windows(found, window)
-        if windows.windows:
-            windows.choose(shingle_frequencies(texts, windows))
-        shared = spark.sparkContext.broadcast(windows)
-
-        def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            index = shared.value
-            for batch in batches:
-                n_words, spans, items_found = [], batch.column(3).to_pylist(), batch.column(4).to_pylist()
-                row = 0
-                for some in groups(batch.column(1)):
-                    lengths, occurrences = index.search(some)
-                    n_words += lengths.tolist()
-                    for hits in occurrences:
-                        if hits:
-                            known = [[s["start"], s["end"]] for s in spans[row]]
-                            merged = union(known + [[start, start + size] for start, size, _ in hits])
-                            spans[row] = [{"start": start, "end": end} for start, end in merged]
-                            names = {name for _, _, w in set(hits) for name in index.owners[w] if name}
-                            items_found[row] = sorted(names.union(items_found[row]))
-                        row += 1
-                columns = [batch.column(0), batch.column(1), pa.array(n_words, pa.int64())]
-                columns += [pa.array(spans, batch.schema.field(3).type), pa.array(items_found, batch.schema.field(4).type)]
-                yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
-
-        rows = rows.mapInArrow(search, schema)
-        if number + 1 < len(blocks):
-            rows = materialize(rows, "searched")
-    return rows
-
-
-def shingle_frequencies(texts: DataFrame, windows: Windows) -> Counter:
-    """How often each item shingle occurs in all documents; at most one row per shingle of the
-    block and task is shuffled."""
-    shared = texts.sparkSession.sparkContext.broadcast(windows)
+    looked, found = _searched(docs, F.lit(None).cast("int"), items, window, text, item_id, item_text)
+    sizes = looked.where(F.size("found") > 0).groupBy("t").agg(F.max("n_words").alias("n_words"))
+    bad = found.join(sizes, "t").where(contaminated(hit_words(), F.col("n_words"))).select("t")
+    rows = docs.select(F.struct(F.col("*")).alias("row"), _text_name(text).alias("t"))
+    return rows.join(bad, "t", "left_anti").select("row.*")
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: Counter = Counter()
-        for batch in batches:
-            for some in groups(batch.column(0)):
-                total.update(shared.value.frequencies(some))
-        k, place = zip(*total, strict=True) if total else ((), ())
-        yield pa.RecordBatch.from_arrays([pa.array(k, pa.int32()), pa.array(place, pa.int64()), pa.array(total.values(), pa.int64())], ["k", "place", "n"])
 
-    counted = texts.mapInArrow(count, "k int, place bigint, n bigint").groupBy("k", "place").agg(F.sum("n").alias("n"))
-    return Counter({(r["k"], r["place"]): r["n"] for r in counted.collect()})
+def _text_name(text: str) -> Column:
+    return F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")))
+
+
+def _searched(docs: DataFrame, id_column: Column, items: DataFrame, window: int, text: str, item_id: str, item_text: str) -> tuple[DataFrame, DataFrame]:
+    """Documents as ``candidates`` gives them, and (t, spans, items) of the texts with occurrences."""
+    owners = items.where(F.col(item_text).isNotNull()).select(
+        _text_name(item_text).alias("item_text"), F.col(item_id).cast("string").alias("item"), F.col(item_text).cast("binary").alias("text")
+    )
+    windows = materialize(cut_windows(owners.select("item_text", "text").dropDuplicates(["item_text"]), window), "windows")
+    rows = docs.select(id_column.alias("_id"), _text_name(text).alias("t"), F.col(text).cast("binary").alias("text"))
+
+    counts = materialize(shingle_counts(rows.select("text"), sieve(windows.select(F.explode("keys").alias("key")))), "counts")
+    chosen = materialize(rarest(windows.drop("item_text").dropDuplicates(["w"]), counts), "chosen")
+    looked = materialize(candidates(rows, sieve(chosen.select("key")), window), "looked")
+    hits = materialize(occurrences(looked, chosen), "hits")
+
+    listed = hits.select("t", "w").distinct().join(windows.select("w", "item_text").distinct(), "w").select("t", "item_text").distinct()
+    named = listed.join(owners.where("item is not null").select("item_text", "item").distinct(), "item_text")
+    named = named.groupBy("t").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    return looked, covered(hits).join(named, "t", "left")
 
 
 def hit_words(spans: str = "spans"):
@@ -230,5 +265,3 @@ def hit_words(spans: str = "spans"):
 def contaminated(n_hit, n_words):
     """A twentieth of the words or more."""
     return (n_hit > 0) & (20 * n_hit >= n_words)
-
-
