@@ -51,6 +51,40 @@ def test_columns_are_bound_by_name_and_bad_files_do_not_stop_good_ones(spark, tm
     assert "notes.txt" not in log and log["part-1.csv"] == ("HOT", 1, "success", None)
 
 
+def test_rows_of_all_layouts_are_read_in_one_scan(spark, tmp_path, capsys):
+    (tmp_path / "in").mkdir()
+    orders = ["date,open,high,low,close,volume", "volume,close,low,high,open,date", "x,date,open,high,low,close,volume,y", "date,date"]
+    for n, order in enumerate(orders):
+        cells = {"date": "2024-01-02", "open": "1", "high": "2", "low": "3", "close": "4", "volume": str(n)}
+        row = ",".join(cells.get(c, "?") for c in order.split(","))
+        (tmp_path / "in" / f"S{n}.csv").write_text(f"{order}\n{row}\n{order}\n2024-01-03\n")
+    rows, files = prices.read_price_files(spark, str(tmp_path / "in"))
+    rows.explain()
+    assert capsys.readouterr().out.count("FileScan csv") == 1
+    got = {}
+    for r in rows.collect():
+        got.setdefault(r.symbol, []).append(tuple(r)[1:7])
+    none = (None,) * 5
+    for n, short in enumerate([("2024-01-03", *none), (*none, "2024-01-03"), (None, *none)]):
+        # a header that comes again is a row as any other, for the validation to judge
+        rows_of = [("2024-01-02", "1", "2", "3", "4", str(n)), ("date", "open", "high", "low", "close", "volume"), short]
+        assert sorted(got[f"S{n}"], key=str) == sorted(rows_of, key=str)
+    assert set(got) == {"S0", "S1", "S2"} and files.where("error is not null").count() == 1
+
+
+def test_broken_files_are_found_without_a_list_of_all(spark, tmp_path, monkeypatch):
+    (tmp_path / "in").mkdir()
+    for n in range(40):
+        whole = gzip.compress(b"date,open\n2024-01-02,1\n")
+        (tmp_path / "in" / f"{n}.csv.gz").write_bytes(b"no gzip" if n in (7, 8, 31) else whole)
+    frame, collected = type(spark.range(1)), []
+    plain = frame.collect
+    monkeypatch.setattr(frame, "collect", lambda self: collected.append(plain(self)) or collected[-1])
+    found = prices.broken_files(spark, str(tmp_path / "in"), "*.csv*")
+    assert sorted(f.rsplit("/", 1)[1] for f in found) == ["31.csv.gz", "7.csv.gz", "8.csv.gz"]
+    assert max(map(len, collected)) <= 2
+
+
 def test_a_folder_of_bad_files_lands_nothing(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "X.csv").write_text("a,b\n1,2\n")

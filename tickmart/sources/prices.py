@@ -5,7 +5,6 @@ from __future__ import annotations
 import csv
 import datetime as dt
 import uuid
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
@@ -58,21 +57,23 @@ def broken_files(spark: SparkSession, path: str, glob: str = "*.csv") -> list[st
     """Paths of the files that cannot be read to their end, however often their task is tried.
 
     Found by halving: files are read together, and apart if that fails, so a few broken ones among
-    n files cost a few jobs times log n. The driver holds the paths, as Spark's own listing does.
+    n files cost a few jobs times log n. Halves are told by a hash of the path, which Spark applies to its
+    listing, so others are not opened and the driver holds the broken paths alone.
     """
     lines = _options(spark.read, glob).text(path)
-    names = _options(spark.read.format("binaryFile"), glob).load(path).select("_metadata.file_path")
-    todo, broken = [sorted(r[0] for r in names.collect())], []
+    listed = _options(spark.read.format("binaryFile"), glob).load(path).select(F.col("_metadata.file_path").alias("_path"))
+    todo, broken = [(1, 0)], []
     while todo:
-        some = todo.pop()
+        parts, number = todo.pop()
+        mine = lambda of: F.pmod(F.xxhash64(of), F.lit(parts)) == number  # noqa: B023, E731
         try:
-            lines.where(F.col("_metadata.file_path").isin(some)).count()
+            lines.where(mine("_metadata.file_path")).count()
         except Exception as error:
             if not _is_read_error(error):
                 raise
-            half = len(some) // 2
-            if half:
-                todo += [some[:half], some[half:]]
+            some = [r["_path"] for r in listed.where(mine("_path")).limit(2).collect()]
+            if len(some) > 1:
+                todo += [(2 * parts, number), (2 * parts, number + parts)]
             else:
                 broken += some
     return broken
@@ -93,38 +94,47 @@ def read_price_files(spark: SparkSession, path: str, glob: str = "*.csv") -> tup
     """All-text price rows with symbol and path; and every file's path, with an error if the file or
     its header cannot be used.
 
-    Spark binds a given schema by position, so files are read in groups of equal header, of which
-    there are a few; the driver holds the headers, not the files. Of several groups each finds its
-    own files by a join on the path. A file that breaks off before its end is an error as a whole, and
+    One pass finds the headers and one reads the rows, however many layouts there are: Spark reads columns
+    by position, and those of a name lie where its file's header has them. The driver holds the layouts,
+    of which there are a few, not the files. A file that breaks off before its end is an error as a whole, and
     none of its rows are read; a read error that passes fails the task, which Spark tries again.
     """
     headers, broken = _readable(spark, path, glob)
-    frames, errors = [], []
+    layouts, errors = {}, []
     # one row per layout: files of one kind share their header
-    layouts = [r["header"] for r in headers.groupBy("header").count().orderBy("header").collect()]
-    listed = list_files(spark, path, glob)
-    for header in layouts:
+    found = [r["header"] for r in headers.groupBy("header").count().orderBy("header").collect()]
+    for header in found:
         names = [name.strip() for name in next(csv.reader([header]), [])]
         lacking = [c for c in PRICE_TEXT if names.count(c) != 1]
         if lacking:
             errors.append((header, "header lacks or repeats: " + ", ".join(lacking)))
-            continue
-        # other columns get positional names: they are not read, and may repeat
-        ddl = ", ".join(f"`{n if n in PRICE_TEXT else f'_x{i}'}` string" for i, n in enumerate(names))
+        else:
+            layouts[header] = names
+    rows = spark.createDataFrame([], ", ".join(f"{c} string" for c in (*PRICE_TEXT, "_path")))
+    if layouts:
+        ddl = ", ".join(f"_c{i} string" for i in range(max(len(names) for names in layouts.values())))
         reader = _options(spark.read.schema(ddl).option("header", True).option("enforceSchema", True), glob)
-        rows = _without(reader.csv(path), broken).select(*PRICE_TEXT, F.col("_metadata.file_path").alias("_path"))
-        if len(layouts) > 1:
-            rows = rows.join(headers.where(F.col("header") == header).select("_path"), "_path", "left_semi")
-        frames.append(rows.select(*PRICE_TEXT, "_path"))
-    empty = spark.createDataFrame([], ", ".join(f"{c} string" for c in (*PRICE_TEXT, "_path")))
-    rows = reduce(DataFrame.unionByName, frames, empty)
+        rows = _without(reader.csv(path), broken).select("*", F.col("_metadata.file_path").alias("_path"))
+        if len(found) > 1:
+            rows = rows.join(headers.where(F.col("header").isin(list(layouts))), "_path")
+        rows = rows.select(*[_column(name, layouts, len(found) > 1).alias(name) for name in PRICE_TEXT], "_path")
     rows = rows.select(file_symbol(F.col("_path")).alias("symbol"), *PRICE_TEXT, "_path")
     wrong = spark.createDataFrame(errors, "header string, error string")
-    files = listed.join(headers, "_path", "left").join(F.broadcast(wrong), "header", "left")
+    files = list_files(spark, path, glob).join(headers, "_path", "left").join(F.broadcast(wrong), "header", "left")
     unread = F.when(F.col("header").isNull(), F.lit("the file cannot be read"))
     return rows, files.select("_path", F.coalesce("error", unread).alias("error"))
 
 
+def _column(name: str, layouts: dict[str, list[str]], several: bool) -> Column:
+    """Where ``header`` has the name; the only layout needs no header."""
+    places: dict[int, list[str]] = {}
+    for header, names in layouts.items():
+        places.setdefault(names.index(name), []).append(header)
+    if not several:
+        return F.col(f"_c{next(iter(places))}")
+    return F.coalesce(*[F.when(F.col("header").isin(headers), F.col(f"_c{i}")) for i, headers in places.items()])
+
+
 def tag_lineage(rows: DataFrame, source_name: str, filename: Column, loaded_at: Column | None = None) -> DataFrame:
     stamp = loaded_at if loaded_at is not None else F.localtimestamp()
     return rows.withColumns(
