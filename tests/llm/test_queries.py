@@ -44,3 +44,11 @@ def test_rows_are_those_of_sql(spark, sf, name):
     message, rows = difference(spark, database(sf), sf, QUERIES[name], ORACLES[name])
     assert not message
     assert rows > 0
+
+
+def test_revisits_of_the_query_have_every_outcome(spark, sf):
+    rows = QUERIES["op3_warc_revisits"](spark, sf).select("record_id", "resolved_id", "outcome").collect()
+    found = {o: sum(r["outcome"] == o for r in rows) for o in ("resolved", "mismatch", "unproven", "unknown")}
+    assert min(found.values()) > 0 and sum(found.values()) == len(rows)
+    # responses right before and further back
+    assert {r["resolved_id"] - r["record_id"] for r in rows if r["outcome"] == "resolved"} == {1, 2}

@@ -50,24 +50,38 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM par
 
 # Addresses in these tables have no user, port, upper case or dot segments.
 WARC_REVISITS = """
-WITH fetched AS (
-    SELECT page_id, regexp_replace(url, '#.*$', '') AS canonical_url, md5(coalesce(html, '')) AS tag,
-        CAST(octet_length(encode(coalesce(html, ''))) AS VARCHAR) AS size,
-        strftime(TIMESTAMP '2024-01-01' + to_minutes(CAST(page_id % 1000000 AS INT)), '%Y-%m-%d %H:%M:%S') AS day
-    FROM pages
-), paired AS (
-    SELECT r.page_id, r.canonical_url, r.day, CASE WHEN r.page_id % 7 = 3 THEN 'gone' ELSE r.tag END AS tag,
-        f.page_id AS source, f.tag AS source_tag, f.size
-    FROM fetched r ASOF JOIN fetched f ON r.canonical_url = f.canonical_url AND r.page_id >= f.page_id
+WITH steps(number, kind, version) AS (
+    VALUES (0, 'revisit', 1), (1, 'response', 1), (2, 'revisit', 1), (3, 'response', 2), (4, 'revisit', 0), (5, 'revisit', 2)
+), seen AS (
+    SELECT 6 * page_id + 5 - number AS record_id, 6 * page_id + number AS second, kind, page_id % 4 AS way,
+        regexp_replace(url, '#.*$', '') AS canonical_url, CAST(octet_length(encode(coalesce(html, ''))) AS VARCHAR) AS size,
+        CASE WHEN version > 0 THEN version WHEN page_id % 3 = 0 THEN 1 ELSE 2 END AS about,
+        NOT (number = 5 AND page_id % 5 = 4) AS named, md5(coalesce(html, '')) AS name
+    FROM pages, steps
+), records AS (
+    SELECT *, name || '-' || about AS tag,
+        strftime(TIMESTAMP '2024-01-01' + to_seconds(second), '%Y-%m-%d %H:%M:%S') AS day
+    FROM seen
+), responses AS (
+    SELECT canonical_url, second, record_id AS source, size AS source_size, tag AS source_tag, about AS source_about, way AS source_way
+    FROM records WHERE kind = 'response'
+), judged AS (
+    SELECT r.*, f.source, f.source_size, CASE
+        WHEN f.source IS NULL THEN 'unknown'
+        WHEN NOT named OR source_way = 3 THEN 'unproven'
+        WHEN source_way = 1 AND about = source_about OR source_way <> 1 AND tag = source_tag THEN 'resolved'
+        ELSE 'mismatch' END AS outcome
+    FROM (FROM records WHERE kind = 'revisit') r
+    ASOF LEFT JOIN responses f ON r.canonical_url = f.canonical_url AND r.second >= f.second
 )
-SELECT 2 * page_id + 1 AS record_id, canonical_url,
-    CASE WHEN tag = source_tag THEN 2 * source END AS resolved_id,
-    CASE WHEN tag = source_tag THEN 'resolved' ELSE 'mismatch' END AS outcome,
-    CASE WHEN tag = source_tag THEN 'W/' || tag END AS etag,
-    CASE WHEN tag = source_tag THEN size END AS content_length,
-    CASE WHEN tag = source_tag THEN day END AS date,
-    CASE WHEN tag = source_tag THEN 'never' END AS expires
-FROM paired
+SELECT record_id, canonical_url,
+    CASE WHEN outcome = 'resolved' THEN source END AS resolved_id,
+    outcome,
+    CASE WHEN outcome = 'resolved' THEN 'W/' || tag END AS etag,
+    CASE WHEN outcome = 'resolved' THEN source_size END AS content_length,
+    CASE WHEN outcome = 'resolved' THEN day END AS date,
+    CASE WHEN outcome = 'resolved' THEN 'never' END AS expires
+FROM judged
 """
 
 HARD_NEGATIVES = """

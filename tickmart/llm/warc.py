@@ -127,33 +127,47 @@ def resolve_revisits(records: DataFrame, permitted: tuple[str, ...] = PERMITTED)
     )
 
 
+#: What happens at an address, a second apart: record type and the version of the page it is about (0: the
+#: second version, and the first where page ids are divisible by 3).
+STEPS = (("revisit", 1), ("response", 1), ("revisit", 1), ("response", 2), ("revisit", 0), ("revisit", 2))
+
+
 def capture_records(pages: DataFrame) -> DataFrame:
-    """A crawl's records made from pages, as RECORD: each page is fetched twice, a minute per page
-    id apart. The first fetch is a full response with the page's digest as its entity tag. The
-    second is a revisit that asks for the same address, spelled otherwise, and names the tag of the
-    page it saw; of every seventh page that is an outdated one. Pages of one address follow one
-    another, so a revisit must find the latest response before it."""
-    page = F.coalesce(F.col("page_id"), F.lit(-1))
-    minute = F.make_interval(mins=page.cast("int") % 1_000_000)
-    at = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + minute
-    digest = F.md5(F.coalesce(F.col("html"), F.lit("")))
-    size = F.octet_length(F.coalesce(F.col("html"), F.lit(""))).cast("string")
-    day = F.date_format(at, "yyyy-MM-dd HH:mm:ss")
-
-    def fields(**values: Column) -> Column:
-        return F.create_map(*[x for name, value in values.items() for x in (F.lit(name.replace("_", "-")), value)])
-
-    response = pages.select(
-        (2 * page).alias("record_id"), F.lit("response").alias("type"), F.col("url"), at.alias("at"),
-        fields(ETag=digest, Content_Length=size, Content_Type=F.lit("text/html"), Date=day).alias("headers"),
-        F.lit(None).cast("string").alias("digest"),
-    )
-    stale = page % 7 == 3
-    spelled = F.concat(F.regexp_replace("url", "^http", "HTTP"), F.lit("#part"))
-    revisit = pages.select(
-        (2 * page + 1).alias("record_id"), F.lit("revisit").alias("type"), spelled.alias("url"),
-        (at + F.expr("interval 30 seconds")).alias("at"),
-        fields(etag=F.when(stale, F.lit("gone")).otherwise(F.concat(F.lit("W/"), digest)), content_length=F.lit("0"), date=day, expires=F.lit("never")).alias("headers"),
-        F.lit(None).cast("string").alias("digest"),
-    )
-    return response.unionByName(revisit)
+    """A crawl's records made from pages, as RECORD: each page's address is seen six times (STEPS), in two
+    versions. Record ids fall with time inside an address, and revisits spell it otherwise.
+
+    By page ids modulo 4 the responses carry an entity tag, a last-modified date, a payload digest or no
+    validator. Revisits carry all three of the version they are about, but for the last one where page ids
+    modulo 5 are 4, which has none. So a revisit follows no response, one, or several of other versions,
+    directly or not, and each outcome occurs."""
+    page = F.coalesce(F.col("page_id"), F.lit(-1)).cast("bigint")
+    body, way = F.coalesce(F.col("html"), F.lit("")), F.pmod(page, F.lit(4))
+    name, size = F.md5(body.cast("binary")), F.octet_length(body).cast("string")
+    again = F.concat(F.regexp_replace("url", "^http", "HTTP"), F.lit("#part"))
+    rows = pages.select("url", page.alias("page"), way.alias("way"), name.alias("name"), size.alias("size"), again.alias("again"))
+
+    def record(number: int, kind: str, version: int) -> Column:
+        page, way = F.col("page"), F.col("way")
+        about = F.lit(version) if version else F.when(F.pmod(page, F.lit(3)) == 0, 1).otherwise(2)
+        tag = F.concat(F.col("name"), F.lit("-"), about.cast("string"))
+        modified, digest = F.concat(F.lit("version "), about.cast("string")), F.concat(F.lit("md5:"), tag)
+        seconds = 6 * page + number
+        at = (F.timestamp_seconds(F.unix_seconds(F.lit("2024-01-01 00:00:00").cast("timestamp")) + seconds)).cast("timestamp_ntz")
+        day, text = F.date_format(at, "yyyy-MM-dd HH:mm:ss"), F.lit("text/html")
+        if kind == "response":
+            url = F.col("url")
+            fields = {"ETag": F.when(way == 0, tag), "Last-Modified": F.when(way == 1, modified), "Content-Length": F.col("size"), "Content-Type": text, "Date": day}
+            digest = F.when(way == 2, digest)
+        else:
+            url = F.col("again")
+            named = (F.pmod(page, F.lit(5)) != 4) if number == 5 else F.lit(True)
+            fields = {"etag": F.when(named, F.concat(F.lit("W/"), tag)), "last-modified": F.when(named, modified), "content-length": F.lit("0"), "date": day, "expires": F.lit("never")}
+            digest = F.when(named, digest)
+        pairs = F.create_map(*[x for field, value in fields.items() for x in (F.lit(field), value)])
+        headers = F.map_filter(pairs, lambda _, value: value.isNotNull())
+        return F.struct(
+            (6 * page + 5 - number).alias("record_id"), F.lit(kind).alias("type"), url.alias("url"), at.alias("at"), headers.alias("headers"), digest.alias("digest")
+        )
+
+    seen = F.array(*[record(number, kind, version) for number, (kind, version) in enumerate(STEPS)])
+    return rows.select(F.explode(seen).alias("record")).select("record.*")
