@@ -343,12 +343,83 @@ def test_extreme_prices_lose_nothing(warehouse):
 def test_facts_that_break_constraints_stop_the_load(warehouse, monkeypatch):
     wh = warehouse()
     stage(wh, [tick("A", "2024-01-02 09:30", 1)], 1)
-    monkeypatch.setattr(load, "fact_of", lambda *a, f=load.fact_of: f(*a).unionByName(f(*a)))
+    monkeypatch.setattr(load, "enrich", lambda *a, f=load.enrich: f(*a).unionByName(f(*a)))
     with pytest.raises(ValueError, match="one fact per time and instrument: 1"):
         load.incremental_load(wh)
     assert control.last_status(wh) == "failed" and wh.read("fact_15min_stock_price").count() == 0
 
 
+@pytest.mark.parametrize(
+    "name, change, rule",
+    [
+        ("symbol_keys", lambda keys: keys.withColumn("fk_instrument_id", F.lit(1).cast("bigint")), "one symbol per instrument: 1"),
+        ("symbol_keys", lambda keys: keys.withColumn("fk_company_id", F.lit(77).cast("bigint")), "known company: 2"),
+        ("symbol_keys", lambda keys: keys.withColumn("fk_exchange_id", F.lit(77).cast("bigint")), "known exchange: 2"),
+        ("symbol_keys", lambda keys: keys.withColumn("fk_instrument_id", F.col("fk_instrument_id") + 5), "known instrument: 2"),
+        ("symbol_keys", lambda keys: keys.where("symbol = 'A'"), "fk_instrument_id is there: 1"),
+        ("fact_rows", lambda facts: facts.withColumn("fk_status_id", F.lit(None).cast("bigint")), "fk_status_id is there: 3"),
+        ("with_flags", lambda bars: bars.withColumn("_known_time", F.expr("hour(interval_start) = 9")), "known time: 1"),
+    ],
+)
+def test_every_rule_of_the_facts_stops_the_load(warehouse, monkeypatch, name, change, rule):
+    wh = warehouse()
+    stage(wh, [tick("A", "2024-01-02 09:30", 1), tick("A", "2024-01-02 10:00", 1), tick("B", "2024-01-02 09:30", 1)], 1)
+    monkeypatch.setattr(load, name, lambda *a, f=getattr(load, name): change(f(*a)))
+    with pytest.raises(ValueError, match=rule):
+        load.incremental_load(wh)
+    assert control.last_status(wh) == "failed" and wh.read("fact_15min_stock_price").count() == 0
+
+
+def test_times_outside_the_calendar_stop_the_load(warehouse, monkeypatch):
+    wh = warehouse()
+    stage(wh, [tick("A", "2024-01-02 09:30", 1), tick("A", "2024-01-02 10:00", 1)], 1)
+    monkeypatch.setattr(load.dims, "date_rows", lambda bars, f=load.dims.date_rows: f(bars).where("hour = 9"))
+    with pytest.raises(ValueError, match="known time: 1"):
+        load.full_load(wh)
+
+
+def test_bars_without_a_time_zone_stop_the_load(warehouse, monkeypatch):
+    wh = warehouse()
+    stage(wh, [tick("A", "2024-01-02 09:30", 1)], 1)
+    nameless = lambda *a, f=load.to_bars: f(*a).withColumn("timezone", F.lit(None).cast("string"))
+    monkeypatch.setattr(load, "to_bars", nameless)
+    with pytest.raises(ValueError, match="1 bars lack"):
+        load.incremental_load(wh)
+
+
+def test_values_wider_than_the_design_are_loaded_and_logged(warehouse):
+    wh = warehouse()
+    stage(wh, [tick("A", "2024-01-01 09:30", "0.001"), tick("A", "2024-01-02 09:30", "99"), tick("LONGERTHANTEN", "2024-01-02 09:30", "1")], 1)
+    load.incremental_load(wh)
+    stage(wh, [tick("A", "2024-01-03 09:30", "99")], 2)
+    load.incremental_load(wh)
+    assert wh.read("fact_15min_stock_price").count() == 4
+    assert sorted(tuple(r) for r in wh.read("load_checks").collect()) == [
+        (1, "dim_instrument.symbol of 10 characters at most", 1),
+        (1, "price_change_pct of 4 digits before the point at most", 1),
+    ]
+
+
+def test_checking_facts_neither_shuffles_nor_reads_them_again(warehouse, monkeypatch):
+    wh = warehouse()
+    stage(wh, [tick("A", "2024-01-02 09:30", 1)], 1)
+    load.full_load(wh)
+    plans = []
+    keep = lambda df, name, f=load.materialize: (plans.append((name, df)), f(df, name))[1]
+    monkeypatch.setattr(load, "materialize", keep)
+    read = []
+    monkeypatch.setattr(checks, "check_fk", lambda df, *a, f=checks.check_fk: (read.append(df.columns), f(df, *a))[1])
+    bars = wh.read("agg_15min_raw").drop("yyyymm")
+    links = load.day_links(wh.read("bar_days"))
+    load.checked_facts(wh, load.enrich(bars, links), 1)
+    checked = dict(plans)["facts"]._jdf.queryExecution().executedPlan().toString()
+    plain = load.fact_of(wh, load.enrich(bars, links), 1)._jdf.queryExecution().executedPlan().toString()
+    # the calendar's days are put together by one exchange; nothing else is new
+    assert "CollectMetrics" in checked and checked.count("Exchange hashpartitioning(symbol") == plain.count("Exchange hashpartitioning(symbol")
+    assert checked.count("Scan parquet") == plain.count("Scan parquet") + 1
+    assert read and all("close_price" not in columns for columns in read)
+
+
 def test_runs_leave_no_scratch_and_few_log_files(warehouse, tmp_path, spark):
     wh = warehouse()
     root = pathlib.Path(scratch_root(spark).removeprefix("file:"))

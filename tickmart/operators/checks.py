@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -25,6 +25,20 @@ def check_bounds(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     ).select("r.*")
 
 
+def watch(df: DataFrame, rules: dict[str, Column]) -> tuple[DataFrame, Observation]:
+    """check_bounds without a pass of its own: the rows are counted on their way into what is written
+    next. A task that runs again may count its rows again, so a rule that holds has no violation, and
+    one that is broken has at least those reported once."""
+    seen = Observation()
+    counts = [F.count_if(~F.coalesce(ok, F.lit(False))).alias(n) for n, ok in rules.items()]
+    return df.observe(seen, *counts), seen
+
+
+def violated(seen: Observation) -> dict[str, int]:
+    """The broken rules of ``watch``, once the rows are written."""
+    return {rule: n for rule, n in seen.get.items() if n}
+
+
 def check_fk(fact: DataFrame, fk: str, dim: DataFrame, key: str, rule: str) -> DataFrame:
     """Fact rows whose key is not in the dimension. Facts shrink to one row per key first."""
     used = fact.where(F.col(fk).isNotNull()).groupBy(F.col(fk).alias(key)).agg(F.count("*").alias("n"))

@@ -62,6 +62,21 @@ def enrich(bars: DataFrame, links: DataFrame | None = None) -> DataFrame:
     )
 
 
+def with_flags(enriched: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """Adds what the load checks of every bar: ``_repeated`` (an earlier bar of the symbol has its time)
+    and ``_known_time`` (its time is in the calendar).
+
+    The window is that of ``enrich``, so nothing is shuffled again, and the calendar comes as one row a day,
+    with the times of the day.
+    """
+    times = dim_date.groupBy(F.col("date").alias("trade_day")).agg(F.collect_set("sk_date_id").alias("_times"))
+    at = smart_key(F.col("interval_start"))
+    before = F.lag(at).over(_day_window())
+    flagged = enriched.withColumn("_repeated", F.coalesce(before == at, F.lit(False)))
+    flagged = lookup_join(flagged, times, ["trade_day"])
+    return flagged.withColumn("_known_time", F.coalesce(F.array_contains("_times", at), F.lit(False))).drop("_times")
+
+
 def price_metrics(enriched: DataFrame) -> DataFrame:
     close, previous = F.col("close"), F.col("previous_close")
     return enriched.withColumns(
@@ -94,8 +109,9 @@ def symbol_keys(dim_instrument: DataFrame, dim_company: DataFrame, companies: Da
     return keyed.join(company, "_key", "left").join(exchange, "_key", "left").drop("_key")
 
 
-def fact_rows(enriched: DataFrame, keys: DataFrame, dim_trade_status: DataFrame, audit_id: int) -> DataFrame:
-    """Fact rows from enriched bars. ``keys`` (symbol_keys) should be written or small."""
+def fact_rows(enriched: DataFrame, keys: DataFrame, dim_trade_status: DataFrame, audit_id: int, also: tuple[str, ...] = ()) -> DataFrame:
+    """Fact rows from enriched bars. ``keys`` (symbol_keys) should be written or small. Columns named in
+    ``also`` come along."""
     status = dim_trade_status.select(F.col("agg_status").alias("_status"), F.col("sk_status_id").alias("fk_status_id"))
     rows = price_metrics(enriched).withColumn("_status", m.trade_status(F.col("trade_count")))
     # three statuses at most
@@ -111,4 +127,5 @@ def fact_rows(enriched: DataFrame, keys: DataFrame, dim_trade_status: DataFrame,
         *[F.col(p).alias(f"{p}_price") for p in ("open", "high", "low", "close")],
         *FACT_MEASURES[4:],
         yyyymm(F.col("interval_start")).alias("yyyymm"),
+        *also,
     )

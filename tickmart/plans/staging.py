@@ -241,7 +241,7 @@ def compact_staging(wh: Warehouse, through: int) -> int:
 
 def compact_logs(wh: Warehouse) -> None:
     """Logs of many small files as one file each."""
-    for name in ("staging_log", "staging_attempts", "landing_log", "staged_landings", "ingest_log", "dim_meta_audit_log", "delta_log"):
+    for name in ("staging_log", "staging_attempts", "landing_log", "staged_landings", "ingest_log", "dim_meta_audit_log", "load_checks", "delta_log"):
         wh.compact_log(name)
 
 

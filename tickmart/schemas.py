@@ -40,6 +40,21 @@ FILE_ORDER = {
 # A write to these goes to a single partition, so its rows need no shuffle to meet there.
 ONE_PARTITION_A_WRITE = ("landing_prices", "rejected_prices", "elt_control")
 
+# Widths of columns in the design. Spark's text and wider numbers hold more, so a value
+# beyond them is loaded, and logged.
+LENGTHS: dict[str, dict[str, int]] = {
+    "dim_date": {"day_name": 20, "month_name": 20, "granularity": 20, "timezone": 50},
+    "dim_exchange": {"exchange_code": 10, "exchange_name": 255},
+    "dim_company": {
+        "symbol": 10, "company_name": 255, "ceo": 255, "currency": 10, "sector": 100, "industry": 100,
+        "country": 100, "state": 100, "city": 100, "zip": 20, "address": 255,
+    },
+    "dim_instrument": {"instrument_type": 50, "symbol": 10, "name": 255, "currency": 10},
+    "dim_trade_status": {"agg_status": 20},
+}
+# Digits before the point.
+FACT_DIGITS = {"price_change": 12, "price_change_pct": 4, "price_range": 12}
+
 # name -> (columns, partition columns)
 TABLES: dict[str, tuple[str, tuple[str, ...]]] = {
     "landing_prices": (
@@ -109,6 +124,8 @@ TABLES: dict[str, tuple[str, tuple[str, ...]]] = {
         "execution_end_ts timestamp_ntz, execution_time decimal(12,2), status string",
         (),
     ),
+    # rules that rows of a run break without stopping it
+    "load_checks": ("fk_audit_id bigint, rule string, violations bigint", ()),
     "elt_control": (
         "id bigint, last_processed timestamp_ntz, last_batch_id bigint, "
         "last_run_ts timestamp_ntz, status string, settings string, job_name string",
