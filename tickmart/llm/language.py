@@ -137,7 +137,8 @@ def learn_languages(
 
 def identify_languages(docs: DataFrame, languages: Languages, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: id, best (the language that compresses best), lang ('und' where
-    the margin is narrow), score.
+    the margin is narrow), score. Of languages that compress a text equally well the first by name
+    is best, with score 0.
 
     A null text, and one without a letter, is 'und' with score 0, as is every text if nothing was
     learned. Texts are read whole, in blocks; repeated rows are judged one by one; an empty table

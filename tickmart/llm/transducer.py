@@ -1,8 +1,9 @@
 """A byte-pair tokenizer compiled to finite-state transducers that count tokens.
 
 Two machines run one after the other. The first reads character classes and cuts a text where the
-tokenizer's pattern cuts it; a text is cut further into chunks, whose state maps compose. The second
-reads the bytes of a piece. Its transitions carry the change in the number of tokens that the prefix
+tokenizer's pattern cuts it. The second reads the bytes of a piece, a long piece as chunks that each begin in
+a guessed state and are read again where the chunk before ended in another (not the prefix scan over whole
+state maps: most states are not known before a text needs them). Its transitions carry the change in the number of tokens that the prefix
 read so far encodes to. It is built from the merges, state by state as texts need them, like a lazily
 determinized automaton, and forgotten when it outgrows ``MOST_STATES``.
 
@@ -22,7 +23,7 @@ from functools import lru_cache
 import numpy as np
 
 MOST_STATES = 120_000
-#: Bytes of a chunk; longer pieces are read as several chunks whose state maps are composed.
+#: Bytes of a chunk; longer pieces are read as several chunks, side by side.
 CHUNK = 64
 #: Text bytes that the machines read at once.
 BLOCK = 1 << 19
@@ -144,8 +145,8 @@ class PieceMachine:
         return found
 
     def run(self, data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, states: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The state maps of chunks at the given entry states: exit states and token gains. All
-        chunks advance together, a byte at a time."""
+        """Exit states and token gains of chunks from the given entry states. All chunks advance
+        together, a byte at a time."""
         columns = self.columns(data)
         order = np.argsort(-lengths, kind="stable")
         at, state, left = starts[order], states[order].copy(), lengths[order]
@@ -168,9 +169,9 @@ class PieceMachine:
 
     def count(self, data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Tokens of each piece. Long pieces are read as chunks. A chunk's entry is its
-        predecessor's exit, so maps are first taken at guessed entries, and again where the guess was
-        wrong; as merges seldom reach far, nearly all chunks are right after two rounds, and the
-        piece's count is the sum of its chunks' gains."""
+        predecessor's exit, so chunks are first read from guessed entries, and again where the guess was
+        wrong; as merges seldom reach far, nearly all chunks are right after two rounds (at worst a
+        round a chunk), and the piece's count is the sum of its chunks' gains."""
         if len(self.keys) > self.most_states:
             self.reset()
         per = np.maximum(1, -(-lengths // CHUNK))
