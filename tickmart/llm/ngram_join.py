@@ -8,7 +8,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickmart.llm.batches import runs, slices
@@ -26,6 +26,8 @@ STEP = 32
 TOLERANCE = 1e-6
 #: Rows that are compared with one another in one group; larger groups are compared block by block.
 BLOCK = 512
+#: Columns of what is compared: the pair of blocks, the row's own block, and the row.
+DEALT = ("cluster", "low", "high", "_mine", "class", "copies", "members", "signature", "excess")
 
 
 @lru_cache
@@ -105,12 +107,13 @@ def overlaps(sets: list[np.ndarray], rows: int) -> np.ndarray:
     return np.rint(out).astype(np.int64)
 
 
-def true_links(ids: np.ndarray, sets: list[np.ndarray], signatures: np.ndarray, left: np.ndarray, right: np.ndarray, least: np.ndarray, threshold: Fraction):
-    """Pairs (positions) between ``left`` and ``right`` rows, the first id the lesser, whose sets reach the threshold."""
+def true_links(ids: np.ndarray, sets: list[np.ndarray], signatures: np.ndarray, excess: np.ndarray, left: np.ndarray, right: np.ndarray, least: np.ndarray, threshold: Fraction):
+    """Pairs (positions) between ``left`` and ``right`` rows, the first id the lesser, whose sets reach the
+    threshold, without those that ``excess`` proves (around_centers)."""
     x, y = [], []
     sizes = np.array([len(s) for s in sets])
     for i in left.tolist():
-        other = right[ids[right] > ids[i]]
+        other = right[(ids[right] > ids[i]) & (excess[right] + excess[i] > 0)]
         other = other[likely(signatures[i], signatures[other], least)] if len(other) else other
         # the smaller set must be large enough to hold the overlap
         fits = np.minimum(sizes[other], sizes[i]) * threshold.denominator >= np.maximum(sizes[other], sizes[i]) * threshold.numerator
@@ -194,9 +197,11 @@ def ngram_links(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float
     1. Rows with equal sets become one class, so copies are compared once. 2. Classes that agree in
     a band of MinHash values are candidates; they are compared STEP values at a time and dropped
     when the posterior probability of reaching the threshold falls below ``tolerance``. What is
-    left connects classes to clusters. 3. The texts of clusters are read again and all pairs of a
-    cluster that pass the same test are verified exactly. Groups of more than BLOCK classes are
-    compared block by block, and only counts and stars that connect are written, never the pairs.
+    left connects classes to clusters. 3. The texts of clusters are read again and verified exactly. In a
+    cluster of more than BLOCK classes, sets near its center - the shingles of more than half of them -
+    are linked to one another by the triangle inequality, and counted by their distance, without
+    being paired; only pairs with a set farther out are compared, block by block, as are all of a
+    smaller cluster that pass the same test. Counts and stars that connect are written, never the pairs.
     """
     rational, least = Fraction(threshold).limit_denominator(1000), least_matches(threshold, tolerance)
     rows = docs.select(F.col(id_column).alias("id"), F.xxhash64(text).alias("text_hash"), F.col(text).cast("binary").alias("text"))
@@ -252,6 +257,71 @@ def candidate_links(classes: DataFrame, least: np.ndarray) -> DataFrame:
     return grouped.mapInArrow(compare, "a bigint, b bigint")
 
 
+def around_centers(members: DataFrame, threshold: Fraction) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """What the centers of crowded clusters prove: rows that are left to compare, dealt over blocks,
+    (class, links) counted, and stars (a, b) that connect what was counted.
+
+    With the threshold p / q, sets A and B are linked if (p + q) |A ^ B| <= (q - p) (|A| + |B|). As
+    |A ^ B| <= |A ^ C| + |B ^ C| for the center C, that holds whenever the excess
+    (p + q) |A ^ C| - (q - p) |A| of A and that of B come to 0 at most. So a set is linked to all whose
+    excess does not surpass its own negated, which a running sum over the distinct values counts.
+    """
+    p, q = threshold.numerator, threshold.denominator
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 64):
+                some = batch.slice(start, 64)
+                sets = [np.frombuffer(m, np.int64) for m in some.column(2).to_pylist()]
+                sizes = [len(s) for s in sets]
+                columns = [np.repeat(some.column(c).to_numpy(), sizes) for c in (0, 1)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (*columns, np.concatenate(sets))], ["cluster", "size", "shingle"])
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            excess = []
+            for own, center in zip(batch.column(3).to_pylist(), batch.column(5), strict=True):
+                own = np.frombuffer(own, np.int64)
+                center = center.values.to_numpy() if center.is_valid else np.zeros(0, np.int64)
+                apart = len(own) + len(center) - 2 * len(np.intersect1d(own, center, assume_unique=True))
+                excess.append((p + q) * apart - (q - p) * len(own))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(excess, pa.int64())], ["cluster", "class", "copies", "members", "signature", "excess"])
+
+    # at most twice as many shingles as a set of the cluster has on average
+    frequent = members.select("cluster", "size", "members").mapInArrow(spread, "cluster bigint, size bigint, shingle bigint")
+    frequent = frequent.groupBy("cluster", "size", "shingle").agg(F.count("*").alias("n")).where("2 * n > size")
+    centers = materialize(frequent.groupBy("cluster").agg(F.collect_list("shingle").alias("center")), "centers")
+    with_center = members.select("cluster", "class", "copies", "members", "signature").join(centers, "cluster", "left")
+    measured = with_center.mapInArrow(measure, "cluster bigint, class bigint, copies bigint, members binary, signature binary, excess bigint")
+    measured = materialize(measured, "measured")
+
+    # a cluster has no more distinct values than its longest text allows
+    steps = materialize(measured.groupBy("cluster", "excess").agg(F.sum("copies").alias("copies")), "steps")
+    points = steps.selectExpr("cluster", "excess as at", "0 as asked", "copies", "excess").unionByName(
+        steps.selectExpr("cluster", "-excess as at", "1 as asked", "0L as copies", "excess")
+    )
+    so_far = Window.partitionBy("cluster").orderBy("at", "asked").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    reach = points.withColumn("reach", F.sum("copies").over(so_far)).where("asked = 1").select("cluster", "excess", "reach")
+    counts = measured.select("cluster", "class", "copies", "excess").join(reach, ["cluster", "excess"])
+    counts = counts.selectExpr("class", "reach - if(excess <= 0, copies, 0) as links")
+
+    ends = measured.groupBy("cluster").agg(F.max("excess").alias("most"), F.min(F.struct("excess", "class")).alias("lowest"))
+    ends = materialize(ends, "ends")
+    stars = measured.select("cluster", "class", "excess").join(ends, "cluster").where("excess + lowest.excess <= 0 and class <> lowest.class")
+    stars = stars.selectExpr("lowest.class as a", "class as b")
+
+    # of two sets that are left to compare one at least lies outside
+    left = measured.join(ends.select("cluster", "most"), "cluster").where("excess + most > 0")
+    amounts = left.groupBy("cluster").agg(F.count_if(F.col("excess") > 0).alias("outer"), F.count_if(F.col("excess") <= 0).alias("inner"))
+    blocks = materialize(amounts.selectExpr("cluster", *[f"cast(ceil({c} / {float(BLOCK)}) as int) as {c}" for c in ("outer", "inner")]), "blocks")
+    dealt = left.join(blocks, "cluster").withColumn(
+        "_mine", F.expr("cast(if(excess > 0, pmod(xxhash64(class, cluster), outer), outer + pmod(xxhash64(class, cluster), inner)) as int)")
+    )
+    dealt = dealt.withColumn("_other", F.expr("explode(sequence(0, if(excess > 0, outer + inner, outer) - 1))"))
+    dealt = dealt.withColumns({"low": F.least("_mine", "_other"), "high": F.greatest("_mine", "_other")})
+    return dealt.select(*DEALT), counts, stars
+
+
 def verified(rows: DataFrame, classes: DataFrame, clusters: DataFrame, least: np.ndarray, threshold: Fraction) -> tuple[DataFrame, DataFrame]:
     """(class, links): rows linked to each class, and stars (a, b) that connect linked classes."""
     sizes = materialize(clusters.groupBy("cluster").agg(F.count("*").alias("size")), "sizes")
@@ -274,15 +344,18 @@ def verified(rows: DataFrame, classes: DataFrame, clusters: DataFrame, least: np
                 yield pa.RecordBatch.from_arrays(columns, ["class", "cluster", "size", "copies", "members", "signature"]).filter(pa.array(same))
 
     schema = "class bigint, cluster bigint, size bigint, copies bigint, members binary, signature binary"
-    read = again.mapInArrow(reread, schema).dropDuplicates(["class"])
-    dealt = in_blocks(read, "cluster", "size").select("cluster", "low", "high", "_mine", "class", "copies", "members", "signature")
+    read = materialize(again.mapInArrow(reread, schema).dropDuplicates(["class"]), "members")
+    dealt, proved, stars = around_centers(read.where(F.col("size") > BLOCK), threshold)
+    # small clusters are one block; an excess of 1 proves nothing
+    small = read.where(F.col("size") <= BLOCK).withColumns({c: F.lit(0) for c in ("low", "high", "_mine")}).withColumn("excess", F.lit(1).cast("bigint"))
+    dealt = dealt.unionByName(small.select(*DEALT))
     dealt = dealt.repartition("cluster", "low", "high").sortWithinPartitions("cluster", "low", "high")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, starts in runs(batches, 3):
             low, high, block, ids, copies = (table.column(c).to_numpy() for c in (1, 2, 3, 4, 5))
             sets = [np.frombuffer(m, np.uint64) for m in table.column(6).to_pylist()]
-            signatures = fixed(table.column(7), np.uint8, HASHES)
+            signatures, excess = fixed(table.column(7), np.uint8, HASHES), table.column(8).to_numpy()
             a, b, linked, amount = [], [], [], []
             for start, end in zip(starts.tolist(), np.append(starts[1:], len(ids)).tolist(), strict=True):
                 own, mine = block[start:end], slice(start, end)
@@ -295,7 +368,7 @@ def verified(rows: DataFrame, classes: DataFrame, clusters: DataFrame, least: np
                 for left, right in sides:
                     if not len(left) or not len(right):
                         continue
-                    x, y = true_links(ids[mine], sets[mine], signatures[mine], left, right, least, threshold)
+                    x, y = true_links(ids[mine], sets[mine], signatures[mine], excess[mine], left, right, least, threshold)
                     linked += [ids[mine][x], ids[mine][y]]
                     amount += [copies[mine][y], copies[mine][x]]
                     p, q = forest(ids[mine][x], ids[mine][y])
@@ -311,8 +384,9 @@ def verified(rows: DataFrame, classes: DataFrame, clusters: DataFrame, least: np
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (first, second, third)], ["a", "b", "links"])
 
     found = materialize(dealt.mapInArrow(verify, "a bigint, b bigint, links bigint"), "found")
-    counts = found.where("b is null").groupBy(F.col("a").alias("class")).agg(F.sum("links").alias("links"))
-    return counts, found.where("b is not null").select("a", "b")
+    compared = found.where("b is null").select(F.col("a").alias("class"), "links")
+    counts = compared.unionByName(proved).groupBy("class").agg(F.sum("links").alias("links"))
+    return counts, found.where("b is not null").select("a", "b").unionByName(stars)
 
 
 def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
