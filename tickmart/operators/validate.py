@@ -26,7 +26,7 @@ def _parsed(landing: DataFrame) -> DataFrame:
     rows = landing.withColumns({"_at": text.to_trade_date(F.col("date"))} | read)
     unreadable = [F.when(F.col("_at").isNull(), "date")]
     for name in (*PRICES, "volume"):
-        unreadable.append(F.when(text.blank_to_null(F.col(name)).isNotNull() & F.col(f"_{name}").isNull(), name))
+        unreadable.append(F.when((F.trim(F.col(name)) != "") & F.col(f"_{name}").isNull(), name))
     return rows.withColumn("reject_reason", F.nullif(F.concat_ws(",", *unreadable), F.lit("")))
 
 

@@ -122,7 +122,8 @@ def stage_batch(wh: Warehouse, landing: DataFrame, batch_id: int) -> None:
 
 
 def _stage_batch(wh: Warehouse, landing: DataFrame, batch_id: int) -> None:
-    landed = F.struct("symbol", *PRICE_TEXT).alias("_landed")
+    # rows are set aside as they came; those that are not leave their texts behind
+    landed = F.when(F.col("reject_reason").isNotNull(), F.struct("symbol", *PRICE_TEXT)).alias("_landed")
     typed = materialize(type_prices(landing, extra=(*LINEAGE_COLUMNS, landed)), "typed")
     dates = typed.where("trade_date is not null").select(_part(wh, F.col("trade_date")).alias("trade_part"))
     _append_staging(wh, stage_typed(typed.drop("_landed")), batch_id, _list_parts(dates))

@@ -85,7 +85,8 @@ def stream_load(wh: Warehouse, landing: DataFrame, checkpoint: str, minutes: int
     base = stream_base(wh, checkpoint)
 
     def sink(landed: DataFrame, epoch: int) -> None:
-        stage_batch(wh, landed, base + 1 + epoch)
+        # a micro-batch may come in fewer files than there are cores
+        stage_batch(wh, landed.hint("rebalance", "symbol", "date"), base + 1 + epoch)
         incremental_load(wh, minutes)
         if epoch % COMPACT_EVERY == COMPACT_EVERY - 1:
             compact_staging(wh, base + 1 + epoch)
